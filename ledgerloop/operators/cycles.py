@@ -33,15 +33,13 @@ def trim_to_core(pairs: DataFrame, ws: Workspace, rounds: int = TRIM_ROUNDS) ->
 
     Stopping early is still correct, the remaining edges just close no cycle.
     """
-    current = pairs
-    rows = current.count()
+    current, rows = ws.materialize_counted(pairs, "pairs")
     for _ in range(rounds):
         reached = current.select(F.col("dst").alias("src")).distinct()
         left = current.select(F.col("src").alias("dst")).distinct()
-        current = ws.materialize(
+        current, remaining = ws.materialize_counted(
             current.join(reached, "src", "left_semi").join(left, "dst", "left_semi"), "core"
         )
-        remaining = current.count()
         if remaining >= rows * (1 - TRIM_GAIN):
             break
         rows = remaining
@@ -180,8 +178,8 @@ def _grow(start: DataFrame, step, hops: int, ws: Workspace, name: str, limit: in
     for level in range(2, hops + 1):
         longer = step(levels[-1])
         if level < hops or limit is not None:
-            longer = ws.materialize(longer, f"{name}-{level}")
-            if limit is not None and longer.count() > limit:
+            longer, rows = ws.materialize_counted(longer, f"{name}-{level}")
+            if limit is not None and rows > limit:
                 raise RuntimeError(
                     f"more than {limit} {name} half paths of {level} hops; "
                     "narrow the edges or lower the maximum length"
@@ -284,9 +282,8 @@ def detect_cycles(
     max_frontier_rows: int | None = None,
 ) -> DataFrame:
     """Cycles of a transfer table, with the measures that scoring needs."""
-    pairs = ws.materialize(transfer_pairs(edges), "pairs")
     return bounded_cycles(
-        pairs, ws, min_length, max_length, max_frontier_rows=max_frontier_rows
+        transfer_pairs(edges), ws, min_length, max_length, max_frontier_rows=max_frontier_rows
     )
 
 

@@ -66,13 +66,33 @@ def dedup_edges(edges: DataFrame) -> DataFrame:
     )
 
 
-def motif_edges(df: DataFrame) -> DataFrame:
-    return dedup_edges(adapt_edges(df))
+def account_cycles(adapted: DataFrame, low: int, high: int, ws: Workspace) -> DataFrame:
+    """Account cycles of low..high accounts, written once; columns path, n_accounts."""
+    pairs = adapted.select("src", "dst").distinct()
+    return ws.materialize(bounded_cycles(pairs, ws, low, high), "account-cycles")
+
+
+def _on_cycles(adapted: DataFrame, cycles: DataFrame) -> DataFrame:
+    """Only the transfers that lie on a cycle; everything after this step works on these."""
+    hops = (
+        cycles.select(F.explode(paths.hops(F.col("path"))).alias("hop"))
+        .select(F.col("hop.source").alias("src"), F.col("hop.target").alias("dst"))
+        .distinct()
+    )
+    return adapted.join(hops, ["src", "dst"], "left_semi")
+
+
+def _cycles_and_edges(
+    df: DataFrame, low: int, high: int, ws: Workspace
+) -> tuple[DataFrame, DataFrame]:
+    adapted = adapt_edges(df)
+    cycles = account_cycles(adapted, low, high, ws)
+    edges = ws.materialize(dedup_edges(_on_cycles(adapted, cycles)), "edges-on-cycles")
+    return cycles, edges
 
 
-def account_cycles(edges: DataFrame, length: int, ws: Workspace) -> DataFrame:
-    """Cycles of exactly `length` accounts; columns path, n_accounts."""
-    return bounded_cycles(edges.select("src", "dst").distinct(), ws, length, length)
+def _of_length(cycles: DataFrame, length: int) -> DataFrame:
+    return cycles.where(F.col("n_accounts") == length)
 
 
 def _node(i: int, length: int) -> Column:
@@ -116,22 +136,24 @@ def _motif_rows(combined: DataFrame, length: int) -> DataFrame:
     )
 
 
-def motif_cycles(edges: DataFrame, length: int, ws: Workspace) -> DataFrame:
-    """One row per account cycle and choice of one transfer for every hop."""
-    cycles = account_cycles(edges, length, ws)
-    return _motif_rows(_attach(cycles, length, edges, ["amount", "timestamp"]), length)
+def _motifs(cycles: DataFrame, edges: DataFrame, length: int) -> DataFrame:
+    chosen = _attach(_of_length(cycles, length), length, edges, ["amount", "timestamp"])
+    return _motif_rows(chosen, length)
 
 
-def two_account_cycles(edges: DataFrame, ws: Workspace) -> DataFrame:
-    return motif_cycles(edges, 2, ws)
+def two_account_cycles(df: DataFrame, ws: Workspace) -> DataFrame:
+    """One row per two-account cycle and choice of one transfer for each hop."""
+    return _motifs(*_cycles_and_edges(df, 2, 2, ws), 2)
 
 
-def three_account_cycles(edges: DataFrame, ws: Workspace) -> DataFrame:
-    return motif_cycles(edges, 3, ws)
+def three_account_cycles(df: DataFrame, ws: Workspace) -> DataFrame:
+    """One row per three-account cycle and choice of one transfer for each hop."""
+    return _motifs(*_cycles_and_edges(df, 3, 3, ws), 3)
 
 
-def motif_union(edges: DataFrame, ws: Workspace) -> DataFrame:
-    return two_account_cycles(edges, ws).unionByName(three_account_cycles(edges, ws))
+def motif_union(df: DataFrame, ws: Workspace) -> DataFrame:
+    cycles, edges = _cycles_and_edges(df, 2, 3, ws)
+    return _motifs(cycles, edges, 2).unionByName(_motifs(cycles, edges, 3))
 
 
 def _combinations(length: int) -> Column:
@@ -141,16 +163,17 @@ def _combinations(length: int) -> Column:
     return product
 
 
-def _counted_cycles(edges: DataFrame, length: int, ws: Workspace) -> DataFrame:
+def _counted_cycles(cycles: DataFrame, edges: DataFrame, length: int) -> DataFrame:
     sizes = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
-    cycles = _attach(account_cycles(edges, length, ws), length, sizes, ["n"])
-    return cycles.withColumn("combinations", _combinations(length))
+    counted = _attach(_of_length(cycles, length), length, sizes, ["n"])
+    return counted.withColumn("combinations", _combinations(length))
 
 
-def motif_counts(edges: DataFrame, ws: Workspace) -> DataFrame:
+def motif_counts(df: DataFrame, ws: Workspace) -> DataFrame:
     """Number of motif rows per length, from pair sizes instead of the rows themselves."""
+    cycles, edges = _cycles_and_edges(df, 2, 3, ws)
     counts = [
-        _counted_cycles(edges, length, ws)
+        _counted_cycles(cycles, edges, length)
         .agg(F.coalesce(F.sum("combinations"), F.lit(0)).cast("long").alias("cycles"))
         .select(F.lit(length).alias("cycle_length"), "cycles")
         for length in (2, 3)
@@ -158,18 +181,19 @@ def motif_counts(edges: DataFrame, ws: Workspace) -> DataFrame:
     return counts[0].unionByName(counts[1])
 
 
-def motif_export(edges: DataFrame, ws: Workspace, max_rows: int = MAX_EXPORT_ROWS) -> DataFrame:
+def motif_export(df: DataFrame, ws: Workspace, max_rows: int = MAX_EXPORT_ROWS) -> DataFrame:
     """The first `max_rows` motif rows, ordered by length, path and then the hops' transfers.
 
     Work is bounded by `max_rows`: running totals of the combination counts tell which
     combinations are needed, and each is looked up by the rank of its transfers.
     """
+    cycles, edges = _cycles_and_edges(df, 2, 3, ws)
     exported, taken = [], 0
     by_time = Window.partitionBy("src", "dst").orderBy("timestamp", "amount")
     for length in (2, 3):
         room = max_rows - taken
         first = (
-            _counted_cycles(edges, length, ws)
+            _counted_cycles(cycles, edges, length)
             .withColumn("_order", paths.display(F.col("path")))
             .orderBy("_order")
             .limit(room)
@@ -197,11 +221,8 @@ def motif_export(edges: DataFrame, ws: Workspace, max_rows: int = MAX_EXPORT_ROW
             rank = F.floor(F.col("_k").cast("decimal(38,0)") / block) % F.col(f"n_{i}")
             choices = choices.withColumn(f"_rank_{i}", (rank + 1).cast("int"))
             block = (block * F.col(f"n_{i}")).cast("decimal(38,0)")
-        on_cycle = needed.select(F.explode(paths.hops(F.col("path"))).alias("hop")).select(
-            F.col("hop.source").alias("src"), F.col("hop.target").alias("dst")
-        )
         ranked = (
-            edges.join(on_cycle, ["src", "dst"], "left_semi")
+            _on_cycles(edges, needed)
             .withColumn("rank", F.row_number().over(by_time))
             .where(F.col("rank") <= max_rows)
         )
@@ -220,22 +241,28 @@ def motif_export(edges: DataFrame, ws: Workspace, max_rows: int = MAX_EXPORT_ROW
 
 
 def closed_pattern(
-    edges: DataFrame, length: int, ws: Workspace, limit: int | None = None
+    df: DataFrame, length: int, ws: Workspace, limit: int | None = None
 ) -> DataFrame:
-    """Closed chains of 2 or 3 transfers, one row for every start: path and hop amounts."""
-    rows = _attach(account_cycles(edges, length, ws), length, edges, ["amount", "timestamp"])
-    hops = F.array(
-        *[
-            F.struct(F.col(f"timestamp_{i}").alias("timestamp"), F.col(f"amount_{i}").alias("amount"))
-            for i in range(1, length + 1)
-        ]
-    )
+    """Closed chains of 2 or 3 transfers, one row for every start account.
+
+    `df` is a table of distinct edges.  `limit` keeps the first rows by path and transfers.
+    """
+    adapted = adapt_edges(df)
+    cycles = account_cycles(adapted, length, length, ws)
+    edges = ws.materialize(_on_cycles(adapted, cycles), "edges-on-cycles")
+    rows = _attach(cycles, length, edges, ["amount", "timestamp"])
+
+    def hop_values(name: str) -> Column:
+        return F.array(*[F.col(f"{name}_{i}") for i in range(1, length + 1)])
+
     turned = rows.select(
-        "path", hops.alias("hops"), F.explode(F.sequence(F.lit(0), F.lit(length - 1))).alias("turn")
+        "path",
+        hop_values("amount").alias("amounts"),
+        hop_values("timestamp").alias("timestamps"),
+        F.explode(F.sequence(F.lit(0), F.lit(length - 1))).alias("turn"),
     ).select(
         paths.display(paths.rotate(F.col("path"), F.col("turn"))).alias("path"),
-        paths.rotate(F.col("hops"), F.col("turn")).alias("hops"),
+        paths.rotate(F.col("timestamps"), F.col("turn")).alias("timestamps"),
+        paths.rotate(F.col("amounts"), F.col("turn")).alias("amounts"),
     )
-    return turned.orderBy("path", "hops").limit(limit) if limit else turned
-
-
+    return turned.orderBy("path", "timestamps", "amounts").limit(limit) if limit else turned

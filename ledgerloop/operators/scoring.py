@@ -164,9 +164,7 @@ def explanation(df: DataFrame) -> Column:
 
 def with_case_ids(scored: DataFrame, ws: Workspace) -> DataFrame:
     """C001, C002, ... by number of accounts and path, before any ranking."""
-    named = ws.materialize(
-        scored.withColumn("path_text", paths.display(F.col("path"))), "scored"
-    )
+    named = scored.withColumn("path_text", paths.display(F.col("path")))
     numbered = with_ordinal(named, [F.col("n_accounts"), F.col("path_text")], ws, "case_number")
     return numbered.withColumn(
         "cycle_id", F.format_string("C%03d", F.col("case_number") + 1)

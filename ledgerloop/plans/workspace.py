@@ -12,7 +12,8 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
 
@@ -44,13 +45,18 @@ class Workspace:
         self._steps += 1
         return f"{self.folder}/{self._steps:03d}-{name}"
 
-    def materialize(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    def materialize(self, df: DataFrame, name: str) -> DataFrame:
         """Write `df` and return the written table."""
         path = self.new_path(name)
-        writer = df.write.partitionBy(partition_by) if partition_by else df.write
-        writer.parquet(path)
+        df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def materialize_counted(self, df: DataFrame, name: str) -> tuple[DataFrame, int]:
+        """As materialize, with the number of rows; it is counted while they are written."""
+        seen = Observation()
+        written = self.materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+        return written, seen.get["rows"]
+
     def close(self) -> None:
         """Delete the folder; call it once the results built on it have been written."""
         jvm = self.spark._jvm
