@@ -32,9 +32,9 @@ def clean_text(c: Column) -> Column:
 
 
 def canonical_bank(c: Column, keep_zeros: bool = False) -> Column:
-    """Bank code without leading zeros, so that 010 and 10 are one bank."""
+    """Numeric bank codes without leading zeros, so that 010 and 10 are one bank."""
     bank = clean_text(c)
-    return bank if keep_zeros else F.regexp_replace(bank, r"^0+(?=[0-9])", "")
+    return bank if keep_zeros else F.regexp_replace(bank, r"^0+(?=[0-9]+$)", "")
 
 
 def account_key(bank: Column, account: Column, keep_zeros: bool = False) -> Column:

@@ -25,7 +25,7 @@ MAX_LENGTH = 6
 
 TRIM_ROUNDS = 8
 # Another round is not worth two shuffles when the last one removed less than this share.
-TRIM_GAIN = 0.02
+TRIM_GAIN = 0.1
 
 
 def trim_to_core(pairs: DataFrame, ws: Workspace, rounds: int = TRIM_ROUNDS) -> DataFrame:
