@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerloop.schema import AMOUNT
 
-# Texts that stand for "no value" (case-sensitive).
-NULL_TEXTS = ("", "nan", "None")
+# Texts that stand for "no value" (case-sensitive), besides the empty text.
+NULL_TEXTS = ("nan", "None")
 
 # Fixed value: every character that counts as white space at the ends of a text.
 BLANKS = (
@@ -17,18 +17,30 @@ BLANKS = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+VALUE = rf"(?s)^(?!({'|'.join(NULL_TEXTS)})$).+"
+
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 UNKNOWN_BANK = "UNKNOWN"
 
 
 def strip(c: Column) -> Column:
-    return F.btrim(c.cast("string"), F.lit(BLANKS))
+    """Without blanks at both ends.
+
+    Trimming a character set is slow, so texts that begin and end with a printable ASCII
+    character are passed through.
+    """
+    text = c.cast("string")
+    return F.when(text.rlike("^[^!-~]|[^!-~]$"), F.btrim(text, F.lit(BLANKS))).otherwise(text)
+
+
+# Each function below mentions its argument once: a filter that is pushed below a projection
+# repeats the projected expressions, and every further mention would multiply that work.
 
 
 def clean_text(c: Column) -> Column:
-    text = strip(c)
-    return F.when(~text.isin(*NULL_TEXTS), text)
+    """Stripped text, null for the texts that stand for no value."""
+    return F.get(F.regexp_extract_all(strip(c), F.lit(VALUE), F.lit(0)), F.lit(0))
 
 
 def canonical_bank(c: Column, keep_zeros: bool = False) -> Column:
@@ -42,35 +54,31 @@ def account_key(bank: Column, account: Column, keep_zeros: bool = False) -> Colu
     return F.concat(canonical_bank(bank, keep_zeros), F.lit("_"), clean_text(account))
 
 
-def number_text(c: Column) -> Column:
-    """The text if it is a finite plain number, else null.
+def plain_number(text: Column) -> Column:
+    """The text if it is a finite plain number, else the empty text, which casts to null.
 
     Casts alone would let through 'NaN', 'Infinity' and '12d'.
     """
-    return F.when(c.rlike(NUMBER), c)
+    return F.regexp_extract(text, NUMBER, 0)
 
 
 def parse_amount(c: Column) -> Column:
-    return number_text(F.replace(strip(c), F.lit(","), F.lit(""))).try_cast(AMOUNT)
+    """Exact amount, null unless the text is a plain number; commas are dropped."""
+    return plain_number(F.replace(strip(c), F.lit(","), F.lit(""))).try_cast(AMOUNT)
 
 
 def parse_timestamp(c: Column) -> Column:
     """Zone-free timestamp; year-first with dashes or slashes, or month-first with slashes."""
-    text = strip(c)
-    iso = F.when(
-        text.rlike(r"^[0-9]{4}/"), F.regexp_replace(text, r"^([0-9]{4})/([0-9]{1,2})/", "$1-$2-")
-    ).when(
-        text.rlike(r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"),
-        F.regexp_replace(text, r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})", "$3-$1-$2"),
+    year_first = F.regexp_replace(strip(c), r"^([0-9]{4})/([0-9]{1,2})/", "$1-$2-")
+    iso = F.regexp_replace(
+        year_first, r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})", "$3-$1-$2"
     )
-    return F.coalesce(iso, text).try_cast("timestamp_ntz")
+    return iso.try_cast("timestamp_ntz")
 
 
 def parse_label(c: Column) -> Column:
     """Integer part of a number, 0 for anything else."""
-    return F.coalesce(
-        number_text(strip(c)).try_cast("double").try_cast("int"), F.lit(0)
-    )
+    return F.coalesce(plain_number(strip(c)).try_cast("double").try_cast("int"), F.lit(0))
 
 
 def bank_of(account: Column) -> Column:

@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from ledgerloop.functions import labels, paths
 from ledgerloop.functions.labels import ENGLISH, Wording
-from ledgerloop.functions.text import number_text, strip
+from ledgerloop.functions.text import plain_number, strip
 from ledgerloop.operators.ordinal import with_ordinal
 from ledgerloop.plans.workspace import Workspace
 from ledgerloop.schema import CASE_REQUIRED, TOTAL, require_columns
 
 
 def _number(name: str):
-    return F.coalesce(number_text(strip(F.col(name))).try_cast("double"), F.lit(0.0))
+    return F.coalesce(plain_number(strip(F.col(name))).try_cast("double"), F.lit(0.0))
 
 
 def case_queue(cases: DataFrame, words: Wording = ENGLISH) -> DataFrame:

@@ -32,13 +32,18 @@ def normalize_transfers(
     keep_zeros: bool = False,
     extra: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Raw text rows to the transfer schema; one projection, no shuffle."""
+    """Raw text rows to the transfer schema; one projection, no shuffle.
+
+    Without `id_column` the rows get no transaction_id yet.
+    """
     df = require_columns(trim_names(raw), RAW_REQUIRED)
-    identity = id_column if id_column is not None else transaction_id(F.col("ordinal"))
+    identity = [] if id_column is None else [id_column.alias("transaction_id")]
+    source = text.account_key(F.col("From Bank"), F.col("Account"), keep_zeros)
+    target = text.account_key(F.col("To Bank"), F.col("`Account.1`"), keep_zeros)
     return df.select(
-        identity.alias("transaction_id"),
-        text.account_key(F.col("From Bank"), F.col("Account"), keep_zeros).alias("source_account"),
-        text.account_key(F.col("To Bank"), F.col("`Account.1`"), keep_zeros).alias("target_account"),
+        *identity,
+        source.alias("source_account"),
+        target.alias("target_account"),
         text.parse_amount(F.col("Amount Paid")).alias("amount"),
         text.parse_timestamp(F.col("Timestamp")).alias("timestamp"),
         text.clean_text(F.col("Payment Format")).alias("transaction_type"),

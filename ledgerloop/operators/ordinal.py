@@ -8,18 +8,26 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerloop.plans.workspace import Workspace
 
 _IN_PARTITION = (1 << 33) - 1
 
-_OFFSETS = T.StructType(
-    [
-        T.StructField("_part", T.IntegerType(), False),
-        T.StructField("_offset", T.LongType(), False),
-    ]
-)
+# Offset tables up to this many rows are broadcast, longer ones are joined by shuffle.
+_BROADCAST_ROWS = 100_000
+
+
+def _shift(written: DataFrame, offsets: list[tuple], keys: dict[str, str], name: str) -> DataFrame:
+    """Add each row's position in its partition to the offset of that partition."""
+    schema = ", ".join([f"{key} {kind}" for key, kind in keys.items()] + ["_offset long"])
+    table = written.sparkSession.createDataFrame(offsets, schema)
+    if len(offsets) <= _BROADCAST_ROWS:
+        table = F.broadcast(table)
+    return (
+        written.join(table, list(keys))
+        .withColumn(name, F.col("_offset") + F.col("_pos"))
+        .drop("_pos", "_offset", *keys)
+    )
 
 
 def with_ordinal(df: DataFrame, by: list[Column], ws: Workspace, name: str = "ordinal") -> DataFrame:
@@ -31,10 +39,6 @@ def with_ordinal(df: DataFrame, by: list[Column], ws: Workspace, name: str = "or
         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_PARTITION)))
     )
     written = ws.materialize(ordered, f"{name}-sorted")
-    return _number(written, name)
-
-
-def _number(written: DataFrame, name: str) -> DataFrame:
     counts = sorted(
         (row["_part"], row["count"]) for row in written.groupBy("_part").count().collect()
     )
@@ -42,20 +46,15 @@ def _number(written: DataFrame, name: str) -> DataFrame:
     for part, count in counts:
         offsets.append((part, total))
         total += count
-    table = written.sparkSession.createDataFrame(offsets, _OFFSETS)
-    # One row per partition of one shuffle: the broadcast cannot grow with the data.
-    return (
-        written.join(F.broadcast(table), "_part")
-        .withColumn(name, F.col("_offset") + F.col("_pos"))
-        .drop("_part", "_pos", "_offset")
-    )
+    return _shift(written, offsets, {"_part": "int"}, name)
 
 
 def with_file_order(df: DataFrame, ws: Workspace, name: str = "ordinal") -> DataFrame:
     """Add `name`: the row's position in the input files, in (path, offset) order.
 
-    `df` must come straight from a file scan that kept the columns `_file` and `_block`
-    (see sources.readers.read_raw); rows of a split are read in order, and no shuffle is needed.
+    `df` must come from a file scan by projections only and keep the columns `_file` and
+    `_block` (see sources.readers.read_raw): rows of a split are then in file order, and
+    nothing has to be sorted.
     """
     placed = df.withColumn("_part", F.spark_partition_id()).withColumn(
         "_pos", F.monotonically_increasing_id()
@@ -71,11 +70,5 @@ def with_file_order(df: DataFrame, ws: Workspace, name: str = "ordinal") -> Data
     for row in sorted(splits, key=lambda r: (r["_file"], r["_block"])):
         offsets.append((row["_part"], row["_file"], row["_block"], total - row["first"]))
         total += row["n"]
-    table = written.sparkSession.createDataFrame(
-        offsets, "_part int, _file string, _block long, _offset long"
-    )
-    return (
-        written.join(F.broadcast(table), ["_part", "_file", "_block"])
-        .withColumn(name, F.col("_offset") + F.col("_pos"))
-        .drop("_part", "_pos", "_offset", "_file", "_block")
-    )
+    keys = {"_part": "int", "_file": "string", "_block": "long"}
+    return _shift(written, offsets, keys, name)

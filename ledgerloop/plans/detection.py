@@ -49,13 +49,18 @@ class Settings:
 
 
 def normalized_rows(raw: DataFrame, ws: Workspace, cfg: Settings) -> DataFrame:
-    """Raw rows in file order to transfers with their chunk number."""
-    placed = with_file_order(raw, ws)
-    return cleaning.normalize_transfers(
-        placed.withColumn("chunk_id", cleaning.chunk_id(F.col("ordinal"), cfg.chunk_rows)),
-        cleaning.transaction_id(F.col("ordinal"), cfg.chunk_rows),
-        cfg.keep_zeros,
-        extra=("chunk_id",),
+    """Raw rows to transfers numbered in file order, with their chunk number.
+
+    The text is parsed once; what is staged to fix the numbering is already normalized.
+    """
+    parsed = cleaning.normalize_transfers(
+        raw, keep_zeros=cfg.keep_zeros, extra=("_file", "_block")
+    )
+    number = F.col("ordinal")
+    return with_file_order(parsed, ws).select(
+        cleaning.transaction_id(number, cfg.chunk_rows).alias("transaction_id"),
+        *[name for name in parsed.columns if name not in ("_file", "_block")],
+        cleaning.chunk_id(number, cfg.chunk_rows).alias("chunk_id"),
     )
 
 
@@ -96,9 +101,7 @@ def demo_transfers(subgraph: DataFrame) -> DataFrame:
 
 
 def _write_clean(spark: SparkSession, at: Layout, cfg: Settings, ws: Workspace) -> None:
-    rows = ws.materialize(
-        normalized_rows(read_raw(spark, at.raw), ws, cfg), "normalized"
-    )
+    rows = normalized_rows(read_raw(spark, at.raw), ws, cfg)
     transfers = cleaning.clean_transfers(rows).drop("chunk_id")
     write_table(transfers, at.path("transactions_clean"), at.fmt, sort_within="timestamp")
     write_table(

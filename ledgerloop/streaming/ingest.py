@@ -33,14 +33,13 @@ def read_raw_stream(
 def _write_batch(batch: DataFrame, batch_id: int, out: str, keep_zeros: bool) -> None:
     with Workspace(batch.sparkSession) as ws:
         chunk = F.lit(batch_id + 1).cast("long")
-        rows = ws.materialize(
-            cleaning.normalize_transfers(
-                with_file_order(batch, ws).withColumn("chunk_id", chunk),
-                F.format_string("T%04d_%07d", chunk, F.col("ordinal")),
-                keep_zeros,
-                extra=("chunk_id",),
-            ),
-            "normalized",
+        parsed = cleaning.normalize_transfers(
+            batch, keep_zeros=keep_zeros, extra=("_file", "_block")
+        )
+        rows = with_file_order(parsed, ws).select(
+            F.format_string("T%04d_%07d", chunk, F.col("ordinal")).alias("transaction_id"),
+            *[name for name in parsed.columns if name not in ("_file", "_block")],
+            chunk.alias("chunk_id"),
         )
         transfers = cleaning.clean_transfers(rows).drop("chunk_id")
         part = f"batch_id={batch_id}"
