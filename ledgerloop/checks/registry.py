@@ -40,13 +40,13 @@ def query(function: Query) -> Query:
 # -- shared inputs ---------------------------------------------------------------------------
 
 
-def _key(df: DataFrame) -> Column:
-    return F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
 def _raw(spark: SparkSession, d: str) -> DataFrame:
-    raw = tables.raw_rows(spark, d)
-    return raw.withColumn("row_key", _key(raw))
+    """The raw rows as a stored text table, which is what the cleaning steps read."""
+    raw = tables.raw_rows(spark, d).withColumn("row_key", F.concat_ws("_", *KEYS))
+    return Workspace(spark).materialize(raw, "raw")
 
 
 def _normalized(spark: SparkSession, d: str) -> DataFrame:
@@ -54,12 +54,13 @@ def _normalized(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _chunked(spark: SparkSession, d: str) -> DataFrame:
-    keys = [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
-    numbered = with_ordinal(_raw(spark, d), keys, Workspace(spark))
-    return cleaning.normalize_transfers(
-        numbered.withColumn("chunk_id", cleaning.chunk_id(F.col("ordinal"), CHUNK_ROWS)),
-        cleaning.transaction_id(F.col("ordinal"), CHUNK_ROWS),
-        extra=("row_key", "chunk_id"),
+    parsed = cleaning.normalize_transfers(_raw(spark, d), extra=(*KEYS, "row_key"))
+    number = F.col("ordinal")
+    return with_ordinal(parsed, [F.col(key) for key in KEYS], Workspace(spark)).withColumns(
+        {
+            "transaction_id": cleaning.transaction_id(number, CHUNK_ROWS),
+            "chunk_id": cleaning.chunk_id(number, CHUNK_ROWS),
+        }
     )
 
 

@@ -15,7 +15,8 @@ LARGE_QUANTITY = 46
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    # Both tables grow with the data: shuffled, never broadcast.
+    return lines.join(orders.hint("merge"), lines.l_orderkey == orders.o_orderkey)
 
 
 def _minute_offset():

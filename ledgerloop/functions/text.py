@@ -10,7 +10,7 @@ from ledgerloop.schema import AMOUNT
 # Texts that stand for "no value" (case-sensitive), besides the empty text.
 NULL_TEXTS = ("nan", "None")
 
-# Fixed value: every character that counts as white space at the ends of a text.
+# Fixed value: the characters that count as white space at the ends of a text.
 BLANKS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
@@ -34,8 +34,8 @@ def strip(c: Column) -> Column:
     return F.when(text.rlike("^[^!-~]|[^!-~]$"), F.btrim(text, F.lit(BLANKS))).otherwise(text)
 
 
-# Each function below mentions its argument once: a filter that is pushed below a projection
-# repeats the projected expressions, and every further mention would multiply that work.
+# The functions below mention the stripped text once: a filter that is pushed below a
+# projection repeats the projected expressions, and every mention would multiply that work.
 
 
 def clean_text(c: Column) -> Column:
