@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -45,8 +44,6 @@ def session(cpus: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
     )
     spark = builder.getOrCreate()
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

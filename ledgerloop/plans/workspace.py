@@ -18,18 +18,27 @@ from pyspark.sql import functions as F
 SETTING = "spark.checkpoint.dir"
 
 
+_local_folders: list[str] = []
+
+
+def _local_folder() -> str:
+    """A temporary folder of this process; local mode only."""
+    if not _local_folders:
+        folder = tempfile.mkdtemp(prefix="ledgerloop-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _local_folders.append(folder)
+    return _local_folders[0]
+
+
 def _base_folder(spark: SparkSession) -> str:
     named = spark.conf.get(SETTING, None)
     if named:
         return named
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError(
-            f"set {SETTING} to a folder that every executor can reach (HDFS or an object store)"
-        )
-    folder = tempfile.mkdtemp(prefix="ledgerloop-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    spark.conf.set(SETTING, folder)
-    return folder
+    if spark.conf.get("spark.master", "").startswith("local"):
+        return _local_folder()
+    raise ValueError(
+        f"set {SETTING} to a folder that every executor can reach (HDFS or an object store)"
+    )
 
 
 class Workspace:

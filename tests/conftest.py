@@ -9,7 +9,7 @@ DATA = "/root/testdata"
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     from pyspark.sql import SparkSession
 
     session = (
@@ -19,7 +19,6 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -72,11 +72,10 @@ def test_unknown_step(spark, layout):
 
 
 def test_workspace_uses_the_session_folder_and_cleans_up(spark):
-    base = spark.conf.get("spark.checkpoint.dir")
     with Workspace(spark) as ws:
         written, rows = ws.materialize_counted(spark.range(10), "numbers")
         assert rows == 10 and written.count() == 10
-        assert ws.folder.startswith(base)
+        assert ws.folder.startswith(spark.conf.get("spark.checkpoint.dir", "") or "/")
         assert os.path.isdir(ws.folder)
     assert not os.path.exists(ws.folder)
 
@@ -95,3 +94,15 @@ def test_case_files_need_their_columns(spark, tmp_path):
     spark.range(1).selectExpr("'C1' cycle_id").write.option("header", True).csv(path)
     with pytest.raises(ValueError, match="risk_level"):
         read_cases(spark, path)
+
+
+def test_clusters_must_name_a_shared_folder():
+    class Session:
+        class conf:
+            values = {"spark.master": "yarn"}
+            get = staticmethod(lambda key, default=None: Session.conf.values.get(key, default))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        Workspace(Session())
+    Session.conf.values["spark.master"] = "local[2]"
+    assert os.path.isdir(Workspace(Session()).folder.split("/ledgerloop/")[0])
