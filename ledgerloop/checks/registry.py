@@ -192,7 +192,7 @@ def labelled_accounts(spark, d):
 
 @query
 def labelled_subgraph(spark, d):
-    return _plain(graph.labelled_subgraph(_edges(spark, d)))
+    return _plain(graph.labelled_subgraph(_edges(spark, d), Workspace(spark)))
 
 
 @query
@@ -216,7 +216,7 @@ def edge_pairs(spark, d):
 
 @query
 def pair_transfer_lists(spark, d):
-    return graph.pair_transfer_lists(_edges(spark, d)).select(
+    return graph.pair_transfer_lists(_edges(spark, d), Workspace(spark)).select(
         "src",
         "dst",
         "n_transfers",
@@ -371,14 +371,15 @@ def _found_cycles(spark, d):
 
 @query
 def cycle_hops(spark, d):
-    hops = scoring.cycle_hops(_found_cycles(spark, d), graph.first_transfers(_large(spark, d)))
+    first = graph.first_transfers(_large(spark, d))
+    hops = scoring.cycle_hops(_found_cycles(spark, d), first, Workspace(spark))
     return _plain(hops.withColumn("path", paths.display(F.col("path"))))
 
 
 @query
 def cycle_measures(spark, d):
     measured = scoring.measure_cycles(
-        _found_cycles(spark, d), graph.first_transfers(_large(spark, d))
+        _found_cycles(spark, d), graph.first_transfers(_large(spark, d)), Workspace(spark)
     )
     return scoring.with_measures(measured).select(
         paths.display(F.col("path")).alias("path"),
@@ -414,8 +415,9 @@ def risk_explanation(spark, d):
 def score_missing_hops(spark, d):
     """Cycles of all large transfers, scored on the hops that were not paid in cash."""
     known = _large(spark, d).where(F.col("transaction_type") != "Cash")
-    measured = scoring.measure_cycles(_found_cycles(spark, d), graph.first_transfers(known))
-    return scoring.score_cycles(measured, Workspace(spark))
+    ws = Workspace(spark)
+    measured = scoring.measure_cycles(_found_cycles(spark, d), graph.first_transfers(known), ws)
+    return scoring.score_cycles(measured, ws)
 
 
 @query
@@ -678,8 +680,8 @@ def merge_nodes(spark, d):
 def merge_edges(spark, d):
     transfers = tables.all_transfers(spark, d)
     existing = export.export_edges(transfers.where(F.col("transaction_type") == "ACH"))
-    known = export.export_nodes(
-        export.export_edges(tables.large_transfers(spark, d))
+    known = Workspace(spark).materialize(
+        export.export_nodes(export.export_edges(tables.large_transfers(spark, d))), "nodes"
     )
     merged = export.merge_edges(existing, export.export_edges(transfers), known)
     return merged.withColumn("amount", _money("amount"))

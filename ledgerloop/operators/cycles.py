@@ -28,35 +28,55 @@ TRIM_ROUNDS = 8
 TRIM_GAIN = 0.1
 
 
-def trim_to_core(pairs: DataFrame, ws: Workspace, rounds: int = TRIM_ROUNDS) -> DataFrame:
-    """Drop edges that cannot lie on a cycle: their source is never reached or their target never left.
+def _with_degrees(edges: DataFrame, ws: Workspace, trim: bool) -> DataFrame:
+    """Attach the degree of both ends; with `trim`, only edges between accounts that are both
+    reached and left, as no other edge can lie on a cycle.
 
-    Stopping early is still correct, the remaining edges just close no cycle.
+    The account table is written before it is joined.  The join then has a plain exchange on
+    either side, which is the shape in which adaptive execution splits the edges of a hub.
     """
-    current, rows = ws.materialize_counted(pairs, "pairs")
-    for _ in range(rounds):
-        reached = current.select(F.col("dst").alias("src")).distinct()
-        left = current.select(F.col("src").alias("dst")).distinct()
-        current, remaining = ws.materialize_counted(
-            current.join(reached, "src", "left_semi").join(left, "dst", "left_semi"), "core"
+    ends = F.array(
+        F.struct(F.col("src").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")),
+        F.struct(F.col("dst").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")),
+    )
+    nodes = (
+        edges.select(F.inline(ends))
+        .groupBy("node")
+        .agg(F.sum("out").alias("out"), F.sum("into").alias("into"))
+    )
+    if trim:
+        nodes = nodes.where((F.col("out") > 0) & (F.col("into") > 0))
+    degrees = ws.materialize(
+        nodes.select("node", (F.col("out") + F.col("into")).alias("degree")), "degrees"
+    )
+    return (
+        edges.drop("src_degree", "dst_degree")
+        .join(
+            degrees.select(F.col("node").alias("src"), F.col("degree").alias("src_degree")), "src"
         )
+        .join(
+            degrees.select(F.col("node").alias("dst"), F.col("degree").alias("dst_degree")), "dst"
+        )
+    )
+
+
+def ranked_core(
+    edges: DataFrame, ws: Workspace, trim: bool = True, rounds: int = TRIM_ROUNDS
+) -> DataFrame:
+    """Edges that may lie on a cycle, with the degrees that order their accounts.
+
+    Trimming is repeated while it pays.  Stopping early is still correct, the remaining edges
+    just close no cycle, and any fixed degrees give a valid order.
+    """
+    current, rows = ws.materialize_counted(edges, "pairs")
+    for _ in range(rounds if trim else 1):
+        current, remaining = ws.materialize_counted(_with_degrees(current, ws, trim), "arcs")
         if remaining >= rows * (1 - TRIM_GAIN):
             break
         rows = remaining
     return current
 
 
-def _with_degrees(arcs: DataFrame) -> DataFrame:
-    degrees = (
-        arcs.select(F.explode(F.array("src", "dst")).alias("node"))
-        .groupBy("node")
-        .agg(F.count(F.lit(1)).alias("degree"))
-    )
-    return arcs.join(
-        degrees.select(F.col("node").alias("src"), F.col("degree").alias("src_degree")), "src"
-    ).join(degrees.select(F.col("node").alias("dst"), F.col("degree").alias("dst_degree")), "dst")
-
-
 def _after(degree: Column, node: Column, root_degree: Column, root: Column) -> Column:
     """`node` comes after `root` in the account order."""
     return (degree < root_degree) | ((degree == root_degree) & (node > root))
@@ -226,8 +246,7 @@ def bounded_cycles(
     if not 2 <= min_length <= max_length:
         raise ValueError("cycle lengths must satisfy 2 <= min_length <= max_length")
     measures = _Measures({"amount", "timestamp"} <= set(pairs.columns))
-    core = trim_to_core(pairs, ws) if trim else pairs
-    arcs = ws.materialize(_with_degrees(core), "arcs")
+    arcs = ranked_core(pairs, ws, trim)
 
     forward_hops, backward_hops = _halves(min_length, max_length)
     forward = _grow(
@@ -255,11 +274,12 @@ def bounded_cycles(
         & _wanted(min_length, max_length)
         & ~F.arrays_overlap("f.nodes", "b.nodes"),
     )
+    # Joined to one array first: the rotation mentions it several times.
     return joined.select(
-        paths.canonical_rotation(F.concat("f.nodes", "b.nodes")).alias("path"),
+        F.concat("f.nodes", "b.nodes").alias("path"),
         (F.col("f.hops") + F.col("b.hops")).alias("n_accounts"),
         *measures.merge("f", "b"),
-    )
+    ).withColumn("path", paths.canonical_rotation(F.col("path")))
 
 
 def transfer_pairs(edges: DataFrame) -> DataFrame:
@@ -302,7 +322,7 @@ def closed_trails(
         F.col("source_account").alias("src"),
         F.col("target_account").alias("dst"),
     )
-    arcs = ws.materialize(_with_degrees(trim_to_core(plain, ws)), "trail-arcs")
+    arcs = ranked_core(plain, ws)
 
     def not_before(degree: str, node: str, p: str) -> Column:
         root_degree, root = F.col(f"{p}.root_degree"), F.col(f"{p}.root")

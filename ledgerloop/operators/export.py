@@ -66,8 +66,12 @@ def merge_nodes(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def merge_edges(existing: DataFrame, incoming: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Existing edges plus the new ones between known accounts; all six columns are the key."""
-    accounts = nodes.select("account_id").distinct()
+    """Existing edges plus the new ones between known accounts; all six columns are the key.
+
+    `nodes` is best a written table: its joins then have plain exchanges, which adaptive
+    execution can split at a hot account.
+    """
+    accounts = nodes.select("account_id")
     known = (
         incoming.select(*EDGE_COLUMNS)
         .join(accounts.withColumnRenamed("account_id", "source_account"), "source_account", "left_semi")

@@ -1,8 +1,9 @@
 """The account graph: labelled neighbourhood, pairs, nodes and summaries.
 
 Accounts may be heavily skewed, so every aggregation here combines on the map side and no
-row ever holds an unbounded group.  Joins keep one row per key on the inner side, which lets
-adaptive execution split a hot key on the other side.
+row ever holds an unbounded group.  A table that is aggregated by the join key is written
+before the join: joined in place it would share the exchange of the aggregation, and adaptive
+execution splits a hot key only between two plain exchanges.
 """
 
 from __future__ import annotations
@@ -11,9 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloop.operators.cleaning import graph_edges
+from ledgerloop.plans.workspace import Workspace
 from ledgerloop.schema import AMOUNT, TOTAL
 
 SEGMENT_ROWS = 1000
+HOT_SHARE = 10_000
 
 
 def endpoints(edges: DataFrame, name: str = "account_id") -> DataFrame:
@@ -29,14 +32,16 @@ def labelled_accounts(edges: DataFrame) -> DataFrame:
     return endpoints(edges.where(F.col("is_laundering") == 1))
 
 
-def labelled_subgraph(edges: DataFrame, require_labels: bool = False) -> DataFrame:
+def labelled_subgraph(
+    edges: DataFrame, ws: Workspace, require_labels: bool = False
+) -> DataFrame:
     """Edges that touch a labelled account on either side, each once.
 
     Two left outer joins instead of an IN ... OR IN ... filter: the existence joins of the
     latter cannot be split when one account holds a large share of the edges.
     """
-    accounts = labelled_accounts(edges)
-    if require_labels and accounts.isEmpty():
+    accounts, found = ws.materialize_counted(labelled_accounts(edges), "labelled-accounts")
+    if require_labels and not found:
         raise ValueError("no labelled accounts in the input")
     sources = accounts.select(F.col("account_id").alias("_labelled_source"))
     targets = accounts.select(F.col("account_id").alias("_labelled_target"))
@@ -118,27 +123,33 @@ def first_transfers(edges: DataFrame) -> DataFrame:
     )
 
 
-def pair_transfer_lists(edges: DataFrame, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+def pair_transfer_lists(
+    edges: DataFrame, ws: Workspace, segment_rows: int = SEGMENT_ROWS
+) -> DataFrame:
     """All transfers of each pair as arrays.
 
     A pair with more than `segment_rows` transfers is spread over several rows, so that no
     array grows with the data; smaller pairs have one row.
     """
-    sizes = edges.groupBy("source_account", "target_account").agg(
-        F.count(F.lit(1)).alias("n_transfers")
+    pair = ["source_account", "target_account"]
+    sizes = ws.materialize(
+        edges.groupBy(*pair).agg(F.count(F.lit(1)).alias("n_transfers")), "pair-sizes"
+    )
+    total = sizes.agg(F.sum("n_transfers")).first()[0] or 0
+    # Pairs with more than a HOT_SHARE-th of all transfers: at most HOT_SHARE of them, hence
+    # broadcast.  Their segments are shuffled apart; all other pairs fit into one task each.
+    is_hot = F.col("n_transfers") > max(segment_rows, total // HOT_SHARE)
+    hot = F.broadcast(sizes.where(is_hot))
+    sized = (
+        edges.join(hot, pair)
+        .unionByName(edges.join(hot, pair, "left_anti").join(sizes.where(~is_hot), pair))
     )
     segments = F.ceil(F.col("n_transfers") / segment_rows)
+    transfer = F.struct("timestamp", "transaction_id", "amount", "transaction_type")
     return (
-        edges.join(sizes, ["source_account", "target_account"])
-        .withColumn("segment", F.pmod(F.xxhash64("transaction_id"), segments))
-        .groupBy("source_account", "target_account", "n_transfers", "segment")
-        .agg(
-            F.sort_array(
-                F.collect_list(
-                    F.struct("timestamp", "transaction_id", "amount", "transaction_type")
-                )
-            ).alias("transactions")
-        )
+        sized.withColumn("segment", F.pmod(F.xxhash64("transaction_id"), segments))
+        .groupBy(*pair, "n_transfers", "segment")
+        .agg(F.sort_array(F.collect_list(transfer)).alias("transactions"))
         .select(
             F.col("source_account").alias("src"),
             F.col("target_account").alias("dst"),

@@ -72,14 +72,15 @@ def account_cycles(adapted: DataFrame, low: int, high: int, ws: Workspace) -> Da
     return ws.materialize(bounded_cycles(pairs, ws, low, high), "account-cycles")
 
 
-def _on_cycles(adapted: DataFrame, cycles: DataFrame) -> DataFrame:
+def _on_cycles(adapted: DataFrame, cycles: DataFrame, ws: Workspace) -> DataFrame:
     """Only the transfers that lie on a cycle; everything after this step works on these."""
     hops = (
         cycles.select(F.explode(paths.hops(F.col("path"))).alias("hop"))
         .select(F.col("hop.source").alias("src"), F.col("hop.target").alias("dst"))
         .distinct()
     )
-    return adapted.join(hops, ["src", "dst"], "left_semi")
+    # Written first, so that adaptive execution can split a pair with many transfers.
+    return adapted.join(ws.materialize(hops, "hops"), ["src", "dst"], "left_semi")
 
 
 def _cycles_and_edges(
@@ -87,7 +88,7 @@ def _cycles_and_edges(
 ) -> tuple[DataFrame, DataFrame]:
     adapted = adapt_edges(df)
     cycles = account_cycles(adapted, low, high, ws)
-    edges = ws.materialize(dedup_edges(_on_cycles(adapted, cycles)), "edges-on-cycles")
+    edges = ws.materialize(dedup_edges(_on_cycles(adapted, cycles, ws)), "edges-on-cycles")
     return cycles, edges
 
 
@@ -163,8 +164,13 @@ def _combinations(length: int) -> Column:
     return product
 
 
-def _counted_cycles(cycles: DataFrame, edges: DataFrame, length: int) -> DataFrame:
-    sizes = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+def _pair_sizes(edges: DataFrame, ws: Workspace) -> DataFrame:
+    return ws.materialize(
+        edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n")), "pair-sizes"
+    )
+
+
+def _counted_cycles(cycles: DataFrame, sizes: DataFrame, length: int) -> DataFrame:
     counted = _attach(_of_length(cycles, length), length, sizes, ["n"])
     return counted.withColumn("combinations", _combinations(length))
 
@@ -172,8 +178,9 @@ def _counted_cycles(cycles: DataFrame, edges: DataFrame, length: int) -> DataFra
 def motif_counts(df: DataFrame, ws: Workspace) -> DataFrame:
     """Number of motif rows per length, from pair sizes instead of the rows themselves."""
     cycles, edges = _cycles_and_edges(df, 2, 3, ws)
+    sizes = _pair_sizes(edges, ws)
     counts = [
-        _counted_cycles(cycles, edges, length)
+        _counted_cycles(cycles, sizes, length)
         .agg(F.coalesce(F.sum("combinations"), F.lit(0)).cast("long").alias("cycles"))
         .select(F.lit(length).alias("cycle_length"), "cycles")
         for length in (2, 3)
@@ -188,12 +195,13 @@ def motif_export(df: DataFrame, ws: Workspace, max_rows: int = MAX_EXPORT_ROWS)
     combinations are needed, and each is looked up by the rank of its transfers.
     """
     cycles, edges = _cycles_and_edges(df, 2, 3, ws)
+    sizes = _pair_sizes(edges, ws)
     exported, taken = [], 0
     by_time = Window.partitionBy("src", "dst").orderBy("timestamp", "amount")
     for length in (2, 3):
         room = max_rows - taken
         first = (
-            _counted_cycles(cycles, edges, length)
+            _counted_cycles(cycles, sizes, length)
             .withColumn("_order", paths.display(F.col("path")))
             .orderBy("_order")
             .limit(room)
@@ -222,7 +230,7 @@ def motif_export(df: DataFrame, ws: Workspace, max_rows: int = MAX_EXPORT_ROWS)
             choices = choices.withColumn(f"_rank_{i}", (rank + 1).cast("int"))
             block = (block * F.col(f"n_{i}")).cast("decimal(38,0)")
         ranked = (
-            _on_cycles(edges, needed)
+            _on_cycles(edges, needed, ws)
             .withColumn("rank", F.row_number().over(by_time))
             .where(F.col("rank") <= max_rows)
         )
@@ -249,7 +257,7 @@ def closed_pattern(
     """
     adapted = adapt_edges(df)
     cycles = account_cycles(adapted, length, length, ws)
-    edges = ws.materialize(_on_cycles(adapted, cycles), "edges-on-cycles")
+    edges = ws.materialize(_on_cycles(adapted, cycles, ws), "edges-on-cycles")
     rows = _attach(cycles, length, edges, ["amount", "timestamp"])
 
     def hop_values(name: str) -> Column:

@@ -32,8 +32,13 @@ class Rules:
     cap: int = 100
 
 
-def cycle_hops(cycles: DataFrame, first: DataFrame) -> DataFrame:
-    """One row per hop of each cycle with its representative transfer, null where there is none."""
+def cycle_hops(cycles: DataFrame, first: DataFrame, ws: Workspace) -> DataFrame:
+    """One row per hop of each cycle with its representative transfer, null where there is none.
+
+    `first` has one row per pair.  It is written before the join, so that a hop shared by
+    many cycles can be split.
+    """
+    known = ws.materialize(first, "first-transfers")
     steps = cycles.select(
         "path", F.posexplode(paths.hops(F.col("path"))).alias("position", "hop")
     ).select(
@@ -42,7 +47,7 @@ def cycle_hops(cycles: DataFrame, first: DataFrame) -> DataFrame:
         F.col("hop.source").alias("src"),
         F.col("hop.target").alias("dst"),
     )
-    return steps.join(first, ["src", "dst"], "left").select(
+    return steps.join(known, ["src", "dst"], "left").select(
         "path", "hop", "src", "dst", "transaction_id", "timestamp", "amount"
     )
 
@@ -60,8 +65,8 @@ def measure_hops(hops: DataFrame) -> DataFrame:
     )
 
 
-def measure_cycles(cycles: DataFrame, edges_first: DataFrame) -> DataFrame:
-    return measure_hops(cycle_hops(cycles, edges_first))
+def measure_cycles(cycles: DataFrame, first: DataFrame, ws: Workspace) -> DataFrame:
+    return measure_hops(cycle_hops(cycles, first, ws))
 
 
 def _found(df: DataFrame) -> Column:

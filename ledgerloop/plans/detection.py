@@ -115,10 +115,10 @@ def _write_clean(spark: SparkSession, at: Layout, cfg: Settings, ws: Workspace)
     )
 
 
-def _write_subgraph(spark: SparkSession, at: Layout) -> None:
+def _write_subgraph(spark: SparkSession, at: Layout, ws: Workspace) -> None:
     edges = read_transfers(spark, at.path("transactions_graph_edges"), at.fmt)
     write_table(
-        graph.labelled_subgraph(edges, require_labels=True),
+        graph.labelled_subgraph(edges, ws, require_labels=True),
         at.path("transactions_laundering_subgraph"),
         at.fmt,
         sort_within="timestamp",
@@ -145,7 +145,7 @@ def run(spark: SparkSession, step: str, at: Layout, cfg: Settings = Settings())
         if step in ("clean", "all"):
             _write_clean(spark, at, cfg, ws)
         if step in ("subgraph", "all"):
-            _write_subgraph(spark, at)
+            _write_subgraph(spark, at, ws)
         if step in ("detect", "all"):
             _write_cases(spark, at, "transactions_laundering_subgraph", cfg, ws)
         if step == "demo":

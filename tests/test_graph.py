@@ -10,21 +10,21 @@ def edges(spark, small):
     return graph.detection_input(tables.large_transfers(spark, small))
 
 
-def test_large_transfers_golden(spark, small, edges):
+def test_large_transfers_golden(spark, ws, small, edges):
     assert tables.large_transfers(spark, small).count() == 590
     (summary,) = graph.graph_summary(edges).collect()
     assert (summary["nodes"], summary["edges"]) == (144, 484)
     assert summary["density"] == pytest.approx(0.0235042735, abs=1e-10)
     (totals,) = graph.label_totals(edges).collect()
     assert (totals["labelled_rows"], totals["labelled_accounts"]) == (14, 22)
-    assert graph.labelled_subgraph(edges).count() == 541
+    assert graph.labelled_subgraph(edges, ws).count() == 541
 
 
-def test_subgraph_needs_labels_on_request(edges):
+def test_subgraph_needs_labels_on_request(ws, edges):
     none = edges.withColumn("is_laundering", F.lit(0))
-    assert graph.labelled_subgraph(none).count() == 0
+    assert graph.labelled_subgraph(none, ws).count() == 0
     with pytest.raises(ValueError, match="labelled"):
-        graph.labelled_subgraph(none, require_labels=True)
+        graph.labelled_subgraph(none, ws, require_labels=True)
 
 
 def test_empty_and_single_node_density(edges):
@@ -39,9 +39,9 @@ def test_pairs_keep_the_earliest_transfer(make_transfers):
     assert float(row["total_amount"]) == 18.0
 
 
-def test_long_transfer_lists_are_split_without_loss(make_transfers):
+def test_long_transfer_lists_are_split_without_loss(ws, make_transfers):
     rows = [("a", "b", i + 1, i) for i in range(100)] + [("b", "a", 1, 0)]
-    lists = graph.pair_transfer_lists(make_transfers(rows), segment_rows=10).collect()
+    lists = graph.pair_transfer_lists(make_transfers(rows), ws, segment_rows=10).collect()
     hot = [r for r in lists if r["src"] == "a"]
     assert len(hot) > 5
     names = [t["transaction_id"] for r in hot for t in r["transactions"]]

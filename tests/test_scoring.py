@@ -61,7 +61,7 @@ def test_cycle_against_time_order_is_scored(ws, make_transfers):
 def test_partly_and_never_matched_cycles(spark, ws, make_transfers):
     known = graph.first_transfers(make_transfers([("a", "b", 100, 0), ("b", "c", 100, 10)]))
     found = spark.createDataFrame([(["a", "b", "c"],), (["x", "y"],)], "path array<string>")
-    cases = scoring.score_cycles(scoring.measure_cycles(found, known), ws)
+    cases = scoring.score_cycles(scoring.measure_cycles(found, known, ws), ws)
     rows = {r["cycle_id"]: r for r in cases.collect()}
     none, part = rows["C001"], rows["C002"]
     assert (none["total_amount"], none["duration_minutes"], none["amount_variance"]) == (
@@ -75,7 +75,7 @@ def test_partly_and_never_matched_cycles(spark, ws, make_transfers):
 def test_carried_measures_equal_joined_measures(spark, ws, small):
     edges = graph.detection_input(tables.large_transfers(spark, small))
     found = cycles.detect_cycles(edges, ws)
-    joined = scoring.measure_cycles(found.select("path"), graph.first_transfers(edges))
+    joined = scoring.measure_cycles(found.select("path"), graph.first_transfers(edges), ws)
     columns = ["path", "n_accounts", "total", "low", "high", "first_time", "last_time"]
     key = lambda r: r["path"]
     assert sorted(found.select(*columns).collect(), key=key) == sorted(
