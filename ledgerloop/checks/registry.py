@@ -50,7 +50,8 @@ def _raw(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _normalized(spark: SparkSession, d: str) -> DataFrame:
-    return cleaning.normalize_transfers(_raw(spark, d), F.col("row_key"))
+    parsed = cleaning.normalize_transfers(_raw(spark, d), F.col("row_key"))
+    return Workspace(spark).materialize(parsed, "normalized")
 
 
 def _chunked(spark: SparkSession, d: str) -> DataFrame:
@@ -159,7 +160,7 @@ def parse_label(spark, d):
 
 @query
 def normalize_transfers(spark, d):
-    return _plain(_normalized(spark, d))
+    return _plain(cleaning.normalize_transfers(_raw(spark, d), F.col("row_key")))
 
 
 @query

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerloop.schema import AMOUNT
 
-# Texts that stand for "no value" (case-sensitive), besides the empty text.
-NULL_TEXTS = ("nan", "None")
+# Texts that stand for "no value" (case-sensitive).
+NULL_TEXTS = ("", "nan", "None")
 
 # Fixed value: the characters that count as white space at the ends of a text.
 BLANKS = (
@@ -17,8 +17,6 @@ BLANKS = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-VALUE = rf"(?s)^(?!({'|'.join(NULL_TEXTS)})$).+"
-
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 UNKNOWN_BANK = "UNKNOWN"
@@ -28,30 +26,29 @@ def strip(c: Column) -> Column:
     """Without blanks at both ends.
 
     Trimming a character set is slow, so texts that begin and end with a printable ASCII
-    character are passed through.
+    character ("!" to "~") are passed through.
     """
     text = c.cast("string")
-    return F.when(text.rlike("^[^!-~]|[^!-~]$"), F.btrim(text, F.lit(BLANKS))).otherwise(text)
+    last = F.substring(text, -1, 1)
+    outside = (text < "!") | (text >= "\x7f") | (last < "!") | (last >= "\x7f")
+    return F.when(outside, F.btrim(text, F.lit(BLANKS))).otherwise(text)
 
 
-# The functions below mention the stripped text once: a filter that is pushed below a
-# projection repeats the projected expressions, and every mention would multiply that work.
+# The as_* functions take stripped text and mention it more than once; operators.cleaning
+# strips into columns first, so that generated code stays small and each text is read once.
 
 
-def clean_text(c: Column) -> Column:
-    """Stripped text, null for the texts that stand for no value."""
-    return F.get(F.regexp_extract_all(strip(c), F.lit(VALUE), F.lit(0)), F.lit(0))
+def as_value(text: Column) -> Column:
+    return F.when(~text.isin(*NULL_TEXTS), text)
 
 
-def canonical_bank(c: Column, keep_zeros: bool = False) -> Column:
-    """Numeric bank codes without leading zeros, so that 010 and 10 are one bank."""
-    bank = clean_text(c)
+def as_bank(text: Column, keep_zeros: bool = False) -> Column:
+    bank = as_value(text)
     return bank if keep_zeros else F.regexp_replace(bank, r"^0+(?=[0-9]+$)", "")
 
 
-def account_key(bank: Column, account: Column, keep_zeros: bool = False) -> Column:
-    """bank_account, null when either part is null."""
-    return F.concat(canonical_bank(bank, keep_zeros), F.lit("_"), clean_text(account))
+def as_account(bank: Column, account: Column, keep_zeros: bool = False) -> Column:
+    return F.concat(as_bank(bank, keep_zeros), F.lit("_"), as_value(account))
 
 
 def plain_number(text: Column) -> Column:
@@ -62,23 +59,51 @@ def plain_number(text: Column) -> Column:
     return F.regexp_extract(text, NUMBER, 0)
 
 
+def as_amount(text: Column) -> Column:
+    return plain_number(F.replace(text, F.lit(","), F.lit(""))).try_cast(AMOUNT)
+
+
+def as_timestamp(text: Column) -> Column:
+    month_first = F.contains(F.substring(text, 2, 2), F.lit("/"))
+    iso = F.when(
+        month_first,
+        F.regexp_replace(text, r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})", "$3-$1-$2"),
+    ).otherwise(F.translate(text, "/", "-"))
+    return iso.try_cast("timestamp_ntz")
+
+
+def as_label(text: Column) -> Column:
+    return F.coalesce(plain_number(text).try_cast("double").try_cast("int"), F.lit(0))
+
+
+def clean_text(c: Column) -> Column:
+    """Stripped text, null for the texts that stand for no value."""
+    return as_value(strip(c))
+
+
+def canonical_bank(c: Column, keep_zeros: bool = False) -> Column:
+    """Numeric bank codes without leading zeros, so that 010 and 10 are one bank."""
+    return as_bank(strip(c), keep_zeros)
+
+
+def account_key(bank: Column, account: Column, keep_zeros: bool = False) -> Column:
+    """bank_account, null when either part is null."""
+    return as_account(strip(bank), strip(account), keep_zeros)
+
+
 def parse_amount(c: Column) -> Column:
     """Exact amount, null unless the text is a plain number; commas are dropped."""
-    return plain_number(F.replace(strip(c), F.lit(","), F.lit(""))).try_cast(AMOUNT)
+    return as_amount(strip(c))
 
 
 def parse_timestamp(c: Column) -> Column:
     """Zone-free timestamp; year-first with dashes or slashes, or month-first with slashes."""
-    year_first = F.regexp_replace(strip(c), r"^([0-9]{4})/([0-9]{1,2})/", "$1-$2-")
-    iso = F.regexp_replace(
-        year_first, r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})", "$3-$1-$2"
-    )
-    return iso.try_cast("timestamp_ntz")
+    return as_timestamp(strip(c))
 
 
 def parse_label(c: Column) -> Column:
     """Integer part of a number, 0 for anything else."""
-    return F.coalesce(plain_number(strip(c)).try_cast("double").try_cast("int"), F.lit(0))
+    return as_label(strip(c))
 
 
 def bank_of(account: Column) -> Column:

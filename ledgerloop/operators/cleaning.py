@@ -32,22 +32,24 @@ def normalize_transfers(
     keep_zeros: bool = False,
     extra: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Raw text rows to the transfer schema; one projection, no shuffle.
+    """Raw text rows to the transfer schema; two projections, no shuffle.
 
-    Without `id_column` the rows get no transaction_id yet.
+    Without `id_column` the rows get no transaction_id yet.  Write the result before filtering
+    it: a filter is pushed below the projections and would parse the text a second time.
     """
     df = require_columns(trim_names(raw), RAW_REQUIRED)
+    stripped = df.withColumns({name: text.strip(F.col(f"`{name}`")) for name in RAW_REQUIRED})
     identity = [] if id_column is None else [id_column.alias("transaction_id")]
-    source = text.account_key(F.col("From Bank"), F.col("Account"), keep_zeros)
-    target = text.account_key(F.col("To Bank"), F.col("`Account.1`"), keep_zeros)
-    return df.select(
+    source = text.as_account(F.col("From Bank"), F.col("Account"), keep_zeros)
+    target = text.as_account(F.col("To Bank"), F.col("`Account.1`"), keep_zeros)
+    return stripped.select(
         *identity,
         source.alias("source_account"),
         target.alias("target_account"),
-        text.parse_amount(F.col("Amount Paid")).alias("amount"),
-        text.parse_timestamp(F.col("Timestamp")).alias("timestamp"),
-        text.clean_text(F.col("Payment Format")).alias("transaction_type"),
-        text.parse_label(F.col("Is Laundering")).alias("is_laundering"),
+        text.as_amount(F.col("Amount Paid")).alias("amount"),
+        text.as_timestamp(F.col("Timestamp")).alias("timestamp"),
+        text.as_value(F.col("Payment Format")).alias("transaction_type"),
+        text.as_label(F.col("Is Laundering")).alias("is_laundering"),
         *extra,
     )
 
