@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloop.schema import AMOUNT
 
 # Detection looks for rings of large transfers.  Over all transfers the accounts that both
-# send and receive form one dense graph whose six-account cycles number close to a billion.
+# send and receive form one dense graph with, by estimate, several hundred million cycles.
 LARGE_QUANTITY = 46
 
 

@@ -26,6 +26,8 @@ MAX_LENGTH = 6
 TRIM_ROUNDS = 8
 # Another round is not worth two shuffles when the last one removed less than this share.
 TRIM_GAIN = 0.1
+# Nor for a graph of this size or less.
+TRIM_ROWS = 100_000
 
 
 def _with_degrees(edges: DataFrame, ws: Workspace, trim: bool) -> DataFrame:
@@ -71,7 +73,7 @@ def ranked_core(
     current, rows = ws.materialize_counted(edges, "pairs")
     for _ in range(rounds if trim else 1):
         current, remaining = ws.materialize_counted(_with_degrees(current, ws, trim), "arcs")
-        if remaining >= rows * (1 - TRIM_GAIN):
+        if remaining <= TRIM_ROWS or remaining >= rows * (1 - TRIM_GAIN):
             break
         rows = remaining
     return current
