@@ -20,6 +20,7 @@ from typing import Any
 
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +37,13 @@ CHUNK_SCHEMA = "chunk long, bucket int, content binary, kind int"
 
 
 def pack(value: Any) -> bytes:
-    return pickle.dumps(value, protocol=5)
+    """Pickled and compressed: tables and shuffles of chunks are mostly numbers below their type's
+    range."""
+    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(value, protocol=5))
+
+
+def unpack(content: bytes) -> Any:
+    return pickle.loads(zstandard.ZstdDecompressor().decompress(content))
 
 
 def bucket_count(docs: DataFrame) -> int:
@@ -110,7 +117,7 @@ def per_bucket(
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("chunk")
-        lists = [pickle.loads(c) for c in group["content"]]
+        lists = [unpack(c) for c in group["content"]]
         rows = handle(int(group["bucket"].iloc[0]), group["chunk"].tolist(), lists)
         return pd.DataFrame(list(rows), columns=schema.names)
 
@@ -130,7 +137,7 @@ def finish_chunks(
         if not len(own):
             return pd.DataFrame()
         ordered = answered.sort_values("bucket")["content"] if len(answered) else []
-        return finish(pickle.loads(own["content"].iloc[0]), [pickle.loads(c) for c in ordered])
+        return finish(unpack(own["content"].iloc[0]), [unpack(c) for c in ordered])
 
     return (
         payloads.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(run, kind)

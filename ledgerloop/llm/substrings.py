@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloop.llm.chunks import bucket_count, pack, per_bucket, write_chunks
+from ledgerloop.llm.chunks import bucket_count, pack, per_bucket, unpack, write_chunks
 from ledgerloop.llm.common import Workspace, read_table
 
 WINDOW = 13
@@ -55,11 +55,8 @@ _RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
 def _squeeze(value: object) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(pack(value))
-
-
-def _open(content: bytes) -> object:
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(content))
+    """As pack does, but for texts, where more effort pays."""
+    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(value, protocol=5))
 
 
 def _payload(ids: list, texts: list) -> tuple[bytes, dict]:
@@ -118,7 +115,7 @@ class _Chunk:
     """A payload laid out for use: word positions, and the passages with their documents."""
 
     def __init__(self, content: bytes, buckets: int):
-        self.ids, self.data, n, lengths, offsets = _open(content)
+        self.ids, self.data, n, lengths, offsets = unpack(content)
         self.n = n.astype(np.int64)
         size = np.array([len(w) for w in self.data.split(b" ")] if self.n.sum() else [], np.int64)
         self.end = np.cumsum(size + 1) - 1
@@ -223,7 +220,7 @@ def smallest_documents(suffixes: list[bytes], docs: np.ndarray, group: int = GRO
 def _earlier_elsewhere(bucket: int, chunks: list[int], lists: list[bytes]) -> Iterator[tuple]:
     """For each window of each passage whether any chunk has it in an earlier document than the
     asking chunk does."""
-    opened = [_open(x) for x in lists]
+    opened = [unpack(x) for x in lists]
     data = b"\n".join([text for text, _, _ in opened])
     windows = np.concatenate([w for _, w, _ in opened]).astype(np.int64)
     least = np.concatenate([d for _, _, d in opened])
@@ -245,7 +242,7 @@ def _earlier_elsewhere(bucket: int, chunks: list[int], lists: list[bytes]) -> It
 def _bits(frame: pd.DataFrame, kind: int) -> np.ndarray:
     """The answers of a kind, in the order of their buckets."""
     frame = frame[frame["kind"] == kind].sort_values("bucket")
-    found = [pickle.loads(c) for c in frame["content"]]
+    found = [unpack(c) for c in frame["content"]]
     return np.concatenate(
         [np.zeros(0, bool), *[np.unpackbits(b, count=n).astype(bool) for n, b in found]]
     )
@@ -261,7 +258,7 @@ def remove_repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("chunk", "content")]
             for chunk, content in zip(*columns):
-                asked = list(_Chunk(pickle.loads(content), buckets).anchors())
+                asked = list(_Chunk(unpack(content), buckets).anchors())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([chunk] * len(asked), pa.int64()),
@@ -279,7 +276,7 @@ def remove_repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
     def ask_passages(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         rows = []
         if len(own) and len(answers):
-            chunk = _Chunk(pickle.loads(own["content"].iloc[0]), buckets)
+            chunk = _Chunk(unpack(own["content"].iloc[0]), buckets)
             _, _, distinct, least = chunk.candidates(_bits(answers, 1))
             edges = [k for k, d in enumerate(distinct) if not k or d[0] != distinct[k - 1][0]]
             for a, b in zip(edges, [*edges[1:], len(distinct)]):
@@ -306,7 +303,7 @@ def remove_repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
     def finish(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(own):
             return pd.DataFrame()
-        chunk = _Chunk(pickle.loads(own["content"].iloc[0]), buckets)
+        chunk = _Chunk(unpack(own["content"].iloc[0]), buckets)
         n = chunk.n
         edge = np.zeros(int(n.sum()) + 1, dtype=np.int64)
         if len(answers):
