@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,8 +38,10 @@ PIECES = regex.compile(
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 )
 
-#: Fragments whose ids a worker remembers; about 160 bytes each.
-REMEMBERED = 1_000_000
+#: Bytes of texts that are encoded together, one text at least.
+GROUP_BYTES = 4_000_000
+#: Fragments met lately whose ids a worker remembers, and as many met before; about 160 bytes each.
+REMEMBERED = 600_000
 
 _FRAGMENT = re.compile(r"\s*\S+|\s+")
 _SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
@@ -123,17 +126,6 @@ class _Merges:
         return np.concatenate(done), np.concatenate(where)
 
 
-class _Known(dict):
-    """Ids by piece; notes the pieces that it is asked for in vain."""
-
-    def __init__(self):
-        super().__init__()
-        self.wanted: set[str] = set()
-
-    def __missing__(self, piece: str) -> None:
-        self.wanted.add(piece)
-
-
 class Codec:
     """Encodes and decodes with one tokenizer definition of the tokenizers library."""
 
@@ -171,8 +163,9 @@ class Codec:
             c.isspace() for token in added for c in token
         )
         self._most = remembered
-        #: Ids of pieces with the space before them, and of pieces that start a text.
-        self._after_space, self._first = _Known(), _Known()
+        #: Ids of pieces with the space before them: those met lately, and those met before.
+        self._after_space: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     @staticmethod
     def _check(spec: dict) -> None:
@@ -217,12 +210,17 @@ class Codec:
             if fragment:
                 pieces += self._split(fragment)
             ends.append(len(pieces))
+        sizes = np.cumsum([0, *map(len, pieces)])
+        return self._ids_of_pieces(pieces, sizes[ends])
+
+    def _ids_of_pieces(self, pieces: list[bytes], ends: np.ndarray) -> list[bytes]:
+        """Of pieces one after the other, the ids of what lies between these bytes, which are ends
+        of pieces."""
         if not pieces:
-            return [b""] * len(fragments)
+            return [b""] * (len(ends) - 1)
         data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
-        piece_ends = np.cumsum([0, *map(len, pieces)])
         starts = np.zeros(len(data), dtype=bool)
-        starts[piece_ends[:-1]] = True
+        starts[np.cumsum([0, *map(len, pieces[:-1])])] = True
         starts[1:] |= ~self.joined[data[:-1], data[1:]]  # the forced boundaries
         run = np.cumsum(starts) - 1
         begin = np.append(np.flatnonzero(starts), len(data))
@@ -241,41 +239,91 @@ class Codec:
             ids, where = self._merges.apply(data, run, n)
         order = np.argsort(where, kind="stable")
         packed = ids[order].astype("<u4").tobytes()
-        first_run = np.searchsorted(begin, piece_ends[ends])
+        first_run = np.searchsorted(begin, ends)
         at = (4 * np.searchsorted(where[order], first_run)).tolist()
         return [packed[a:b] for a, b in zip(at, at[1:])]
 
-    def _learn(self, known: _Known, before: str) -> None:
-        """Remembers the ids of the pieces asked for.  None: white space ends the piece, so that
-        the cut behind it is uncertain."""
-        new, known.wanted = known.wanted, set()
-        known.update(dict.fromkeys(new))
+    def _learn(self, new: list[str]) -> None:
+        """Remembers the ids of pieces with a space before them.  No ids: white space ends the piece,
+        so that the cut behind it is uncertain."""
+        older = self._older
+        found = [older.get(w) for w in new]
+        known = self._after_space
+        known.update((w, x) for w, x in zip(new, found) if x is not None)
+        new = [w for w, x in zip(new, found) if x is None]
+        known.update(dict.fromkeys(new, b""))
         certain = [p for p in new if p and not p[-1].isspace()]
-        known.update(zip(certain, self.fragment_ids([before + p for p in certain])))
-
-    def encode_many(self, texts: list[str | None]) -> list[bytes]:
+        if not certain:
+            return
+        text = " " + " ".join(certain)
+        if max(text) >= _LATIN_END or (self._added_pattern and self._added_pattern.search(text)):
+            plain = [p for p in certain if max(p) < _LATIN_END and "<" not in p]
+            other = set(certain) - set(plain)
+            known.update(zip(other, self.fragment_ids([" " + p for p in other])))
+            certain, text = plain, " " + " ".join(plain)
+        if certain:
+            # The cuts between the pieces being certain, all are split by one search.
+            pieces = list(map(str.encode, PIECES.findall(text)))
+            sizes = [len(p) + 1 for p in map(str.encode, certain)]
+            known.update(zip(certain, self._ids_of_pieces(pieces, np.cumsum([0, *sizes]))))
+
+    def encode_array(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; null is empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
         if not self._cut_at_spaces:
-            return self.fragment_ids([text or "" for text in texts])
+            return self.fragment_ids(texts.to_pylist())
         encoded: list[bytes] = []
-        after_space, at_first = self._after_space.__getitem__, self._first.__getitem__
-        for group in _groups(texts):
-            for known in (self._after_space, self._first):
-                if len(known) > self._most:
-                    known.clear()
-            split = [text.split(" ") if text else [""] for text in group]
-            found = [[at_first(p[0]), *map(after_space, p[1:])] for p in split]
-            self._learn(self._after_space, " ")
-            self._learn(self._first, "")
-            for text, pieces, ids in zip(group, split, found):
-                first = ids[0] or (at_first(pieces[0]) if pieces[0] else b"")
-                rest = zip(ids[1:], pieces[1:])
-                ids = [first, *[x if x is not None else after_space(p) for x, p in rest]]
-                if None in ids:  # an uncertain cut: only cut before runs of white space
-                    ids = self.fragment_ids(_FRAGMENT.findall(text))
-                encoded.append(b"".join(ids))
+        size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < len(texts):
+            base = size[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(size, base + GROUP_BYTES, side="right")))
+            encoded += self._encode_group(texts.slice(start, stop - start))
+            start = stop
         return encoded
 
+    def _encode_group(self, texts: pa.Array) -> list[bytes]:
+        split = pc.split_pattern(texts, pattern=" ")
+        offsets = split.offsets.to_numpy()
+        coded = split.flatten().dictionary_encode()
+        index = np.array(coded.indices, dtype=np.int32)
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = self._after_space
+        ids = list(map(known.get, words))
+        new = [w for w, x in zip(words, ids) if x is None]
+        if new:
+            self._learn(new)
+            ids = list(map(known.__getitem__, words))
+            if len(known) > self._most:
+                self._older, self._after_space = known, {}
+        # The first piece of a text has no space before it: an entry of its own.
+        first = offsets[:-1] - offsets[0]
+        openers = list(dict.fromkeys([words[k] for k in index[first].tolist()]))
+        number = {w: len(words) + k for k, w in enumerate(openers)}
+        starting = [words[k] for k in index[first].tolist()]
+        length = np.array(list(map(len, ids)), dtype=np.int32) // 4
+        doubtful = length[index] == 0
+        doubtful[first] &= np.array([w != "" for w in starting], dtype=bool)
+        in_text = np.add.reduceat(doubtful.astype(np.int32), first)
+        index[first] = [number[w] for w in starting]
+        opening = self.fragment_ids(openers)
+        length = np.append(length, np.array(list(map(len, opening)), dtype=np.int32) // 4)
+        begin = np.cumsum(length, dtype=np.int32) - length
+        flat = np.frombuffer(b"".join(ids + opening), dtype="<u4")
+        n = length[index]
+        ends = np.cumsum(n, dtype=np.int32)
+        at = np.repeat(begin[index] - (ends - n), n) + np.arange(ends[-1], dtype=np.int32)
+        out = flat[at].tobytes()
+        edges = (4 * np.append(0, ends).astype(np.int64)[np.append(first, len(index))]).tolist()
+        encoded = [out[a:b] for a, b in zip(edges, edges[1:])]
+        # An uncertain cut: the text is only cut before runs of white space.
+        for k in np.flatnonzero(in_text).tolist():
+            encoded[k] = b"".join(self.fragment_ids(_FRAGMENT.findall(texts[k].as_py())))
+        return encoded
+
+    def encode_many(self, texts: list[str | None]) -> list[bytes]:
+        return self.encode_array(pa.array(texts, pa.string()))
+
     def encode(self, text: str | None) -> bytes:
         return self.encode_many([text])[0]
 
@@ -285,20 +333,6 @@ class Codec:
         return b"".join(map(self._bytes.__getitem__, numbers)).decode("utf-8", "replace")
 
 
-def _groups(texts: list[str | None]) -> Iterator[list[str | None]]:
-    """Consecutive texts of about four million characters, one at least."""
-    group: list[str | None] = []
-    size = 0
-    for text in texts:
-        group.append(text)
-        size += len(text or "")
-        if size >= 4_000_000:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
-
-
 def read_definition(path: str) -> str:
     """A tokenizer file, read on the driver; a few megabytes, whatever the corpus."""
     with open(path, encoding="utf-8") as file:
@@ -331,7 +365,7 @@ def encode_documents(
     def run(batches: Iterator) -> Iterator[pa.RecordBatch]:
         codec = codec_of(shared.value)
         for batch in batches:
-            encoded = codec.encode_many(batch.column("text").to_pylist())
+            encoded = codec.encode_array(batch.column("text"))
             offsets = np.zeros(len(encoded) + 1, dtype=np.int32)
             np.cumsum([len(e) // 4 for e in encoded], out=offsets[1:])
             values = np.frombuffer(b"".join(encoded), dtype="<i4")

@@ -146,7 +146,7 @@ def tokenize(docs: DataFrame, definition: str, ws: Workspace) -> DataFrame:
         narrow = codec.size <= 1 << 16
         end = END_ID.to_bytes(4, "little")
         for batch in batches:
-            encoded = [e + end for e in codec.encode_many(batch.column("text").to_pylist())]
+            encoded = [e + end for e in codec.encode_array(batch.column("text"))]
             size = pa.array([len(e) // 4 for e in encoded], pa.int64())
             if narrow:
                 encoded = [np.frombuffer(e, "<u4").astype("<u2").tobytes() for e in encoded]
@@ -171,19 +171,22 @@ def count_ids(tokens: DataFrame, size: int) -> np.ndarray:
     def run(batches: Iterator) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(size, dtype=np.int64)
         for batch in batches:
-            sizes = batch.column("n").to_pylist()
-            for ids, n in zip(batch.column("ids").to_pylist(), sizes):
-                found = _numbers(ids, n)
-                if n < size // 8:
-                    np.add.at(counts, found, 1)
-                else:
-                    counts += np.bincount(found, minlength=size)
+            ids = batch.column("ids").cast(pa.large_binary())
+            if not len(ids):
+                continue
+            # All documents' bytes lie one after the other.
+            _, offsets, data = ids.buffers()
+            edges = np.frombuffer(offsets, np.int64)[ids.offset : ids.offset + len(ids) + 1]
+            joined = memoryview(data)[int(edges[0]) : int(edges[-1])]
+            wide = np.frombuffer(joined, "<u2" if size <= 1 << 16 else "<u4")
+            for start in range(0, len(wide), 1 << 20):
+                counts += np.bincount(wide[start : start + (1 << 20)], minlength=size)
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(seen.astype(np.int32)), pa.array(counts[seen])], names=["id", "count"]
         )
 
-    found = tokens.select("n", "ids").mapInArrow(run, "id int, count long")
+    found = tokens.select("ids").mapInArrow(run, "id int, count long")
     counts = np.zeros(size, dtype=np.int64)
     for row in found.groupBy("id").agg(F.sum("count").alias("count")).collect():
         counts[row["id"]] = row["count"]
@@ -207,18 +210,8 @@ def write_files(tokens: DataFrame, code: Code, path: str, file_ids: int = FILE_I
         else []
     )
     cuts = sorted(set(cuts or []))
-    borders = share(tokens.sparkSession, np.array(cuts, dtype=np.int64))
     shared = share(tokens.sparkSession, code)
 
-    def place(batches: Iterator) -> Iterator[pa.RecordBatch]:
-        edges = borders()
-        for batch in batches:
-            keys = batch.column("key").fill_null(-(2**63)).to_numpy(zero_copy_only=False)
-            part = np.searchsorted(edges, keys, side="right").astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(part)], names=["key", "n", "ids", "part"]
-            )
-
     def build(batches: Iterator) -> Iterator[pa.RecordBatch]:
         code = shared()
         before, block = 0, 0
@@ -262,15 +255,17 @@ def write_files(tokens: DataFrame, code: Code, path: str, file_ids: int = FILE_I
         if held:
             yield finished()
 
-    placed = tokens.mapInArrow(place, "key long, n long, ids binary, part int")
+    below = F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("key"))
+    part = F.coalesce(F.size(below), F.lit(0)) if cuts else F.lit(0)
+    placed = tokens.withColumn("part", F.when(F.col("key").isNull(), 0).otherwise(part).cast("int"))
     sorted_ = placed.repartitionById(len(cuts) + 1, F.col("part")).sortWithinPartitions("key", "ids")
     blocks = sorted_.drop("part").mapInArrow(build, BLOCK_SCHEMA)
     blocks.write.option("compression", "none").parquet(path)
 
 
-def read_files(spark: SparkSession, path: str, code: Code) -> DataFrame:
-    """One row per document: doc_id, start (ids before it in all files), n_tokens and ids (bytes
-    of little-endian unsigned 32-bit integers)."""
+def read_files(spark: SparkSession, path: str, code: Code, with_ids: bool = True) -> DataFrame:
+    """One row per document: doc_id, start (ids before it in all files), n_tokens, ids (bytes of
+    little-endian unsigned 32-bit integers; null if not asked for) and their crc32."""
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(path)
     sizes = blocks.select(
         "part", F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, x: a + x).alias("n")
@@ -294,14 +289,14 @@ def read_files(spark: SparkSession, path: str, code: Code) -> DataFrame:
                 ids = code.decode(block["payload"].as_py(), marks, lengths).astype("<u4")
                 ends = np.cumsum(n)
                 data = memoryview(ids.tobytes())
-                own = [bytes(data[4 * (e - m) : 4 * e]) for e, m in zip(ends.tolist(), n.tolist())]
+                own = [data[4 * (e - m) : 4 * e] for e, m in zip(ends.tolist(), n.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([block["part"].as_py()] * len(n), pa.int32()),
                         pa.array(block["first"].as_py() + ends - n),
                         block["doc_ids"].values,
                         pa.array(n),
-                        pa.array(own, pa.binary()),
+                        pa.array([bytes(x) if with_ids else None for x in own], pa.binary()),
                         pa.array([zlib.crc32(x) for x in own], pa.int64()),
                     ],
                     names=["part", "first", "doc_id", "n_tokens", "ids", "ids_crc32"],
@@ -323,4 +318,4 @@ def op6_huffman(spark: SparkSession, folder: str) -> DataFrame:
     code = Code(limited_lengths(counts))
     path = ws.new_path("huffman-files")
     write_files(tokens, code, path)
-    return read_files(spark, path, code).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return read_files(spark, path, code, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
