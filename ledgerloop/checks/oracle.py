@@ -6,7 +6,6 @@ Cycles are found here by plain recursion from the smallest account, not by half
 from __future__ import annotations
 
 from ledgerloop.checks.registry import CHUNK_ROWS, EXPORT_ROWS, TOP_ROWS
-from ledgerloop.checks.tables import LARGE_QUANTITY
 from ledgerloop.functions import labels
 
 _RULE = labels.ENGLISH
@@ -23,30 +22,41 @@ _LABEL = """CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' AND l_discount >
 
 _KEY = "concat_ws('_', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
 
+_DETAILS = f"""CAST(CAST(CASE WHEN l_partkey % 3 = 0 THEN round(l_extendedprice * 30, 2)
+      ELSE round(l_extendedprice + 2500000, 2) END AS DECIMAL(18,2)) AS DECIMAL(20,6)) AS amount,
+    {_TIME} AS "timestamp",
+    CASE l_linenumber WHEN 1 THEN 'ACH' WHEN 2 THEN 'Wire' WHEN 3 THEN 'Cheque'
+      WHEN 4 THEN 'Cash' ELSE 'Credit Card' END AS transaction_type,
+    {_LABEL} AS is_laundering"""
+
 TRANSFERS = f"""lines AS (
   SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 transfers AS (
   SELECT {_KEY} AS transaction_id,
     concat(o_custkey % 25, '_', o_custkey) AS source_account,
     concat(l_suppkey % 25, '_', l_suppkey) AS target_account,
-    CAST(CAST(CASE WHEN l_partkey % 3 = 0 THEN round(l_extendedprice * 30, 2)
-      ELSE round(l_extendedprice + 2500000, 2) END AS DECIMAL(18,2)) AS DECIMAL(20,6)) AS amount,
-    {_TIME} AS "timestamp",
-    CASE l_linenumber WHEN 1 THEN 'ACH' WHEN 2 THEN 'Wire' WHEN 3 THEN 'Cheque'
-      WHEN 4 THEN 'Cash' ELSE 'Credit Card' END AS transaction_type,
-    {_LABEL} AS is_laundering, l_quantity
+    {_DETAILS}
   FROM lines),
 edges AS (SELECT * FROM transfers WHERE source_account <> target_account),
-large AS (SELECT * FROM edges WHERE l_quantity >= {LARGE_QUANTITY})"""
-
-EVENTS = """large AS (
+spread_lines AS (SELECT *, l_suppkey * 15 + l_partkey % 15 AS receiver FROM lines),
+ring_transfers AS (
+  SELECT {_KEY} AS transaction_id,
+    concat(o_custkey % 25, '_', o_custkey * 10 + o_orderkey % 10) AS source_account,
+    concat(receiver % 25, '_', receiver * 10 + (l_partkey + l_linenumber) % 10) AS target_account,
+    {_DETAILS}
+  FROM spread_lines),
+rings AS (SELECT * FROM ring_transfers WHERE source_account <> target_account)"""
+
+EVENTS = """numbered_events AS (
+  SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
+rings AS (
   SELECT * FROM (
-    SELECT CAST(event_id AS VARCHAR) AS transaction_id,
-      concat(user_id % 10, '_', user_id) AS source_account,
-      concat(k % 10, '_', k) AS target_account,
-      CAST(value AS DECIMAL(20,6)) AS amount, ts AS "timestamp"
-    FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
-    WHERE event_type = 'purchase' AND value >= 80)
+    SELECT CAST(x.event_id AS VARCHAR) AS transaction_id,
+      concat((x.user_id * 20 + x.event_id % 20) % 10, '_', x.user_id * 20 + x.event_id % 20)
+        AS source_account,
+      concat((y.user_id * 20 + y.k % 20) % 10, '_', y.user_id * 20 + y.k % 20) AS target_account,
+      CAST(x.value AS DECIMAL(20,6)) AS amount, x.ts AS "timestamp"
+    FROM numbered_events x JOIN numbered_events y ON y.event_id = x.event_id + 1)
   WHERE source_account <> target_account)"""
 
 RAW = f"""lines AS (
@@ -170,26 +180,26 @@ levels AS (
   SELECT *, CASE WHEN risk_score >= 70 THEN 'High' WHEN risk_score >= 40 THEN 'Medium'
     ELSE 'Low' END AS risk_level,
     printf('C%03d', row_number() OVER (ORDER BY n_accounts, path)) AS cycle_id,
-    concat_ws('; ',
-      CASE WHEN r1 THEN concat('the loop runs through ', n_accounts, ' accounts') END,
-      CASE WHEN r2 THEN concat('it closes within ', minutes, ' minutes (limit 24 hours)') END,
-      CASE WHEN r3 THEN 'its amounts differ by at most 10%' END,
-      CASE WHEN r4 THEN concat('its total of ', format('{{:,.0f}}', CAST(total AS DOUBLE)),
-        ' reaches the threshold of 10,000,000') END,
-      CASE WHEN r5 THEN 'intermediaries pass the money on within 60 minutes' END) AS reasons
+    concat_ws(', ',
+      CASE WHEN r1 THEN concat('ring of ', n_accounts) END,
+      CASE WHEN r2 THEN concat('over in ', minutes, ' min') END,
+      CASE WHEN r3 THEN 'even amounts (spread up to 10%)' END,
+      CASE WHEN r4 THEN concat('sum ', format('{{:,.0f}}', CAST(total AS DOUBLE)),
+        ' (from 10,000,000)') END,
+      CASE WHEN r5 THEN 'quick relay' END) AS reasons
   FROM scored),
 cases AS (
   SELECT cycle_id, path, coalesce(CAST(round(total, 2) AS DOUBLE), 0.0) AS total_amount,
     minutes AS duration_minutes, round(spread, 4) AS amount_variance, risk_score, risk_level,
-    CASE WHEN found = 0 THEN 'No transfers were found for this cycle.'
-      WHEN reasons <> '' THEN concat('Cycle ', cycle_id, ' is rated ', risk_level, ': ', reasons, '.')
-      ELSE concat('Cycle ', cycle_id, ' scores low: no rule was met.') END AS explanation
+    CASE WHEN found = 0 THEN concat(cycle_id, ': transfers missing')
+      WHEN reasons <> '' THEN concat(cycle_id, ' / ', risk_level, ' / ', reasons)
+      ELSE concat(cycle_id, ': a ring, otherwise ordinary') END AS explanation
   FROM levels)"""
 
 
-LARGE_CYCLES = f"RECURSIVE {TRANSFERS},\n{_cycles('large')}"
+RING_CYCLES = f"RECURSIVE {TRANSFERS},\n{_cycles('rings')}"
 
-CASES = f"{LARGE_CYCLES},\n{_measures('large')}"
+CASES = f"{RING_CYCLES},\n{_measures('rings')}"
 
 
 def _money(value: str) -> str:
@@ -212,13 +222,15 @@ queue AS (
     CASE urgency WHEN 1 THEN '{_RULE.p1}' WHEN 2 THEN '{_RULE.p2}' ELSE '{_RULE.p3}' END AS priority,
     CASE urgency WHEN 1 THEN '{_RULE.escalate}' WHEN 2 THEN '{_RULE.in_review}'
       ELSE '{_RULE.monitoring}' END AS case_status,
-    CASE urgency WHEN 1 THEN '{labels.ACTION_HIGH}' WHEN 2 THEN '{labels.ACTION_MEDIUM}'
-      ELSE '{labels.ACTION_LOW}' END AS recommended_action,
-    concat('Money follows the route ', array_to_string(nodes, ' → '), '. The cycle has ',
-      cycle_length, ' different accounts, moves ', {_money('total_amount')},
-      ' in total and completes in about ', format('{{:.0f}}', duration_minutes),
-      ' minutes. Risk level ', risk_level_norm, ', score ', format('{{:,.1f}}', risk_score),
-      '/100. {labels.NOT_A_VERDICT}') AS case_explanation,
+    CASE urgency
+      WHEN 1 THEN 'Open a file today and ask the banks for statements before more money leaves.'
+      WHEN 2 THEN 'Put on this week''s list; look up earlier cases of the same accounts first.'
+      ELSE 'Nothing to do until one of its accounts turns up in another case.'
+      END AS recommended_action,
+    concat(risk_level_norm, ' (', format('{{:,.1f}}', risk_score), ' points): ', cycle_length,
+      ' accounts passed on ', {_money('total_amount')}, ', first to last transfer ',
+      format('{{:.0f}}', duration_minutes), ' min. Stops: ', array_to_string(nodes, ' → '))
+      AS case_explanation,
     row_number() OVER (ORDER BY urgency, risk_score DESC, total_amount DESC, cycle_id) AS queue_rank
   FROM graded),
 chosen AS (SELECT nodes[1] AS a, nodes[2] AS b FROM queue WHERE queue_rank = 1),
@@ -347,9 +359,7 @@ SELECT source_account AS src, target_account AS dst,
   count(*) AS n_transfers, CAST(sum(amount) AS DOUBLE) AS total_amount
 FROM placed GROUP BY source_account, target_account""",
     "pair_transfer_lists": f"""WITH {TRANSFERS}
-SELECT source_account AS src, target_account AS dst, count(*) AS n_transfers,
-  string_agg(transaction_id, ',' ORDER BY "timestamp", transaction_id) AS transaction_ids
-FROM edges GROUP BY source_account, target_account""",
+SELECT source_account AS src, target_account AS dst, transaction_id, {_PLAIN} FROM edges""",
     "first_transfer_per_pair": f"""WITH {TRANSFERS}
 SELECT src, dst, transaction_id, {_PLAIN} FROM {_first('edges')}""",
     "account_nodes": f"""WITH {TRANSFERS}
@@ -366,33 +376,33 @@ SELECT count(*) AS "rows", count(DISTINCT source_account) AS source_accounts,
     "detect_input_topn": f"""WITH {TRANSFERS},
 capped AS (SELECT * FROM transfers ORDER BY "timestamp", transaction_id LIMIT {TOP_ROWS})
 SELECT {_TRANSFER_COLUMNS} FROM capped WHERE source_account <> target_account""",
-    "bounded_cycles": f"""WITH {LARGE_CYCLES}
+    "bounded_cycles": f"""WITH {RING_CYCLES}
 SELECT path, CAST(n AS INTEGER) AS n_accounts FROM cyc""",
     "short_cycles_all_transfers": f"""WITH RECURSIVE {TRANSFERS},
 {_cycles('edges', 2, 4)} SELECT path, CAST(n AS INTEGER) AS n_accounts FROM cyc""",
     "event_cycles": f"""WITH RECURSIVE {EVENTS},
-{_cycles('large')},
+{_cycles('rings')},
 steps AS (SELECT path, n, unnest(range(1, n + 1)) AS hop, nodes FROM cyc),
 matched AS (
-  SELECT s.path, s.n, f."timestamp" AS t, f.amount FROM steps s JOIN {_first('large')} f
+  SELECT s.path, s.n, f."timestamp" AS t, f.amount FROM steps s JOIN {_first('rings')} f
   ON s.nodes[s.hop] = f.src AND s.nodes[s.hop % s.n + 1] = f.dst)
 SELECT path, CAST(n AS INTEGER) AS n_accounts, CAST(sum(amount) AS DOUBLE) AS total,
   CAST(min(t) AS VARCHAR) AS first_time, CAST(max(t) AS VARCHAR) AS last_time
 FROM matched GROUP BY path, n""",
     "canonical_rotation": f"""WITH {TRANSFERS},
-rings AS (
+turned AS (
   SELECT transaction_id,
     [target_account, source_account, transaction_type, transaction_id] AS r FROM transfers),
-started AS (SELECT *, list_position(r, list_min(r)) AS i FROM rings)
+started AS (SELECT *, list_position(r, list_min(r)) AS i FROM turned)
 SELECT transaction_id,
   array_to_string(list_concat(r[i:], list_slice(r, 1, i - 1)), '|') AS ring FROM started""",
     "closed_trails": f"""WITH RECURSIVE {TRANSFERS},
 trail(start, tail, ids, nodes, n) AS (
-  SELECT source_account, target_account, [transaction_id], [source_account], 1 FROM large
+  SELECT source_account, target_account, [transaction_id], [source_account], 1 FROM rings
   UNION ALL
   SELECT t.start, e.target_account, list_append(t.ids, e.transaction_id),
     list_append(t.nodes, e.source_account), t.n + 1
-  FROM trail t JOIN large e ON t.tail = e.source_account
+  FROM trail t JOIN rings e ON t.tail = e.source_account
   WHERE NOT list_contains(t.ids, e.transaction_id) AND t.n < 4)
 SELECT CAST(n AS INTEGER) AS n_hops,
   array_to_string(list_append(nodes, start), ' -> ') AS path,
@@ -435,8 +445,8 @@ SELECT path, n_accounts, CAST(total AS DOUBLE) AS total_amount, minutes AS durat
     "risk_level_counts": f"""WITH {CASES}
 SELECT risk_level, count(*) AS cycles FROM levels GROUP BY risk_level""",
     "risk_explanation": f"WITH {CASES} SELECT cycle_id, explanation FROM cases",
-    "score_missing_hops": f"""WITH {LARGE_CYCLES},
-known AS (SELECT * FROM large WHERE transaction_type <> 'Cash'),
+    "score_missing_hops": f"""WITH {RING_CYCLES},
+known AS (SELECT * FROM rings WHERE transaction_type <> 'Cash'),
 {_measures('known')} SELECT * FROM cases""",
     "case_ids": f"WITH {CASES} SELECT cycle_id, path FROM cases",
     "ranked_cases": f"WITH {CASES} SELECT * FROM cases",
@@ -545,11 +555,23 @@ SELECT source_account, target_account, {_PLAIN}, transaction_type, is_laundering
 ids AS (SELECT source_account AS account_id FROM six UNION SELECT target_account FROM six)
 SELECT account_id, split_part(account_id, '_', 1) AS bank_id, 'Account' AS label FROM ids""",
     "merge_nodes": f"""WITH {SIX},
-ids AS (SELECT source_account AS account_id FROM six UNION SELECT target_account FROM six)
-SELECT account_id, split_part(account_id, '_', 1) AS bank_id, 'Account' AS label FROM ids""",
+incoming AS (SELECT source_account AS id FROM six UNION SELECT target_account FROM six),
+existing AS (
+  SELECT source_account AS id FROM edges WHERE transaction_type = 'ACH'
+  UNION SELECT target_account FROM edges WHERE transaction_type = 'ACH'
+  UNION SELECT source_account FROM rings UNION SELECT target_account FROM rings)
+SELECT id AS account_id, split_part(id, '_', 1) AS bank_id,
+  CASE WHEN id IN (SELECT id FROM existing) THEN 'Client' ELSE 'Account' END AS label
+FROM (SELECT id FROM incoming UNION SELECT id FROM existing)""",
     "merge_edges": f"""WITH {SIX},
-known AS (SELECT source_account AS id FROM large UNION SELECT target_account FROM large)
-SELECT source_account, target_account, {_PLAIN}, transaction_type, is_laundering FROM six
-WHERE transaction_type = 'ACH'
-  OR (source_account IN (SELECT id FROM known) AND target_account IN (SELECT id FROM known))""",
+existing AS (
+  SELECT * FROM six WHERE transaction_type = 'ACH'
+  UNION
+  SELECT source_account, target_account, amount, "timestamp", transaction_type, is_laundering
+  FROM rings WHERE transaction_type = 'Wire'),
+known AS (
+  SELECT * FROM six WHERE CAST(split_part(source_account, '_', 1) AS INTEGER) < 12
+    AND CAST(split_part(target_account, '_', 1) AS INTEGER) < 12),
+merged AS (SELECT * FROM existing UNION SELECT * FROM known)
+SELECT source_account, target_account, {_PLAIN}, transaction_type, is_laundering FROM merged""",
 }

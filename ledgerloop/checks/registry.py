@@ -69,12 +69,12 @@ def _edges(spark: SparkSession, d: str) -> DataFrame:
     return cleaning.graph_edges(tables.all_transfers(spark, d))
 
 
-def _large(spark: SparkSession, d: str) -> DataFrame:
-    return graph.detection_input(tables.large_transfers(spark, d))
+def _rings(spark: SparkSession, d: str) -> DataFrame:
+    return graph.detection_input(tables.ring_transfers(spark, d))
 
 
 def _cycles(spark: SparkSession, d: str) -> DataFrame:
-    return cycles.detect_cycles(_large(spark, d), Workspace(spark))
+    return cycles.detect_cycles(_rings(spark, d), Workspace(spark))
 
 
 def _cases(spark: SparkSession, d: str) -> DataFrame:
@@ -217,12 +217,8 @@ def edge_pairs(spark, d):
 
 @query
 def pair_transfer_lists(spark, d):
-    return graph.pair_transfer_lists(_edges(spark, d), Workspace(spark)).select(
-        "src",
-        "dst",
-        "n_transfers",
-        F.concat_ws(",", "transactions.transaction_id").alias("transaction_ids"),
-    )
+    listed = graph.pair_transfer_lists(_edges(spark, d))
+    return listed.select("src", "dst", "transaction_id", _money("amount"), _time_text("timestamp"))
 
 
 @query
@@ -255,13 +251,13 @@ def detect_input_topn(spark, d):
 
 @query
 def bounded_cycles(spark, d):
-    found = cycles.bounded_cycles(cycles.account_pairs(_large(spark, d)), Workspace(spark))
+    found = cycles.bounded_cycles(cycles.account_pairs(_rings(spark, d)), Workspace(spark))
     return found.select(paths.display(F.col("path")).alias("path"), "n_accounts")
 
 
 @query
 def short_cycles_all_transfers(spark, d):
-    """Cycles of 2 to 4 accounts over every transfer, without the size filter."""
+    """Cycles of 2 to 4 accounts in the dense graph of all_transfers."""
     found = cycles.bounded_cycles(
         cycles.account_pairs(_edges(spark, d)), Workspace(spark), 2, 4
     )
@@ -291,7 +287,7 @@ def canonical_rotation(spark, d):
 
 @query
 def closed_trails(spark, d):
-    found = cycles.closed_trails(_large(spark, d), Workspace(spark), 2, 4)
+    found = cycles.closed_trails(_rings(spark, d), Workspace(spark), 2, 4)
     return found.select(
         "n_hops",
         paths.display(F.col("path")).alias("path"),
@@ -334,7 +330,8 @@ def motif_union(spark, d):
 
 @query
 def motif_counts(spark, d):
-    return motifs.motif_counts(tables.all_transfers(spark, d), Workspace(spark))
+    counts = motifs.motif_counts(tables.all_transfers(spark, d), Workspace(spark))
+    return counts.withColumn("cycles", F.col("cycles").cast("long"))
 
 
 @query
@@ -365,14 +362,14 @@ def pattern_three_hop(spark, d):
 
 
 def _found_cycles(spark, d):
-    return cycles.bounded_cycles(cycles.account_pairs(_large(spark, d)), Workspace(spark)).select(
+    return cycles.bounded_cycles(cycles.account_pairs(_rings(spark, d)), Workspace(spark)).select(
         "path"
     )
 
 
 @query
 def cycle_hops(spark, d):
-    first = graph.first_transfers(_large(spark, d))
+    first = graph.first_transfers(_rings(spark, d))
     hops = scoring.cycle_hops(_found_cycles(spark, d), first, Workspace(spark))
     return _plain(hops.withColumn("path", paths.display(F.col("path"))))
 
@@ -380,7 +377,7 @@ def cycle_hops(spark, d):
 @query
 def cycle_measures(spark, d):
     measured = scoring.measure_cycles(
-        _found_cycles(spark, d), graph.first_transfers(_large(spark, d)), Workspace(spark)
+        _found_cycles(spark, d), graph.first_transfers(_rings(spark, d)), Workspace(spark)
     )
     return scoring.with_measures(measured).select(
         paths.display(F.col("path")).alias("path"),
@@ -414,8 +411,8 @@ def risk_explanation(spark, d):
 
 @query
 def score_missing_hops(spark, d):
-    """Cycles of all large transfers, scored on the hops that were not paid in cash."""
-    known = _large(spark, d).where(F.col("transaction_type") != "Cash")
+    """Cycles of all transfers, scored on the hops that were not paid in cash."""
+    known = _rings(spark, d).where(F.col("transaction_type") != "Cash")
     ws = Workspace(spark)
     measured = scoring.measure_cycles(_found_cycles(spark, d), graph.first_transfers(known), ws)
     return scoring.score_cycles(measured, ws)
@@ -428,7 +425,7 @@ def case_ids(spark, d):
 
 @query
 def ranked_cases(spark, d):
-    return find_cases(tables.large_transfers(spark, d), Workspace(spark))
+    return find_cases(tables.ring_transfers(spark, d), Workspace(spark))
 
 
 @query
@@ -670,8 +667,13 @@ def export_nodes(spark, d):
 @query
 def merge_nodes(spark, d):
     transfers = tables.all_transfers(spark, d)
-    existing = export.export_nodes(
-        export.export_edges(transfers.where(F.col("transaction_type") == "ACH"))
+    ach = transfers.where(F.col("transaction_type") == "ACH")
+    # Known accounts: some of the incoming ones under another label, and many that do not come in.
+    existing = (
+        export.export_nodes(export.export_edges(ach))
+        .unionByName(export.export_nodes(export.export_edges(tables.ring_transfers(spark, d))))
+        .select("account_id", "bank_id", F.lit("Client").alias("label"))
+        .distinct()
     )
     incoming = export.export_nodes(export.export_edges(transfers))
     return export.merge_nodes(existing, incoming)
@@ -680,9 +682,18 @@ def merge_nodes(spark, d):
 @query
 def merge_edges(spark, d):
     transfers = tables.all_transfers(spark, d)
-    existing = export.export_edges(transfers.where(F.col("transaction_type") == "ACH"))
+    # Known transfers: some of the incoming ones, and some that do not come in.
+    existing = export.export_edges(
+        transfers.where(F.col("transaction_type") == "ACH").unionByName(
+            tables.ring_transfers(spark, d).where(F.col("transaction_type") == "Wire")
+        )
+    )
+    # Accounts of half the banks are known.
     known = Workspace(spark).materialize(
-        export.export_nodes(export.export_edges(tables.large_transfers(spark, d))), "nodes"
+        export.export_nodes(export.export_edges(transfers)).where(
+            F.col("bank_id").cast("int") < 12
+        ),
+        "nodes",
     )
     merged = export.merge_edges(existing, export.export_edges(transfers), known)
     return merged.withColumn("amount", _money("amount"))

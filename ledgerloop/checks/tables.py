@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloop.schema import AMOUNT
 
-# Detection looks for rings of large transfers.  Over all transfers the accounts that both
-# send and receive form one dense graph with, by estimate, several hundred million cycles.
-LARGE_QUANTITY = 46
+# Account numbers per customer in ring_transfers, and suppliers' share of the customers' numbers.
+BRANCHES = 10
+CUSTOMERS_PER_SUPPLIER = 15
+# Account numbers per user in event_transfers.
+PURSES = 20
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,8 +47,7 @@ def _line_type(first: str, second: str, third: str, fourth: str, fifth: str, oth
     return kind
 
 
-def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order line as a transfer from the customer's to the supplier's account number."""
+def _transfers(spark: SparkSession, sf_dir: str, source: Column, target: Column) -> DataFrame:
     amount = F.when(
         F.col("l_partkey") % 3 == 0, F.round(F.col("l_extendedprice") * 30, 2)
     ).otherwise(F.round(F.col("l_extendedprice") + 2500000, 2))
@@ -54,25 +55,44 @@ def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias(
             "transaction_id"
         ),
-        F.concat_ws("_", F.col("o_custkey") % 25, "o_custkey").alias("source_account"),
-        F.concat_ws("_", F.col("l_suppkey") % 25, "l_suppkey").alias("target_account"),
+        source.alias("source_account"),
+        target.alias("target_account"),
         amount.cast("decimal(18,2)").cast(AMOUNT).alias("amount"),
         _time().alias("timestamp"),
         _line_type("ACH", "Wire", "Cheque", "Cash", "Credit Card", "Credit Card").alias(
             "transaction_type"
         ),
         _label().alias("is_laundering"),
-        "l_quantity",
     )
 
 
 def all_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transfers(spark, sf_dir).drop("l_quantity")
+    """Every order line as a transfer from the customer's to the supplier's account number."""
+    return _transfers(
+        spark,
+        sf_dir,
+        F.concat_ws("_", F.col("o_custkey") % 25, "o_custkey"),
+        F.concat_ws("_", F.col("l_suppkey") % 25, "l_suppkey"),
+    )
 
 
-def large_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        transfers(spark, sf_dir).where(F.col("l_quantity") >= LARGE_QUANTITY).drop("l_quantity")
+def ring_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order line as a transfer between many more accounts.
+
+    A customer has ten accounts, told apart by the order, and a supplier those of fifteen
+    customers, told apart by the part.  An account then has about four transfers in and out at
+    any scale, so the number of cycles of up to six accounts stays near a thousand.
+    """
+    customer = F.col("l_suppkey") * CUSTOMERS_PER_SUPPLIER + F.col("l_partkey") % (
+        CUSTOMERS_PER_SUPPLIER
+    )
+    from_branch = F.col("o_orderkey") % BRANCHES
+    to_branch = (F.col("l_partkey") + F.col("l_linenumber")) % BRANCHES
+    return _transfers(
+        spark,
+        sf_dir,
+        F.concat_ws("_", F.col("o_custkey") % 25, F.col("o_custkey") * BRANCHES + from_branch),
+        F.concat_ws("_", customer % 25, customer * BRANCHES + to_branch),
     )
 
 
@@ -119,18 +139,25 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Large purchases as transfers between small account numbers, in real time order."""
-    target = F.get_json_object("props", "$.k").cast("long")
-    return (
-        spark.read.parquet(f"{sf_dir}/events.parquet")
-        .where((F.col("event_type") == "purchase") & (F.col("value") >= 80))
-        .select(
-            F.col("event_id").cast("string").alias("transaction_id"),
-            F.concat_ws("_", F.col("user_id") % 10, "user_id").alias("source_account"),
-            F.concat_ws("_", target % 10, target).alias("target_account"),
-            F.col("value").cast(AMOUNT).alias("amount"),
-            F.col("ts").cast("timestamp_ntz").alias("timestamp"),
-            F.lit("purchase").alias("transaction_type"),
-            F.lit(0).alias("is_laundering"),
-        )
+    """Every event as a transfer to the user of the next event, in real time order.
+
+    A user has twenty accounts, told apart by the event and, on the receiving side, by the
+    number in its properties.
+    """
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    k = F.get_json_object("props", "$.k").cast("long")
+    after = events.select(
+        (F.col("event_id") - 1).alias("event_id"),
+        (F.col("user_id") * PURSES + k % PURSES).alias("receiver"),
+    )
+    sender = F.col("user_id") * PURSES + F.col("event_id") % PURSES
+    # Both sides grow with the data: shuffled, never broadcast.
+    return events.join(after.hint("merge"), "event_id").select(
+        F.col("event_id").cast("string").alias("transaction_id"),
+        F.concat_ws("_", sender % 10, sender).alias("source_account"),
+        F.concat_ws("_", F.col("receiver") % 10, "receiver").alias("target_account"),
+        F.col("value").cast(AMOUNT).alias("amount"),
+        F.col("ts").cast("timestamp_ntz").alias("timestamp"),
+        F.lit("event").alias("transaction_type"),
+        F.lit(0).alias("is_laundering"),
     )

@@ -59,12 +59,7 @@ def _has_bad_amount() -> Column:
 
 
 def _has_missing_account() -> Column:
-    return (
-        F.col("source_account").isNull()
-        | F.col("target_account").isNull()
-        | (text.strip(F.col("source_account")) == "")
-        | (text.strip(F.col("target_account")) == "")
-    )
+    return F.col("source_account").isNull() | F.col("target_account").isNull()
 
 
 def _is_valid() -> Column:

@@ -15,9 +15,6 @@ from ledgerloop.operators.cleaning import graph_edges
 from ledgerloop.plans.workspace import Workspace
 from ledgerloop.schema import AMOUNT, TOTAL
 
-SEGMENT_ROWS = 1000
-HOT_SHARE = 10_000
-
 
 def endpoints(edges: DataFrame, name: str = "account_id") -> DataFrame:
     """Distinct accounts on either side of an edge, in one pass."""
@@ -123,40 +120,18 @@ def first_transfers(edges: DataFrame) -> DataFrame:
     )
 
 
-def pair_transfer_lists(
-    edges: DataFrame, ws: Workspace, segment_rows: int = SEGMENT_ROWS
-) -> DataFrame:
-    """All transfers of each pair as arrays.
+def pair_transfer_lists(edges: DataFrame) -> DataFrame:
+    """Every transfer under its pair, one row each; edge_pairs has the totals.
 
-    A pair with more than `segment_rows` transfers is spread over several rows, so that no
-    array grows with the data; smaller pairs have one row.
+    There is no array, so a pair may have any number of transfers.
     """
-    pair = ["source_account", "target_account"]
-    sizes = ws.materialize(
-        edges.groupBy(*pair).agg(F.count(F.lit(1)).alias("n_transfers")), "pair-sizes"
-    )
-    total = sizes.agg(F.sum("n_transfers")).first()[0] or 0
-    # Pairs with more than a HOT_SHARE-th of all transfers: at most HOT_SHARE of them, hence
-    # broadcast.  Their segments are shuffled apart; all other pairs fit into one task each.
-    is_hot = F.col("n_transfers") > max(segment_rows, total // HOT_SHARE)
-    hot = F.broadcast(sizes.where(is_hot))
-    sized = (
-        edges.join(hot, pair)
-        .unionByName(edges.join(hot, pair, "left_anti").join(sizes.where(~is_hot), pair))
-    )
-    segments = F.ceil(F.col("n_transfers") / segment_rows)
-    transfer = F.struct("timestamp", "transaction_id", "amount", "transaction_type")
-    return (
-        sized.withColumn("segment", F.pmod(F.xxhash64("transaction_id"), segments))
-        .groupBy(*pair, "n_transfers", "segment")
-        .agg(F.sort_array(F.collect_list(transfer)).alias("transactions"))
-        .select(
-            F.col("source_account").alias("src"),
-            F.col("target_account").alias("dst"),
-            "n_transfers",
-            "segment",
-            "transactions",
-        )
+    return edges.select(
+        F.col("source_account").alias("src"),
+        F.col("target_account").alias("dst"),
+        "timestamp",
+        "transaction_id",
+        "amount",
+        "transaction_type",
     )
 
 

@@ -14,7 +14,6 @@ from ledgerloop.operators.cycles import bounded_cycles
 from ledgerloop.plans.workspace import Workspace
 from ledgerloop.schema import AMOUNT, TOTAL
 
-MAX_EXPORT_ROWS = 10_000
 
 _METHOD = {2: "spark_2_cycle", 3: "spark_3_cycle"}  # fixed values
 _PREFIX = {2: "S2_", 3: "S3_"}  # fixed values
@@ -181,19 +180,22 @@ def motif_counts(df: DataFrame, ws: Workspace) -> DataFrame:
     sizes = _pair_sizes(edges, ws)
     counts = [
         _counted_cycles(cycles, sizes, length)
-        .agg(F.coalesce(F.sum("combinations"), F.lit(0)).cast("long").alias("cycles"))
+        .agg(F.coalesce(F.sum("combinations"), F.lit(0)).cast("decimal(38,0)").alias("cycles"))
         .select(F.lit(length).alias("cycle_length"), "cycles")
         for length in (2, 3)
     ]
     return counts[0].unionByName(counts[1])
 
 
-def motif_export(df: DataFrame, ws: Workspace, max_rows: int = MAX_EXPORT_ROWS) -> DataFrame:
-    """The first `max_rows` motif rows, ordered by length, path and then the hops' transfers.
+def motif_export(df: DataFrame, ws: Workspace, max_rows: int | None = None) -> DataFrame:
+    """The first `max_rows` motif rows, ordered by length, path and then the hops' transfers; all
+    of them, in no order, where it is None.
 
     Work is bounded by `max_rows`: running totals of the combination counts tell which
     combinations are needed, and each is looked up by the rank of its transfers.
     """
+    if max_rows is None:
+        return motif_union(df, ws)
     cycles, edges = _cycles_and_edges(df, 2, 3, ws)
     sizes = _pair_sizes(edges, ws)
     exported, taken = [], 0
@@ -226,7 +228,9 @@ def motif_export(df: DataFrame, ws: Workspace, max_rows: int = MAX_EXPORT_ROWS)
         # _k read as a mixed-radix number, the last hop changing fastest.
         block = F.lit(1).cast("decimal(38,0)")
         for i in range(length, 0, -1):
-            rank = F.floor(F.col("_k").cast("decimal(38,0)") / block) % F.col(f"n_{i}")
+            k = F.col("_k").cast("decimal(38,0)")
+            # Divided without a rest: the quotient of decimals is rounded to six places.
+            rank = ((k - k % block) / block).cast("decimal(38,0)") % F.col(f"n_{i}")
             choices = choices.withColumn(f"_rank_{i}", (rank + 1).cast("int"))
             block = (block * F.col(f"n_{i}")).cast("decimal(38,0)")
         ranked = (

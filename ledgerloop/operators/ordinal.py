@@ -1,30 +1,24 @@
 """Consecutive numbers without a global window.
 
 Rows are range-partitioned and sorted, written once, and numbered from their partition's
-offset.  Only one row count per partition reaches the driver.
+offset.  No row count reaches the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloop.plans.workspace import Workspace
 
 _IN_PARTITION = (1 << 33) - 1
 
-# Offset tables up to this many rows are broadcast, longer ones are joined by shuffle.
-_BROADCAST_ROWS = 100_000
 
-
-def _shift(written: DataFrame, offsets: list[tuple], keys: dict[str, str], name: str) -> DataFrame:
-    """Add each row's position in its partition to the offset of that partition."""
-    schema = ", ".join([f"{key} {kind}" for key, kind in keys.items()] + ["_offset long"])
-    table = written.sparkSession.createDataFrame(offsets, schema)
-    if len(offsets) <= _BROADCAST_ROWS:
-        table = F.broadcast(table)
+def _shift(written: DataFrame, offsets: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Add each row's position in its partition to the offset of that partition.  Spark picks the
+    join by the size of the offsets."""
     return (
-        written.join(table, list(keys))
+        written.join(offsets, keys)
         .withColumn(name, F.col("_offset") + F.col("_pos"))
         .drop("_pos", "_offset", *keys)
     )
@@ -32,21 +26,18 @@ def _shift(written: DataFrame, offsets: list[tuple], keys: dict[str, str], name:
 
 def with_ordinal(df: DataFrame, by: list[Column], ws: Workspace, name: str = "ordinal") -> DataFrame:
     """Add `name`: 0, 1, 2, ... in the order of `by`, which must be a total order."""
+    # Written first: to find the ranges, Spark reads its input once more.
     ordered = (
-        df.repartitionByRange(*by)
+        ws.materialize(df, f"{name}-input").repartitionByRange(*by)
         .sortWithinPartitions(*by)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_PARTITION)))
     )
     written = ws.materialize(ordered, f"{name}-sorted")
-    counts = sorted(
-        (row["_part"], row["count"]) for row in written.groupBy("_part").count().collect()
-    )
-    offsets, total = [], 0
-    for part, count in counts:
-        offsets.append((part, total))
-        total += count
-    return _shift(written, offsets, {"_part": "int"}, name)
+    counts = written.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
+    return _shift(written, ws.materialize(offsets, f"{name}-offsets"), ["_part"], name)
 
 
 def with_file_order(df: DataFrame, ws: Workspace, name: str = "ordinal") -> DataFrame:
@@ -60,15 +51,25 @@ def with_file_order(df: DataFrame, ws: Workspace, name: str = "ordinal") -> Data
         "_pos", F.monotonically_increasing_id()
     )
     written = ws.materialize(placed, f"{name}-staged")
-    # One row per file split: bounded by the number of scan tasks.
-    splits = (
-        written.groupBy("_part", "_file", "_block")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("_pos").alias("first"))
-        .collect()
+    splits = ws.materialize(
+        written.groupBy("_part", "_file", "_block").agg(
+            F.count(F.lit(1)).alias("n"), F.min("_pos").alias("first")
+        ),
+        f"{name}-splits",
+    )
+    # Splits add up within their file, files among each other: one row per file in one task.
+    files = splits.groupBy("_file").agg(F.sum("n").alias("n"))
+    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("_file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
+    in_file = Window.partitionBy("_file").orderBy("_block").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    placed_splits = splits.withColumn("_in_file", F.coalesce(F.sum("n").over(in_file), F.lit(0)))
+    offsets = placed_splits.join(files, "_file").select(
+        "_part",
+        "_file",
+        "_block",
+        (F.col("_before") + F.col("_in_file") - F.col("first")).alias("_offset"),
     )
-    offsets, total = [], 0
-    for row in sorted(splits, key=lambda r: (r["_file"], r["_block"])):
-        offsets.append((row["_part"], row["_file"], row["_block"], total - row["first"]))
-        total += row["n"]
-    keys = {"_part": "int", "_file": "string", "_block": "long"}
-    return _shift(written, offsets, keys, name)
+    keys = ["_part", "_file", "_block"]
+    return _shift(written, ws.materialize(offsets, f"{name}-offsets"), keys, name)

@@ -94,35 +94,31 @@ def _reasons(rules: Rules) -> list[tuple[Column, int, Column]]:
         (
             accounts.between(rules.min_accounts, rules.max_accounts),
             rules.accounts_points,
-            F.concat(F.lit("the loop runs through "), accounts.cast("string"), F.lit(" accounts")),
+            F.concat(F.lit("ring of "), accounts.cast("string")),
         ),
         (
             minutes <= rules.max_minutes,
             rules.duration_points,
-            F.concat(
-                F.lit("it closes within "),
-                minutes.cast("string"),
-                F.lit(f" minutes (limit {rules.max_minutes // 60} hours)"),
-            ),
+            F.concat(F.lit("over in "), minutes.cast("string"), F.lit(" min")),
         ),
         (
             F.col("spread") <= rules.max_spread,
             rules.spread_points,
-            F.lit(f"its amounts differ by at most {rules.max_spread:.0%}"),
+            F.lit(f"even amounts (spread up to {rules.max_spread:.0%})"),
         ),
         (
             F.col("total") >= rules.min_total,
             rules.total_points,
             F.concat(
-                F.lit("its total of "),
+                F.lit("sum "),
                 F.format_number(F.col("total").cast("double"), 0),
-                F.lit(f" reaches the threshold of {rules.min_total:,}"),
+                F.lit(f" (from {rules.min_total:,})"),
             ),
         ),
         (
             (minutes <= rules.fast_minutes) & (accounts >= rules.fast_min_accounts),
             rules.fast_points,
-            F.lit(f"intermediaries pass the money on within {rules.fast_minutes} minutes"),
+            F.lit("quick relay"),
         ),
     ]
 
@@ -146,24 +142,12 @@ def score_measured(measured: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 def explanation(df: DataFrame) -> Column:
     return (
-        F.when(_found(df) == 0, "No transfers were found for this cycle.")
+        F.when(_found(df) == 0, F.concat("cycle_id", F.lit(": transfers missing")))
         .when(
             F.size("reasons") > 0,
-            F.concat(
-                F.lit("Cycle "),
-                F.col("cycle_id"),
-                F.lit(" is rated "),
-                F.col("risk_level"),
-                F.lit(": "),
-                F.concat_ws("; ", "reasons"),
-                F.lit("."),
-            ),
-        )
-        .otherwise(
-            F.concat(
-                F.lit("Cycle "), F.col("cycle_id"), F.lit(" scores low: no rule was met.")
-            )
+            F.concat("cycle_id", F.lit(" / "), "risk_level", F.lit(" / "), F.concat_ws(", ", "reasons")),
         )
+        .otherwise(F.concat("cycle_id", F.lit(": a ring, otherwise ordinary")))
     )
 
 

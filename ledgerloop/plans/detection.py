@@ -76,9 +76,9 @@ def find_cases(edges: DataFrame, ws: Workspace, cfg: Settings = Settings()) -> D
 
 
 def demo_transfers(subgraph: DataFrame) -> DataFrame:
-    """The first rows of the subgraph plus an injected three-account loop, to test detection.
+    """A small input whose answer is known: the earliest rows, and DEMO_LOOP added to them.
 
-    The injected rows are not real transfers and must not be presented as such.
+    DEMO_LOOP is made up; keep the result apart from tables of real transfers.
     """
     head = subgraph.orderBy("timestamp", "transaction_id").limit(DEMO_ROWS)
     if head.isEmpty():

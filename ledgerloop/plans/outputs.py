@@ -17,13 +17,13 @@ def write_motifs(
     spark: SparkSession,
     edges: DataFrame,
     folder: str,
-    max_export_rows: int = motifs.MAX_EXPORT_ROWS,
+    max_export_rows: int | None = None,
     fmt: str = "csv",
 ) -> dict[int, int]:
-    """Export the first two- and three-account cycles; returns how many there are of each."""
+    """Export two- and three-account cycles, all or the first; returns how many there are of each."""
     with Workspace(spark) as ws:
         counts = {
-            row["cycle_length"]: row["cycles"] for row in motifs.motif_counts(edges, ws).collect()
+            row["cycle_length"]: int(row["cycles"]) for row in motifs.motif_counts(edges, ws).collect()
         }
         rows = motifs.motif_export(edges, ws, max_export_rows)
         write_table(rows, f"{folder.rstrip('/')}/{MOTIF_TABLE}", fmt)

@@ -37,7 +37,7 @@ def test_coercion_and_derived_columns(queue):
     assert rows["C001"]["case_status"] == words.in_review
     assert rows["C004"]["case_status"] == words.monitoring
     assert "2.00 billion VND" in rows["C002"]["case_explanation"]
-    assert labels.NOT_A_VERDICT in rows["C001"]["case_explanation"]
+    assert "Stops: " in rows["C001"]["case_explanation"]
 
 
 def test_order(queue, ws):

@@ -7,17 +7,17 @@ from ledgerloop.operators import graph
 
 @pytest.fixture
 def edges(spark, small):
-    return graph.detection_input(tables.large_transfers(spark, small))
+    return graph.detection_input(tables.ring_transfers(spark, small))
 
 
-def test_large_transfers_golden(spark, ws, small, edges):
-    assert tables.large_transfers(spark, small).count() == 590
+def test_ring_transfers_golden(spark, ws, small, edges):
+    assert tables.ring_transfers(spark, small).count() == 6000
     (summary,) = graph.graph_summary(edges).collect()
-    assert (summary["nodes"], summary["edges"]) == (144, 484)
-    assert summary["density"] == pytest.approx(0.0235042735, abs=1e-10)
+    assert (summary["nodes"], summary["edges"]) == (1475, 5977)
+    assert summary["density"] == pytest.approx(0.002749120345882299, abs=1e-14)
     (totals,) = graph.label_totals(edges).collect()
-    assert (totals["labelled_rows"], totals["labelled_accounts"]) == (14, 22)
-    assert graph.labelled_subgraph(edges, ws).count() == 541
+    assert (totals["labelled_rows"], totals["labelled_accounts"]) == (153, 268)
+    assert graph.labelled_subgraph(edges, ws).count() == 2430
 
 
 def test_subgraph_needs_labels_on_request(ws, edges):
@@ -39,15 +39,12 @@ def test_pairs_keep_the_earliest_transfer(make_transfers):
     assert float(row["total_amount"]) == 18.0
 
 
-def test_long_transfer_lists_are_split_without_loss(ws, make_transfers):
-    rows = [("a", "b", i + 1, i) for i in range(100)] + [("b", "a", 1, 0)]
-    lists = graph.pair_transfer_lists(make_transfers(rows), ws, segment_rows=10).collect()
-    hot = [r for r in lists if r["src"] == "a"]
-    assert len(hot) > 5
-    names = [t["transaction_id"] for r in hot for t in r["transactions"]]
-    assert sorted(names) == [f"t{i:04d}" for i in range(100)]
-    assert all(r["n_transfers"] == 100 for r in hot)
-    assert len([r for r in lists if r["src"] == "b"]) == 1
+def test_a_pair_lists_each_of_its_transfers_once(make_transfers):
+    rows = [("a", "b", i + 1, i) for i in range(2500)] + [("b", "a", 1, 0)]
+    lists = graph.pair_transfer_lists(make_transfers(rows)).collect()
+    names = [r["transaction_id"] for r in lists if (r["src"], r["dst"]) == ("a", "b")]
+    assert sorted(names) == [f"t{i:04d}" for i in range(2500)]
+    assert len(lists) == 2501
 
 
 def test_input_cap_takes_the_earliest_rows(make_transfers):
