@@ -87,7 +87,8 @@ def remove_lines(docs: DataFrame, ws: Workspace, min_sites: int = MIN_SITES) ->
         F.collect_set(F.struct("h1", "h2")).alias(f"{OWN}lost")
     )
     losing = ws.materialize(losing, "losing")
-    joined = docs.join(losing, docs["doc_id"] == losing[f"{OWN}id"], "left")
+    # The hint: one plan at every size, whose shuffle is that of the texts.
+    joined = docs.join(losing.hint("merge"), docs["doc_id"] == losing[f"{OWN}id"], "left")
     lines = _lines(docs["text"])
 
     def stays(line: Column) -> Column:

@@ -186,7 +186,8 @@ def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     # Rows that repeat an id draw alike; the id tells how often such a document is taken.
     times = times.groupBy(f"{OWN}id").agg(F.max(f"{OWN}copies").alias(f"{OWN}copies"))
     times = Workspace(spark).materialize(times, "times")
-    each = docs.join(times, docs["doc_id"].eqNullSafe(F.col(f"{OWN}id")))
+    # The hint: one plan at every size, whose shuffle is that of the texts.
+    each = docs.join(times.hint("merge"), docs["doc_id"].eqNullSafe(F.col(f"{OWN}id")))
     repeated = F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{OWN}copies")))
     return each.select(*[docs[c] for c in docs.columns], repeated.alias(f"{OWN}n")).drop(f"{OWN}n")
 

@@ -327,7 +327,8 @@ def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     groups = groups_of(prints, ws)
     keep = groups.select(F.col("component_id").alias(f"{OWN}id")).filter(f"{OWN}id is not null")
     keep = ws.materialize(keep.distinct(), "keep")
-    named = docs.join(keep, docs["doc_id"] == keep[f"{OWN}id"], "left_semi")
+    # The hint: one plan at every size, whose shuffle is that of the texts.
+    named = docs.join(keep.hint("merge"), docs["doc_id"] == keep[f"{OWN}id"], "left_semi")
     named = named.dropDuplicates(["doc_id"])
     nameless = with_fingerprint(docs.filter("doc_id is null"), f"{OWN}fp")
     alone = groups.filter("component_id is null").select(
