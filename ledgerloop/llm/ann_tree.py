@@ -35,12 +35,15 @@ QUERY_STEP = 100
 SAMPLE_ROWS = 40_000
 SAMPLE_NUMBERS = 16_000_000
 BRANCHES = 8
+#: A node of the sample is split further while it has more than this and its share of LEAVES, so the
+#: number of leaves does not grow with the table.
 LEAF_SAMPLE = 48
+LEAVES = 100
 #: Queries that calibrate the number of visits, and the share of true neighbours aimed at.
 CALIBRATION = 256
 TARGET_RECALL = 0.96
-#: Vectors of a leaf that are searched together.
-BLOCK = 4_000
+#: Components of a leaf's vectors that are searched together.
+BLOCK_NUMBERS = 2_000_000
 SEED = 7
 
 
@@ -61,9 +64,10 @@ class Tree:
         centres = [sample.mean(axis=0) if len(sample) else np.zeros(dim)]
         first, count = [0], [0]
         queue = [(0, np.arange(len(sample)))]
+        small = max(LEAF_SAMPLE, len(sample) // LEAVES)
         while queue:
             node, own = queue.pop(0)
-            if len(own) <= LEAF_SAMPLE:
+            if len(own) <= small:
                 continue
             middles, of_row = _k_means(sample[own], BRANCHES, rng)
             if len(middles) < 2:
@@ -258,7 +262,8 @@ def search(
     visits = calibrate(index, tree, dim, queries, k)
     # One number per leaf; there are no more than the sample has rows.
     sizes = {r["leaf"]: r["count"] for r in index.groupBy("leaf").count().collect()}
-    blocks = np.array([-(-sizes.get(leaf, 0) // BLOCK) for leaf in range(tree.n_leaves)])
+    block = max(1, BLOCK_NUMBERS // max(dim, 1))
+    blocks = np.array([-(-sizes.get(leaf, 0) // block) for leaf in range(tree.n_leaves)])
     shared = share(spark, (tree, blocks))
 
     def deal(batches: Iterator) -> Iterator[pa.RecordBatch]:
@@ -311,8 +316,7 @@ def search(
         deal, "leaf int, block int, query_id long, copy long, v binary"
     )
     of_leaf = F.element_at(F.array(*[F.lit(int(max(b, 1))) for b in blocks]), F.col("leaf") + 1)
-    block = F.pmod(F.xxhash64("vec_id"), of_leaf).cast("int")
-    filed = index.withColumn("block", block)
+    filed = index.withColumn("block", F.pmod(F.xxhash64("vec_id"), of_leaf).cast("int"))
     met = (
         asked.groupBy("leaf", "block")
         .cogroup(filed.groupBy("leaf", "block"))

@@ -62,7 +62,7 @@ def test_recall_on_given_tables(spark):
 
 
 def test_ties_and_a_large_group_of_equal_vectors(spark, folder, monkeypatch):
-    monkeypatch.setattr(ann_tree, "BLOCK", 50)
+    monkeypatch.setattr(ann_tree, "BLOCK_NUMBERS", 50 * 16)
     x = vectors(900)
     x[::3] = x[0]
     rows = table(x)
