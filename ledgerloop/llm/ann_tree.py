@@ -5,7 +5,8 @@ always going to the nearest centre.  A query keeps a priority queue of branches
 to their centres and opens the nearest one first, so it lists leaves in the order it would visit
 them.  How many it visits is calibrated: for a bounded number of queries the true neighbours are
 found by comparing with every vector, and visits are widened until the target share of them lies in
-the visited leaves.  Distances are those of the original vectors, in double precision.
+the visited leaves.  Where these hold fewer than k vectors besides those with the query's id, the
+query goes on until they hold k.  Distances are those of the original vectors, in double precision.
 
 A leaf with many vectors is cut into blocks, each of which meets the leaf's queries on its own;
 only the best of each block go on.
@@ -264,20 +265,24 @@ def search(
     sizes = {r["leaf"]: r["count"] for r in index.groupBy("leaf").count().collect()}
     block = max(1, BLOCK_NUMBERS // max(dim, 1))
     blocks = np.array([-(-sizes.get(leaf, 0) // block) for leaf in range(tree.n_leaves)])
-    shared = share(spark, (tree, blocks))
+    filled = np.array([sizes.get(leaf, 0) for leaf in range(tree.n_leaves)])
+    shared = share(spark, (tree, blocks, filled))
 
     def deal(batches: Iterator) -> Iterator[pa.RecordBatch]:
-        tree, blocks = shared()
+        tree, blocks, filled = shared()
         for batch in batches:
             ids, vectors = batch.column("vec_id").to_pylist(), batch.column("v").to_pylist()
-            copies = batch.column("copy").to_pylist()
+            copies, own = batch.column("copy").to_pylist(), batch.column("own").to_pylist()
             for start in range(0, len(ids), 64):
                 rows = []
                 for i in range(start, min(start + 64, len(ids))):
                     query = np.frombuffer(vectors[i], "<f8")
+                    left_out = {o["leaf"]: o["n"] for o in own[i] or ()}
+                    held = 0
                     for n, leaf in enumerate(tree.visits(query)):
-                        if n == visits:
+                        if n >= visits and held >= k:
                             break
+                        held += filled[leaf] - left_out.get(leaf, 0)
                         rows += [
                             (leaf, b, ids[i], copies[i], vectors[i]) for b in range(blocks[leaf])
                         ]
@@ -312,7 +317,13 @@ def search(
             }
         )
 
-    asked = queries.select("vec_id", "copy", "v").mapInArrow(
+    # Per id how many of its rows each leaf holds; there are no more leaves than the sample has rows.
+    per_leaf = index.groupBy("vec_id", "leaf").agg(F.count(F.lit(1)).alias("n"))
+    own_rows = ws.materialize(
+        per_leaf.groupBy("vec_id").agg(F.collect_list(F.struct("leaf", "n")).alias("own")), "ann-own"
+    )
+    known = queries.select("vec_id", "copy", "v").join(own_rows, "vec_id", "left")
+    asked = known.select("vec_id", "copy", "v", "own").mapInArrow(
         deal, "leaf int, block int, query_id long, copy long, v binary"
     )
     of_leaf = F.element_at(F.array(*[F.lit(int(max(b, 1))) for b in blocks]), F.col("leaf") + 1)

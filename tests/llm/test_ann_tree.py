@@ -102,3 +102,19 @@ def test_few_vectors_are_all_found(spark, folder):
 
 def test_empty_table(spark, folder):
     assert ann_tree.op4_ann_tree(spark, folder()).collect() == []
+
+
+def test_queries_in_small_leaves_find_ten_rows(spark, folder, monkeypatch):
+    # What calibration gives where nearly all queries lie in tight clusters.
+    monkeypatch.setattr(ann_tree, "calibrate", lambda *_: 1)
+    rng = np.random.default_rng(3)
+    x = np.repeat(50 * rng.normal(size=(40, 8)), 50, axis=0) + 1e-3 * rng.normal(size=(2000, 8))
+    # Queries far from all others, one of them under an id that twelve equal rows have.
+    x[[100, 700, 1500]] = 1e4 * np.eye(8)[:3]
+    rows = table(x) + [(700, [float(c) for c in x[700]], 0)] * 11
+    found = ann_tree.op4_ann_tree(spark, folder(vectors=rows)).collect()
+    counts = {}
+    for r in found:
+        counts[r.query_id] = counts.get(r.query_id, 0) + 1
+    assert counts == {q: 120 if q == 700 else 10 for q in range(0, 2000, 100)}
+    assert all(r.vec_id != r.query_id for r in found)
