@@ -10,7 +10,9 @@ window is an inner node at that depth.  To keep the tree out of any one place:
    equal anchors, so a window whose anchor occurs in one document only has no equal.  Chunks of
    documents (see chunks) ask about each anchor they hold, and go on with those that repeat.
 2. Neighbouring windows with one anchor form a passage.  A chunk sends each distinct passage once,
-   with its smallest document, to the bucket of its anchor, where all equal windows meet.
+   with its smallest document, to the bucket of its anchor, where all equal windows meet.  An
+   anchor with many windows (a phrase of menus or licences) would fill one bucket: of its passages
+   each distinct window goes on its own, to the bucket of all its words.
 3. In a bucket, suffixes are split by prefixes that grow by one word while a group is too large for
    memory.  The suffixes of a group, sorted, are the leaves of its subtree in order; where
    neighbours agree for the whole window, they hang below one deep inner node.  The smallest
@@ -46,6 +48,8 @@ WINDOW = 13
 ANCHOR = 5
 #: Suffixes of a group that are sorted together.
 GROUP = 100_000
+#: Windows of an anchor above which they are dealt by all their words.
+HOT = 100_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _NO_ID = -(2**63)
@@ -142,50 +146,70 @@ class _Chunk:
         self.hashes, self.bucket = hashes[own[new]], bucket[own[new]]
         starts = np.flatnonzero(new)
         docs = self.doc[own]
-        self.several = (
-            np.minimum.reduceat(docs, starts) != np.maximum.reduceat(docs, starts)
-            if len(starts)
-            else np.zeros(0, bool)
-        )
+        self.several, self.windows = np.zeros(0, bool), np.zeros(0, np.int64)
+        if len(starts):
+            self.several = np.minimum.reduceat(docs, starts) != np.maximum.reduceat(docs, starts)
+            self.windows = np.add.reduceat(self.length[own], starts)
+        self.buckets = buckets
 
     def anchors(self) -> Iterator[tuple[int, tuple]]:
-        """By bucket: hashes of anchors, and whether several documents of the chunk have them."""
+        """By bucket: hashes of anchors, whether several documents of the chunk have them, and how
+        many windows do."""
         edges = np.flatnonzero(np.diff(self.bucket, prepend=-1))
+        windows = self.windows.astype(np.uint32)
         for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(self.bucket)]):
-            yield int(self.bucket[a]), (self.hashes[a:b], self.several[a:b])
+            yield int(self.bucket[a]), (self.hashes[a:b], self.several[a:b], windows[a:b])
 
-    def candidates(self, repeats: np.ndarray) -> tuple[np.ndarray, np.ndarray, list, np.ndarray]:
-        """Of the passages with repeated anchors: their numbers, the number of each one's distinct
+    def candidates(
+        self, repeats: np.ndarray, hot: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list, np.ndarray]:
+        """Of the passages with repeated anchors, those of hot anchors cut into single windows: the
+        first window, the number of windows and the document of each, the number of its distinct
         passage, the distinct passages as (bucket, bytes, windows), and their smallest documents.
         """
         own = self.known[repeats[self.number[self.known]]]
-        own = own[np.argsort(self.bucket[self.number[own]], kind="stable")]
-        begin = self.start[self.first[own]].tolist()
-        end = self.end[self.first[own] + self.length[own] + WINDOW - 2].tolist()
-        offset = (self.anchor[own] - self.first[own]).tolist()
-        data = self.data
+        cut = hot[self.number[own]]
+        pieces = np.where(cut, self.length[own], 1)
+        step = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        own, cut = np.repeat(own, pieces), np.repeat(cut, pieces)
+        first = self.first[own] + step
+        length = np.where(cut, 1, self.length[own])
+        bucket = self.bucket[self.number[own]]
+        data, digest = self.data, xxhash.xxh64_intdigest
+        for k in np.flatnonzero(cut).tolist():
+            text = data[self.start[first[k]] : self.end[first[k] + WINDOW - 1]]
+            bucket[k] = digest(text, 11) % self.buckets
+        order = np.argsort(bucket, kind="stable")
+        own, first, length, bucket = own[order], first[order], length[order], bucket[order]
+        begin = self.start[first].tolist()
+        end = self.end[first + length + WINDOW - 2].tolist()
+        # A window on its own is the same wherever its anchor is.
+        offset = np.where(cut[order], 0, self.anchor[own] - first).tolist()
         numbers: defaultdict[tuple, int] = defaultdict(count().__next__)
         number = np.array(
             [numbers[(data[a:b], o)] for a, b, o in zip(begin, end, offset)], dtype=np.int64
         )
         least = np.full(len(numbers), 2**63 - 1, dtype=np.int64)
         np.minimum.at(least, number, self.doc[own])
-        first = np.zeros(len(numbers), dtype=np.int64)
-        first[number[::-1]] = own[::-1]
-        buckets = self.bucket[self.number[first]].tolist()
-        distinct = list(zip(buckets, [text for text, _ in numbers], self.length[first].tolist()))
-        return own, number, distinct, least
-
-
-def _repeated_anchors(bucket: int, chunks: list[int], lists: list[tuple]) -> Iterator[tuple]:
-    """Which anchors of each list occur in more than one document."""
-    hashes = np.concatenate([h for h, _ in lists])
-    several = np.concatenate([s for _, s in lists])
+        any_ = np.zeros(len(numbers), dtype=np.int64)
+        any_[number[::-1]] = np.arange(len(number))[::-1]
+        texts = [text for text, _ in numbers]
+        distinct = list(zip(bucket[any_].tolist(), texts, length[any_].tolist()))
+        return first, length, self.doc[own], number, distinct, least
+
+
+def _repeated_anchors(
+    bucket: int, chunks: list[int], lists: list[tuple], most: int
+) -> Iterator[tuple]:
+    """Which anchors of each list occur in more than one document, and which of them are hot, that
+    is, have more than `most` windows."""
+    hashes, several, windows = map(np.concatenate, zip(*lists))
     _, where = np.unique(hashes, return_inverse=True)
     again = (np.bincount(where) > 1) | (np.bincount(where, several) > 0)
-    edges = np.cumsum([len(h) for h, _ in lists])[:-1]
-    for chunk, own in zip(chunks, np.split(again[where], edges)):
-        yield chunk, bucket, pack((len(own), np.packbits(own)))
+    hot = again & (np.bincount(where, windows) > most)
+    edges = np.cumsum([len(h) for h, _, _ in lists])[:-1]
+    for chunk, *own in zip(chunks, np.split(again[where], edges), np.split(hot[where], edges)):
+        yield chunk, bucket, pack((len(own[0]), *map(np.packbits, own)))
 
 
 def subtrees(suffixes: list[bytes], group: int = GROUP) -> Iterator[list[int]]:
@@ -239,18 +263,22 @@ def _earlier_elsewhere(bucket: int, chunks: list[int], lists: list[bytes]) -> It
         yield chunk, bucket, pack((len(bits), np.packbits(bits)))
 
 
-def _bits(frame: pd.DataFrame, kind: int) -> np.ndarray:
+def _bits(frame: pd.DataFrame, kind: int, which: int = 1) -> np.ndarray:
     """The answers of a kind, in the order of their buckets."""
     frame = frame[frame["kind"] == kind].sort_values("bucket")
     found = [unpack(c) for c in frame["content"]]
     return np.concatenate(
-        [np.zeros(0, bool), *[np.unpackbits(b, count=n).astype(bool) for n, b in found]]
+        [np.zeros(0, bool), *[np.unpackbits(x[which], count=x[0]).astype(bool) for x in found]]
     )
 
 
+def _repeats_and_hot(answers: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    return _bits(answers, 1), _bits(answers, 1, 2)
+
+
 def remove_repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
     """One row per document with the columns of _RESULT."""
-    buckets = bucket_count(docs)
+    buckets, most = bucket_count(docs), HOT
     payloads, _ = write_chunks(docs, ws, "passage-chunks", _payload)
     names = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("content", pa.binary())])
 
@@ -268,8 +296,11 @@ def remove_repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
                     names=names.names,
                 )
 
+    def repeated_anchors(bucket: int, chunks: list[int], lists: list[tuple]) -> Iterator[tuple]:
+        return _repeated_anchors(bucket, chunks, lists, most)
+
     first = per_bucket(
-        payloads.mapInArrow(ask_anchors, _QUESTIONS), _repeated_anchors, names, _ANSWERS
+        payloads.mapInArrow(ask_anchors, _QUESTIONS), repeated_anchors, names, _ANSWERS
     )
     first = ws.materialize(first.withColumn("kind", F.lit(1)), "repeated-anchors")
 
@@ -277,7 +308,7 @@ def remove_repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
         rows = []
         if len(own) and len(answers):
             chunk = _Chunk(unpack(own["content"].iloc[0]), buckets)
-            _, _, distinct, least = chunk.candidates(_bits(answers, 1))
+            *_, distinct, least = chunk.candidates(*_repeats_and_hot(answers))
             edges = [k for k, d in enumerate(distinct) if not k or d[0] != distinct[k - 1][0]]
             for a, b in zip(edges, [*edges[1:], len(distinct)]):
                 part = distinct[a:b]
@@ -307,15 +338,16 @@ def remove_repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
         n = chunk.n
         edge = np.zeros(int(n.sum()) + 1, dtype=np.int64)
         if len(answers):
-            passage, number, distinct, least = chunk.candidates(_bits(answers, 1))
+            first, length, doc, number, distinct, least = chunk.candidates(
+                *_repeats_and_hot(answers)
+            )
             windows = np.array([w for _, _, w in distinct], dtype=np.int64)
             begins = np.cumsum(windows) - windows
             earlier = _bits(answers, 2)
-            length = chunk.length[passage]
             step = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-            late = np.repeat(chunk.doc[passage] > least[number], length)
+            late = np.repeat(doc > least[number], length)
             gone = late | earlier[np.repeat(begins[number], length) + step]
-            start = (np.repeat(chunk.first[passage], length) + step)[gone]
+            start = (np.repeat(first, length) + step)[gone]
             np.add.at(edge, start, 1)
             np.add.at(edge, start + WINDOW, -1)
         removed = np.cumsum(edge[:-1]) > 0

@@ -58,5 +58,53 @@ def test_prefixes_grow_where_groups_are_large():
         assert least.tolist() == [wanted[s] for s in suffixes]
 
 
+def _anchor_phrase() -> str:
+    """Five words that are the anchor of all windows over them, whatever stands around."""
+    for k in range(20_000):
+        phrase = [f"p{k}w{j}" for j in range(5)]
+        words, n = [], []
+        for c in range(20):
+            own = [*[f"a{c}x{j}" for j in range(12)], *phrase, *[f"b{c}x{j}" for j in range(12)]]
+            words += own
+            n.append(len(own))
+        encoded = [w.encode() for w in words]
+        lengths, offsets = substrings._passages(encoded, np.array(n))
+        if sum((lengths == 9) & (offsets == 8)) == 20:
+            return " ".join(phrase)
+    raise AssertionError
+
+
+def test_windows_of_a_hot_anchor_do_not_meet_in_one_bucket(folder, same_as_sql, monkeypatch):
+    monkeypatch.setattr(chunks, "CHUNK_CHARS", 2_000)
+    monkeypatch.setattr(substrings, "HOT", 20, raising=False)
+    phrase, asked, whole = _anchor_phrase(), [], substrings.per_bucket
+
+    def spy(questions, *rest):
+        asked.append([(r.bucket, r.content) for r in questions.collect()])
+        return whole(questions, *rest)
+
+    monkeypatch.setattr(substrings, "per_bucket", spy)
+    rows = []
+    for k in range(200):
+        around = [" ".join(f"{side}{k % 150}x{j}" for j in range(12)) for side in "ab"]
+        rows.append((k, f"{around[0]} {phrase} {around[1]}", "en", "a", 0))
+    found = same_as_sql(substrings.op7_substrings, substrings.ORACLE, folder(rows))
+    assert (found["n_removed"] > 0).sum() == 50
+    windows: dict = {}
+    for bucket, content in asked[1]:
+        _, own, _ = chunks.unpack(chunks.unpack(content))
+        windows[bucket] = windows.get(bucket, 0) + int(own.sum())
+    assert sum(windows.values()) > 1_500
+    assert max(windows.values()) < 0.4 * sum(windows.values())
+
+
+def test_same_as_sql_where_all_anchors_are_hot(folder, same_as_sql, monkeypatch):
+    monkeypatch.setattr(chunks, "CHUNK_CHARS", 300)
+    monkeypatch.setattr(substrings, "HOT", 0, raising=False)
+    path = folder(overlapping() + awkward_rows(), extra=True)
+    found = same_as_sql(substrings.op7_substrings, substrings.ORACLE, path)
+    assert found["n_removed"].sum() > 100
+
+
 def test_empty_table(spark, folder):
     assert substrings.op7_substrings(spark, folder()).collect() == []
