@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -293,7 +293,7 @@ def link_fingerprints(
 
 def groups_of(prints: DataFrame, ws: Workspace, max_bits: int = MAX_BITS, **kw) -> DataFrame:
     """Of a written table (doc_id, fp): one row per fingerprint with component_id, the smallest
-    doc_id of its component, and root.  Null ids have no part in the smallest; a component
+    doc_id of its component, root, and first, its own smallest doc_id.  Null ids have no part in the smallest; a component
     without any id has a null component_id."""
     distinct = ws.materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     roots = link_fingerprints(distinct, ws, max_bits, **kw)
@@ -303,14 +303,15 @@ def groups_of(prints: DataFrame, ws: Workspace, max_bits: int = MAX_BITS, **kw)
     placed = ws.materialize(placed, "placed")
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     least = ws.materialize(least, "least")
-    return ws.materialize(placed.join(least, "root").select("fp", "root", "component_id"), "groups")
+    joined = placed.join(least, "root").select("fp", "root", "component_id", "first")
+    return ws.materialize(joined, "groups")
 
 
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     ws = Workspace(spark)
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     prints = ws.materialize(with_fingerprint(docs, "fp").select("doc_id", "fp"), "prints")
-    groups = groups_of(prints, ws).drop("root")
+    groups = groups_of(prints, ws).drop("root", "first")
     return prints.join(groups, "fp").select(
         "doc_id",
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
@@ -319,20 +320,45 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group: the one with the smallest id, one row of it if the id repeats.
-    Documents without an id stay only where their whole group has none, one row per group."""
+    """One document of each group: the one with the smallest id, and of its rows in the group the
+    one with the smallest fingerprint, then the smallest in all columns.  Documents without an id
+    stay only where their whole group has none, one row per group."""
     ws = Workspace(spark)
     small = docs.select("doc_id", "text")
     prints = ws.materialize(with_fingerprint(small, "fp").select("doc_id", "fp"), "prints")
     groups = groups_of(prints, ws)
-    keep = groups.select(F.col("component_id").alias(f"{OWN}id")).filter(f"{OWN}id is not null")
-    keep = ws.materialize(keep.distinct(), "keep")
+    keep = groups.filter("first = component_id").groupBy("root").agg(
+        F.first("component_id").alias(f"{OWN}id"), F.min("fp").alias(f"{OWN}keep")
+    )
+    keep = ws.materialize(keep, "keep")
+    # Ids whose rows differ in their fingerprints, and so may lie in several groups.
+    several = (
+        prints.filter("doc_id is not null")
+        .groupBy(F.col("doc_id").alias(f"{OWN}id"))
+        .agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
+        .filter("low <> high")
+        .select(f"{OWN}id")
+    )
+    several = ws.materialize(several, "several")
+
+    def one_row(rows: DataFrame, *key: str) -> DataFrame:
+        order = Window.partitionBy(*key).orderBy(*[F.col(f"`{c}`") for c in docs.columns])
+        rows = rows.withColumn(f"{OWN}rank", F.row_number().over(order))
+        return rows.filter(F.col(f"{OWN}rank") == 1)
+
     # The hint: one plan at every size, whose shuffle is that of the texts.
-    named = docs.join(keep.hint("merge"), docs["doc_id"] == keep[f"{OWN}id"], "left_semi")
-    named = named.dropDuplicates(["doc_id"])
+    single = keep.join(several, f"{OWN}id", "left_anti").hint("merge")
+    named = docs.join(single, docs["doc_id"] == single[f"{OWN}id"], "left_semi")
+    named = one_row(named, "doc_id")
+    # Few ids repeat with other texts; no hint, so that few are not joined by a shuffle of all texts.
+    mixed = docs.join(several, docs["doc_id"] == several[f"{OWN}id"], "left_semi")
+    mixed = with_fingerprint(mixed, f"{OWN}fp")
+    of_group = (mixed["doc_id"] == keep[f"{OWN}id"]) & (mixed[f"{OWN}fp"] == keep[f"{OWN}keep"])
+    mixed = one_row(mixed.join(keep, of_group, "left_semi"), "doc_id", f"{OWN}fp")
     nameless = with_fingerprint(docs.filter("doc_id is null"), f"{OWN}fp")
     alone = groups.filter("component_id is null").select(
         F.col("fp").alias(f"{OWN}fp"), F.col("root").alias(f"{OWN}root")
     )
-    nameless = nameless.join(alone, f"{OWN}fp").dropDuplicates([f"{OWN}root"])
-    return named.select(*docs.columns).unionByName(nameless.select(*docs.columns))
+    nameless = one_row(nameless.join(alone, f"{OWN}fp"), f"{OWN}root")
+    kept = [rows.select(*docs.columns) for rows in (named, mixed, nameless)]
+    return kept[0].unionByName(kept[1]).unionByName(kept[2])

@@ -119,5 +119,21 @@ def test_stage_keeps_one_of_each_group(spark, folder):
     assert kept == sorted([*named, *[None] * len({r[1] for r in alone})], key=repr)
 
 
+def test_stage_keeps_a_row_of_each_group_where_an_id_repeats(spark, folder):
+    # One id with six texts, each in a group of its own with a later copy; rows that differ only
+    # in their source; one text of an id that another group has as well.
+    rows = [(1, prose(k, 80), "en", "b", 0) for k in range(6)]
+    rows += [(10 + k, prose(k, 80), "en", "b", 0) for k in range(6)]
+    rows += [(2, prose(50, 80), "en", source, 0) for source in "cab"]
+    rows += [(3, prose(51, 80), "en", "a", 0), (3, prose(0, 80), "en", "a", 0)]
+    for given in (rows, rows[::-1]):
+        path = folder(given)
+        docs = spark.read.parquet(f"{path}/documents.parquet")
+        out = simhash.stage(spark, docs, path).collect()
+        wanted = [(1, prose(k, 80), "b") for k in range(6)]
+        wanted += [(2, prose(50, 80), "a"), (3, prose(51, 80), "a")]
+        assert sorted((r.doc_id, r.text, r.source) for r in out) == sorted(wanted)
+
+
 def test_empty_table(spark, folder):
     assert simhash.op5_simhash(spark, folder()).collect() == []
