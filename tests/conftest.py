@@ -3,9 +3,10 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+_HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(_HERE), _HERE]
 
-DATA = "/root/testdata"
+from given import DATA
 
 
 @pytest.fixture(scope="session")
