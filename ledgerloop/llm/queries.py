@@ -14,6 +14,7 @@ from ledgerloop.llm import (
     line_dedup,
     mixing,
     quality,
+    quality_kernel,
     simhash,
     substrings,
     toxicity,
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_context_mixing": context_mixing.op8_context_mixing,
     "op9_mixing": mixing.op9_mixing,
     "op10_quality_rules": quality.op10_quality_rules,
+    "op11_quality_kernel": quality_kernel.op11_quality_kernel,
 }
 
 ORACLE: dict[str, str] = {
