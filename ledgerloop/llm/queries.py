@@ -16,6 +16,7 @@ from ledgerloop.llm import (
     quality,
     quality_kernel,
     simhash,
+    spelling,
     substrings,
     toxicity,
 )
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": mixing.op9_mixing,
     "op10_quality_rules": quality.op10_quality_rules,
     "op11_quality_kernel": quality_kernel.op11_quality_kernel,
+    "op12_spelling": spelling.op12_spelling,
 }
 
 ORACLE: dict[str, str] = {
