@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloop.llm import (
     ann_tree,
     bpe,
+    collocations,
     context_mixing,
     huffman,
     line_dedup,
@@ -34,10 +35,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": quality.op10_quality_rules,
     "op11_quality_kernel": quality_kernel.op11_quality_kernel,
     "op12_spelling": spelling.op12_spelling,
+    "op13_collocations": collocations.op13_collocations,
 }
 
 ORACLE: dict[str, str] = {
     "op2_line_dedup": line_dedup.ORACLE,
     "op7_substrings": substrings.ORACLE,
     "op9_mixing": mixing.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }
