@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -71,8 +72,19 @@ def pieces_and_words(text: str | None) -> list[bytes]:
     return data.replace(b".", b" . ").split()
 
 
+def pack_stream(stream: np.ndarray) -> bytes:
+    """int32 numbers, compressed byte by byte of the same place."""
+    planes = np.ascontiguousarray(stream.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack_stream(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+
+
 def make_shards(docs: DataFrame) -> DataFrame:
-    """Of each shard a row with `stream`, its words as int32 numbers with 0 for a break, and a row
+    """Of each shard a row with `stream`, its words as packed numbers with 0 for a break, and a row
     per distinct word: local (its number), lang, word and n."""
     schema = "shard long, local int, lang string, word string, n long, stream binary"
 
@@ -95,7 +107,7 @@ def make_shards(docs: DataFrame) -> DataFrame:
                     pa.array([*[lang for lang, _ in every], None], pa.string()),
                     pa.array([*[word.decode() for _, word in every], None], pa.string()),
                     pa.array([*n.tolist(), None], pa.int64()),
-                    pa.array([*[None] * rows, stream.tobytes()], pa.binary()),
+                    pa.array([*[None] * rows, pack_stream(stream)], pa.binary()),
                 ],
                 names=["shard", "local", "lang", "word", "n", "stream"],
             )
@@ -235,7 +247,12 @@ class Filter:
         a = np.concatenate([numbers[two], numbers[three]])
         b = np.concatenate([numbers[two + 1], numbers[three + 1]])
         c = np.concatenate([np.zeros(len(two), numbers.dtype), numbers[three + 2]])
-        return cls.merged(layout, *layout.pack(a, b, c), np.ones(len(a), dtype=np.int64))
+        quotient, remainder = layout.pack(a, b, c)
+        if layout.bits > 64:
+            return cls.merged(layout, quotient, remainder, np.ones(len(a), dtype=np.int64))
+        rest = layout.bits - layout.quotient_bits
+        key, count = np.unique((quotient.astype(_U) << _U(rest)) | remainder, return_counts=True)
+        return cls(layout, (key >> _U(rest)).astype(np.uint32), key & layout._mask(rest), count)
 
     def slices(self, bits: int) -> Iterator[tuple[int, Filter]]:
         """Slices by the highest `bits` of the quotients, those that are not empty."""
@@ -311,7 +328,7 @@ def count_shards(streams: DataFrame, numbers: DataFrame, layout: Layout, bits: i
         shard = 0
         if streams.num_rows and numbers.num_rows:
             shard = streams.column("shard")[0].as_py()
-            stream = np.frombuffer(streams.column("stream")[0].as_py(), dtype=np.int32)
+            stream = unpack_stream(streams.column("stream")[0].as_py())
             known = np.zeros(int(stream.max(initial=0)) + 1, dtype=np.int64)
             known[numbers.column("local").to_numpy()] = numbers.column("number").to_numpy()
             found = Filter.of_stream(layout, known[stream])
@@ -369,11 +386,11 @@ def count_phrases(
     bits = min(layout.quotient_bits, max(LEAST_BITS, need))
     done = min(bits, fan_bits)
     streams = shards.filter("stream is not null").select("shard", "stream")
-    slices = ws.materialize(count_shards(streams, numbers, layout, done), "slices")
+    slices = count_shards(streams, numbers, layout, done)
     while done < bits:
         groups = max(1, math.ceil(entries / merge_entries / 2**done))
         done = min(bits, done + fan_bits)
-        slices = ws.materialize(merge_slices(slices, layout, groups, done), "slices")
+        slices = merge_slices(slices, layout, groups, done)
     phrases = ws.materialize(read_slices(slices, layout, MIN_COUNT), "phrases")
     return words, phrases, totals
 
