@@ -2,25 +2,36 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ledgerloop.schema import CASE_REQUIRED, RAW, RAW_REQUIRED, TRANSFER, require_columns
+from ledgerloop.sources.headers import check_header, files_by_header, files_of, scan
 
-from ledgerloop.schema import CASE_REQUIRED, RAW, TRANSFER, require_columns
+RAW_PLACED = T.StructType(
+    [
+        *RAW.fields,
+        T.StructField("_file", T.StringType()),
+        T.StructField("_block", T.LongType()),
+    ]
+)
 
 
 def read_raw(spark: SparkSession, path: str | list[str], with_position: bool = True) -> DataFrame:
-    """Raw transfer CSV, all columns as text and named by position.
+    """Raw transfer CSV, all columns as text and found by name in the header of each file.
 
-    `_file` and `_block` place every row in its input split (see operators.ordinal).
+    A file without a required column raises, with its name, before any job.  Columns that are not
+    required may be missing (null) and unknown ones are left out.  `_file` and `_block` place every
+    row in its input split (see operators.ordinal).
     """
-    raw = spark.read.schema(RAW).option("header", True).csv(path)
-    if not with_position:
-        return raw
-    return raw.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-    )
+    groups = files_by_header(spark, files_of(spark, path))
+    for names, files in groups.items():
+        check_header(names, RAW_REQUIRED, files[0])
+    parts = [scan(spark, names, files, RAW) for names, files in groups.items()]
+    raw = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], RAW_PLACED)
+    return raw if with_position else raw.drop("_file", "_block")
 
 
 def read_transfers(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

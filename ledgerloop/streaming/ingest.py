@@ -1,7 +1,8 @@
 """Streaming twin of the clean step: every micro-batch is one chunk.
 
-Stateless, so no watermark is needed.  Each batch overwrites its own batch_id partition: a
-batch that is repeated after a failure replaces its rows instead of adding them twice.
+No watermark is needed, rows do not wait for each other.  Each batch overwrites its own batch_id
+partition: a batch that is repeated after a failure replaces its rows instead of adding them twice.
+The only state are running totals of the report, one row per batch.
 """
 
 from __future__ import annotations
@@ -13,28 +14,34 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerloop.operators import cleaning
 from ledgerloop.operators.ordinal import with_file_order
 from ledgerloop.plans.workspace import Workspace
-from ledgerloop.schema import RAW
+from ledgerloop.sources.readers import RAW_PLACED, read_raw
 from ledgerloop.sources.writers import write_table
 
+TOTALS = "data_quality_totals"
+
+# What the file stream carries: names of new files.  Their rows are read in the batch, by the
+# names in each file's header.
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def read_raw_stream(
     spark: SparkSession, folder: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    reader = spark.readStream.schema(RAW).option("header", True)
+    """Names of the raw files in a folder, as they come in; their content is not read here."""
+    reader = spark.readStream.format("binaryFile").schema(_FILES)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(folder).select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-    )
+    return reader.load(folder).select("path")
 
 
 def _write_batch(batch: DataFrame, batch_id: int, out: str, keep_zeros: bool) -> None:
-    with Workspace(batch.sparkSession) as ws:
+    spark = batch.sparkSession
+    files = sorted(row["path"] for row in batch.collect())
+    with Workspace(spark) as ws:
         chunk = F.lit(batch_id + 1).cast("long")
+        raw = read_raw(spark, files) if files else spark.createDataFrame([], RAW_PLACED)
         parsed = cleaning.normalize_transfers(
-            batch, keep_zeros=keep_zeros, extra=("_file", "_block")
+            raw, keep_zeros=keep_zeros, extra=("_file", "_block")
         )
         rows = with_file_order(parsed, ws).select(
             F.format_string("T%04d_%07d", chunk, F.col("ordinal")).alias("transaction_id"),
@@ -48,6 +55,28 @@ def _write_batch(batch: DataFrame, batch_id: int, out: str, keep_zeros: bool) ->
             cleaning.graph_edges(transfers), f"{out}/transactions_graph_edges/{part}"
         )
         write_table(cleaning.quality_report(rows), f"{out}/data_quality_report/{part}")
+    _add_to_totals(spark, out, batch_id)
+
+
+def _add_to_totals(spark: SparkSession, out: str, batch_id: int) -> None:
+    """Running totals after each batch: those after the batch before, and this batch's report.
+
+    They depend on the batch id alone, so a batch that is repeated, once or after later ones, leaves
+    the same totals.  Each batch reads one row and its own report, never the whole history.
+    """
+    report = spark.read.parquet(f"{out}/data_quality_report/batch_id={batch_id}")
+    totals = cleaning.quality_totals(report)
+    if batch_id:
+        before = spark.read.schema(totals.schema).parquet(f"{out}/{TOTALS}/batch_id={batch_id - 1}")
+        totals = before.unionByName(totals).agg(*[F.sum(c).alias(c) for c in totals.columns])
+    write_table(totals.coalesce(1), f"{out}/{TOTALS}/batch_id={batch_id}")
+
+
+def running_totals(spark: SparkSession, out: str) -> DataFrame:
+    """The totals after the last batch, one row."""
+    every = spark.read.parquet(f"{out.rstrip('/')}/{TOTALS}")
+    last = every.agg(F.max("batch_id").alias("batch_id"))
+    return every.join(last, "batch_id").drop("batch_id")
 
 
 def start_ingest(
