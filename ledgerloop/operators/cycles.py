@@ -307,26 +307,77 @@ def detect_cycles(
     )
 
 
-def closed_trails(
-    transfers: DataFrame, ws: Workspace, min_hops: int = 2, max_hops: int = 6
+def count_cycles(
+    pairs: DataFrame, ws: Workspace, min_length: int = MIN_LENGTH, max_length: int = MAX_LENGTH
 ) -> DataFrame:
-    """Closed walks of min_hops..max_hops different transfers; accounts may repeat.
+    """n_accounts and cycles: exactly how many cycles bounded_cycles would list, without listing one.
 
-    Every start transfer gives a row of its own.  The walks are found once each, rooted at
-    their first account in the degree order, and rotated at the end.
+    Half paths are counted by root and meeting account.  Products of these counts also hold pairs of
+    halves that share an account in between.  Half paths are therefore counted for every set of their
+    accounts in between as well, and the products for a set of m accounts are added with sign
+    (-1)^m, which leaves the pairs that share none.
     """
-    if not 2 <= min_hops <= max_hops:
-        raise ValueError("trail lengths must satisfy 2 <= min_hops <= max_hops")
-    plain = transfers.select(
-        F.col("transaction_id").alias("id"),
-        F.col("source_account").alias("src"),
-        F.col("target_account").alias("dst"),
+    if not 2 <= min_length <= max_length:
+        raise ValueError("cycle lengths must satisfy 2 <= min_length <= max_length")
+    none = _Measures(False)
+    arcs = ranked_core(pairs.select("src", "dst"), ws)
+    forward_hops, backward_hops = _halves(min_length, max_length)
+
+    def counted(levels: list[DataFrame], hops: int, name: str) -> DataFrame:
+        # Forward paths hold both ends, backward ones only what lies between.
+        between = F.slice("nodes", 2, hops - 1) if name == "forward" else F.col("nodes")
+        no_account = F.array().cast("array<string>")
+        subsets = F.aggregate(
+            F.array_sort(between) if hops > 1 else no_account,
+            F.array(no_account),
+            lambda sets, x: F.concat(sets, F.transform(sets, lambda one: F.array_append(one, x))),
+        )
+        counts = (
+            levels[hops - 1]
+            .select("root", "meet", F.explode(subsets).alias("shared"))
+            .groupBy("root", "meet", "shared")
+            .agg(F.count(F.lit(1)).alias("paths"))
+        )
+        return ws.materialize(counts, f"{name}-counts-{hops}")
+
+    forward = _grow(
+        _forward_start(arcs, none),
+        lambda p: _forward_step(p, arcs, none),
+        max(forward_hops),
+        ws,
+        "forward",
+        None,
+    )
+    backward = _grow(
+        _backward_start(arcs, none),
+        lambda p: _backward_step(p, arcs, none),
+        max(backward_hops),
+        ws,
+        "backward",
+        None,
     )
-    arcs = ranked_core(plain, ws)
+    ahead = {h: counted(forward, h, "forward") for h in sorted(forward_hops)}
+    back = {h: counted(backward, h, "backward") for h in sorted(backward_hops)}
+
+    def product(length: int) -> DataFrame:
+        f, b = ahead[(length + 1) // 2].alias("f"), back[length // 2].alias("b")
+        pairs_of_halves = F.col("f.paths").cast("decimal(19,0)") * F.col("b.paths")
+        signed = F.when(F.size("f.shared") % 2 == 1, -pairs_of_halves).otherwise(pairs_of_halves)
+        same = [F.col(f"f.{c}") == F.col(f"b.{c}") for c in ("root", "meet", "shared")]
+        return f.join(b, same).agg(
+            F.lit(length).alias("n_accounts"),
+            F.coalesce(F.sum(signed), F.lit(0)).cast("decimal(38,0)").alias("cycles"),
+        )
+
+    return _union([product(length) for length in range(min_length, max_length + 1)])
+
+
+def _loops(arcs: DataFrame, ws: Workspace, max_hops: int) -> DataFrame:
+    """Closed walks of 2..max_hops different transfers that meet their first account, the root, at
+    both ends only; all others come after it in the account order and may repeat.
 
-    def not_before(degree: str, node: str, p: str) -> Column:
-        root_degree, root = F.col(f"{p}.root_degree"), F.col(f"{p}.root")
-        return (F.col(node) == root) | _after(F.col(degree), F.col(node), root_degree, root)
+    No half path passes the root, so that a hub's partners in both directions are not multiplied.
+    """
 
     def start(root: str, meet: str) -> DataFrame:
         return arcs.where(
@@ -343,25 +394,26 @@ def closed_trails(
     def step(p: DataFrame, forwards: bool) -> DataFrame:
         near, far = ("src", "dst") if forwards else ("dst", "src")
         put = F.array_append if forwards else F.array_prepend
+        degree, node = F.col(f"a.{far}_degree"), F.col(f"a.{far}")
         return (
             p.alias("p")
             .join(
                 arcs.alias("a"),
                 (F.col("p.meet") == F.col(f"a.{near}"))
-                & not_before(f"a.{far}_degree", f"a.{far}", "p")
+                & _after(degree, node, F.col("p.root_degree"), F.col("p.root"))
                 & ~F.array_contains("p.ids", F.col("a.id")),
             )
             .select(
                 "p.root",
                 "p.root_degree",
-                F.col(f"a.{far}").alias("meet"),
+                node.alias("meet"),
                 put("p.ids", F.col("a.id")).alias("ids"),
                 put("p.sources", F.col("a.src")).alias("sources"),
                 (F.col("p.hops") + 1).alias("hops"),
             )
         )
 
-    forward_hops, backward_hops = _halves(min_hops, max_hops)
+    forward_hops, backward_hops = _halves(2, max_hops)
     forward = _grow(
         start("src", "dst"), lambda p: step(p, True), max(forward_hops), ws, "trail-out", None
     )
@@ -370,24 +422,58 @@ def closed_trails(
     )
     f = _union([forward[h - 1] for h in sorted(forward_hops)]).alias("f")
     b = _union([backward[h - 1] for h in sorted(backward_hops)]).alias("b")
-    closed = f.join(
+    return f.join(
         b,
         (F.col("f.root") == F.col("b.root"))
         & (F.col("f.meet") == F.col("b.meet"))
-        & _wanted(min_hops, max_hops)
+        & _wanted(2, max_hops)
         & ~F.arrays_overlap("f.ids", "b.ids"),
     ).select(
         F.col("f.root").alias("root"),
         F.concat("f.ids", "b.ids").alias("ids"),
         F.concat("f.sources", "b.sources").alias("sources"),
+        (F.col("f.hops") + F.col("b.hops")).alias("hops"),
     )
-    # A walk that passes its root several times is found from each pass; keep the one whose
-    # first transfer has the smallest id among those leaving the root.
-    leaving = F.filter(
-        "ids", lambda x, i: F.get(F.col("sources"), i) == F.col("root")
+
+
+def closed_trails(
+    transfers: DataFrame, ws: Workspace, min_hops: int = 2, max_hops: int = 6
+) -> DataFrame:
+    """Closed walks of min_hops..max_hops different transfers; accounts may repeat.
+
+    Every start transfer gives a row of its own.  A walk is rooted at its first account in the degree
+    order and falls into loops there.  Loops are searched on their own; those of one root with
+    different transfers are joined, the loop with the smallest first transfer first, so that each
+    walk is found once, and rotated at the end.
+    """
+    if not 2 <= min_hops <= max_hops:
+        raise ValueError("trail lengths must satisfy 2 <= min_hops <= max_hops")
+    plain = transfers.select(
+        F.col("transaction_id").alias("id"),
+        F.col("source_account").alias("src"),
+        F.col("target_account").alias("dst"),
     )
+    # Written, so that adaptive execution can split the loops of a hub.
+    loops = ws.materialize(_loops(ranked_core(plain, ws), ws, max_hops), "loops")
+    walks = [loops]
+    while 2 * (len(walks) + 1) <= max_hops:
+        w, n = walks[-1].alias("w"), loops.alias("n")
+        more = w.join(
+            n,
+            (F.col("w.root") == F.col("n.root"))
+            & (F.col("w.hops") + F.col("n.hops") <= max_hops)
+            & (F.element_at("w.ids", 1) < F.element_at("n.ids", 1))
+            & ~F.arrays_overlap("w.ids", "n.ids"),
+        ).select(
+            "w.root",
+            F.concat("w.ids", "n.ids").alias("ids"),
+            F.concat("w.sources", "n.sources").alias("sources"),
+            (F.col("w.hops") + F.col("n.hops")).alias("hops"),
+        )
+        walks.append(ws.materialize(more, "walks"))
     return (
-        closed.where(F.element_at("ids", 1) == F.array_min(leaving))
+        _union(walks)
+        .where(F.col("hops") >= min_hops)
         .select("*", F.explode(F.sequence(F.lit(0), F.size("ids") - 1)).alias("turn"))
         .select(
             F.size("ids").alias("n_hops"),

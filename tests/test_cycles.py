@@ -118,7 +118,7 @@ def test_frontier_guard_fails_instead_of_truncating(spark, ws):
         cycles.bounded_cycles(pairs_frame(spark, complete(6)), ws, max_frontier_rows=3)
 
 
-@pytest.mark.parametrize("seed, high", [(1, 4), (2, 5)])
+@pytest.mark.parametrize("seed, high", [(1, 4), (2, 5), (3, 6)])
 def test_closed_trails_against_brute_force(spark, ws, make_transfers, seed, high):
     rng = random.Random(seed)
     rows = [(f"a{rng.randrange(5)}", f"a{rng.randrange(5)}") for _ in range(16)]
@@ -128,3 +128,50 @@ def test_closed_trails_against_brute_force(spark, ws, make_transfers, seed, high
     got = [(tuple(r["transaction_ids"]), tuple(r["path"])) for r in df.collect()]
     assert len(got) == len(set(got))
     assert set(got) == closed_trails(edges, 2, high)
+
+
+def test_trails_of_several_loops_at_a_hub(spark, ws, make_transfers):
+    """Three partners in both directions, twice each: up to three loops at the hub, in any order."""
+    rows = [("hub", f"p{i % 3}") for i in range(4)] + [(f"p{i % 3}", "hub") for i in range(4)]
+    rows.append(("p0", "p1"))
+    edges = [(f"t{i:04d}", s, d) for i, (s, d) in enumerate(rows)]
+    df = cycles.closed_trails(make_transfers(rows), ws, 3, 6)
+    got = [(tuple(r["transaction_ids"]), tuple(r["path"])) for r in df.collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == closed_trails(edges, 3, 6)
+
+
+def test_half_trails_are_bounded_at_a_hub_of_two_way_partners(spark, ws, make_transfers):
+    """Partners in both directions give loops of two hops; half paths never pass the hub."""
+    partners = 300
+    rows = [("hub", f"p{i}") for i in range(partners)] + [(f"p{i}", "hub") for i in range(partners)]
+    plain = make_transfers(rows).selectExpr("transaction_id id", "source_account src", "target_account dst")
+    loops = cycles._loops(cycles.ranked_core(plain, ws), ws, 6)
+    assert loops.count() == partners
+    written = spark.read.parquet(f"{ws.folder}/*trail-out-2")
+    assert written.count() == 0
+
+
+@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("low, high", [(2, 6), (5, 5), (6, 6), (2, 4), (7, 8)])
+def test_counted_cycles_are_those_listed(spark, ws, seed, low, high):
+    pairs = random_pairs(seed, 11, 45) + [("hub", f"a{i}") for i in range(11)] + [(f"a{i}", "hub") for i in range(9)]
+    listed = simple_cycles(pairs, low, high)
+    counted = cycles.count_cycles(pairs_frame(spark, pairs), ws, low, high).collect()
+    assert {r["n_accounts"]: int(r["cycles"]) for r in counted} == {
+        k: sum(len(c) == k for c in listed) for k in range(low, high + 1)
+    }
+
+
+def test_counts_of_complete_and_empty_graphs(spark, ws):
+    counted = cycles.count_cycles(pairs_frame(spark, complete(6)), ws, 2, 6).collect()
+    assert [int(r["cycles"]) for r in counted] == [15, 40, 90, 144, 120]
+    nothing = cycles.count_cycles(spark.createDataFrame([], "src string, dst string"), ws, 2, 3)
+    assert [int(r["cycles"]) for r in nothing.collect()] == [0, 0]
+
+
+def test_counting_lists_no_cycle(spark, ws):
+    """No join of half paths: the last joins are between counts."""
+    plan = cycles.count_cycles(pairs_frame(spark, complete(5)), ws, 6, 6)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "nodes" not in text and text.count("Join") == 1
