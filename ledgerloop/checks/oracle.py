@@ -23,7 +23,7 @@ _LABEL = """CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' AND l_discount >
 _KEY = "concat_ws('_', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
 
 _DETAILS = f"""CAST(CAST(CASE WHEN l_partkey % 3 = 0 THEN round(l_extendedprice * 30, 2)
-      ELSE round(l_extendedprice + 2500000, 2) END AS DECIMAL(18,2)) AS DECIMAL(20,6)) AS amount,
+      ELSE round(l_extendedprice + 2500000, 2) END AS DECIMAL(18,2)) AS DECIMAL(30,10)) AS amount,
     {_TIME} AS "timestamp",
     CASE l_linenumber WHEN 1 THEN 'ACH' WHEN 2 THEN 'Wire' WHEN 3 THEN 'Cheque'
       WHEN 4 THEN 'Cash' ELSE 'Credit Card' END AS transaction_type,
@@ -55,7 +55,7 @@ rings AS (
       concat((x.user_id * 20 + x.event_id % 20) % 10, '_', x.user_id * 20 + x.event_id % 20)
         AS source_account,
       concat((y.user_id * 20 + y.k % 20) % 10, '_', y.user_id * 20 + y.k % 20) AS target_account,
-      CAST(x.value AS DECIMAL(20,6)) AS amount, x.ts AS "timestamp"
+      CAST(x.value AS DECIMAL(30,10)) AS amount, x.ts AS "timestamp"
     FROM numbered_events x JOIN numbered_events y ON y.event_id = x.event_id + 1)
   WHERE source_account <> target_account)"""
 
@@ -72,7 +72,9 @@ raw AS (
     concat('0', l_suppkey % 25) AS to_bank,
     CASE WHEN l_orderkey % 127 = 0 THEN 'nan' ELSE CAST(l_suppkey AS VARCHAR) END AS to_account,
     CASE WHEN l_orderkey % 131 = 0 THEN 'abc' WHEN l_orderkey % 137 = 0 THEN '0'
-      WHEN l_orderkey % 139 = 0 THEN '-5.00'
+      WHEN l_orderkey % 139 = 0 THEN '-5.00' WHEN l_orderkey % 151 = 0 THEN '1e14'
+      WHEN l_orderkey % 157 = 0 THEN '1,000,000,000,000,000' WHEN l_orderkey % 163 = 0 THEN '4e-7'
+      WHEN l_orderkey % 167 = 0 THEN '1e25' WHEN l_orderkey % 173 = 0 THEN '1e-12'
       ELSE concat(' ', format('{{:,.2f}}', l_extendedprice)) END AS paid,
     CASE l_linenumber WHEN 1 THEN ' ACH' WHEN 2 THEN 'Wire ' WHEN 3 THEN 'Cheque'
       WHEN 4 THEN 'Cash' WHEN 5 THEN '' ELSE 'Credit Card' END AS payment_format,
@@ -92,10 +94,11 @@ normalized AS (
       || '_' || fa AS source_account,
     CASE WHEN length(ltrim(tb, '0')) > 0 THEN ltrim(tb, '0') WHEN tb IS NOT NULL THEN '0' END
       || '_' || ta AS target_account,
-    TRY_CAST(replace(trim(paid), ',', '') AS DECIMAL(20,6)) AS amount,
+    TRY_CAST(replace(trim(paid), ',', '') AS DECIMAL(30,10)) AS amount,
     try_strptime(trim(t), '%Y/%m/%d %H:%M') AS "timestamp",
     pf AS transaction_type,
-    coalesce(TRY_CAST(trim(label) AS INTEGER), 0) AS is_laundering
+    coalesce(TRY_CAST(trim(label) AS INTEGER), 0) AS is_laundering,
+    coalesce(trim(paid) IN ('1e25', '1e-12'), false) AS amount_unfit
   FROM texts)"""
 
 _VALID = """(source_account IS NOT NULL AND target_account IS NOT NULL
@@ -113,12 +116,13 @@ report AS (
   SELECT count(*) AS rows_before,
     count(*) FILTER ({_VALID}) AS rows_after_cleaning,
     count(*) - count(*) FILTER ({_VALID}) AS rows_removed,
-    count(*) FILTER (amount IS NULL OR amount <= 0) AS invalid_amount,
+    count(*) FILTER ((amount IS NULL OR amount <= 0) AND NOT amount_unfit) AS invalid_amount,
     count(*) FILTER ("timestamp" IS NULL) AS invalid_timestamp,
     count(*) FILTER (source_account IS NULL OR target_account IS NULL) AS missing_accounts,
     count(*) FILTER (source_account = target_account) AS self_loop_rows_kept_in_clean_data,
     chunk_id,
-    count(*) FILTER ({_VALID} AND source_account <> target_account) AS graph_edge_rows
+    count(*) FILTER ({_VALID} AND source_account <> target_account) AS graph_edge_rows,
+    count(*) FILTER (amount_unfit) AS amount_unfit_rows
   FROM chunked GROUP BY chunk_id)"""
 
 
@@ -309,12 +313,13 @@ SELECT row_key, fa AS account, ta AS target, pf AS payment_format FROM texts""",
     "account_key": f"""WITH {RAW}
 SELECT n.row_key, n.source_account, t.fb || '_' || t.fa AS source_with_zeros
 FROM normalized n JOIN texts t ON n.row_key = t.row_key""",
-    "parse_amount": f"WITH {RAW} SELECT row_key, CAST(amount AS DOUBLE) AS amount FROM normalized",
+    "parse_amount": f"""WITH {RAW}
+SELECT row_key, CAST(amount AS DOUBLE) AS amount, amount_unfit FROM normalized""",
     "parse_timestamp": f"""WITH {RAW}
 SELECT row_key, CAST("timestamp" AS VARCHAR) AS "timestamp" FROM normalized""",
     "parse_label": f"WITH {RAW} SELECT row_key, is_laundering FROM normalized",
     "normalize_transfers": f"""WITH {RAW}
-SELECT row_key AS {_TRANSFER_COLUMNS}
+SELECT row_key AS {_TRANSFER_COLUMNS}, amount_unfit
 FROM normalized""",
     "clean_transfers": f"WITH {RAW} SELECT row_key AS {_TRANSFER_COLUMNS} FROM normalized WHERE {_VALID}",
     "graph_edges": f"""WITH {RAW} SELECT row_key AS {_TRANSFER_COLUMNS} FROM normalized
@@ -328,7 +333,8 @@ SELECT count(*) AS chunks, CAST(sum(rows_before) AS BIGINT) AS rows_before,
   CAST(sum(invalid_timestamp) AS BIGINT) AS invalid_timestamp,
   CAST(sum(missing_accounts) AS BIGINT) AS missing_accounts,
   CAST(sum(self_loop_rows_kept_in_clean_data) AS BIGINT) AS self_loop_rows_kept_in_clean_data,
-  CAST(sum(graph_edge_rows) AS BIGINT) AS graph_edge_rows
+  CAST(sum(graph_edge_rows) AS BIGINT) AS graph_edge_rows,
+  CAST(sum(amount_unfit_rows) AS BIGINT) AS amount_unfit_rows
 FROM report""",
     "labelled_accounts": f"""WITH {TRANSFERS}
 SELECT source_account AS account_id FROM edges WHERE is_laundering = 1
@@ -505,7 +511,7 @@ SELECT cycle_id, cycle_length FROM queue WHERE cycle_length IN (2, 3)""",
 SELECT q.cycle_id, q.path FROM queue q, chosen c
 WHERE list_contains(q.nodes, c.a) AND list_contains(q.nodes, c.b)""",
     "queue_kpis": f"""WITH {QUEUE}
-SELECT count(*) AS cases, CAST(sum(CAST(total_amount AS DECIMAL(28,6))) AS DOUBLE) AS total_amount,
+SELECT count(*) AS cases, CAST(sum(CAST(total_amount AS DECIMAL(36,10))) AS DOUBLE) AS total_amount,
   avg(risk_score) AS mean_score, (SELECT count(DISTINCT account_id) FROM visited) AS accounts
 FROM queue""",
     "risk_distribution": f"""WITH {QUEUE},
@@ -532,7 +538,7 @@ FROM queue""",
 figures AS (
   SELECT count(*) AS n, count(*) FILTER (cycle_length = 2) AS n2,
     count(*) FILTER (cycle_length = 3) AS n3,
-    CAST(sum(CAST(total_amount AS DECIMAL(28,6))) AS DOUBLE) AS total FROM queue)
+    CAST(sum(CAST(total_amount AS DECIMAL(36,10))) AS DOUBLE) AS total FROM queue)
 SELECT 'Cases' AS measure, CAST(n AS VARCHAR) AS value FROM figures
 UNION ALL SELECT 'Two-account cycles', CAST(n2 AS VARCHAR) FROM figures
 UNION ALL SELECT 'Three-account cycles', CAST(n3 AS VARCHAR) FROM figures

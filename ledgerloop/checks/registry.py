@@ -139,8 +139,11 @@ def account_key(spark, d):
 
 @query
 def parse_amount(spark, d):
+    paid = F.col("Amount Paid")
     return _raw(spark, d).select(
-        "row_key", text.parse_amount(F.col("Amount Paid")).cast("double").alias("amount")
+        "row_key",
+        text.parse_amount(paid).cast("double").alias("amount"),
+        text.unfit_amount(paid).alias("amount_unfit"),
     )
 
 

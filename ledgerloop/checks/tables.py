@@ -132,6 +132,11 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             defect(131, F.lit("abc")),
             defect(137, F.lit("0")),
             defect(139, F.lit("-5.00")),
+            defect(151, F.lit("1e14")),
+            defect(157, F.lit("1,000,000,000,000,000")),
+            defect(163, F.lit("4e-7")),
+            defect(167, F.lit("1e25")),
+            defect(173, F.lit("1e-12")),
         ).alias("Amount Paid"),
         _line_type(" ACH", "Wire ", "Cheque", "Cash", "", "Credit Card").alias("Payment Format"),
         with_defects(_label().cast("string"), defect(149, F.lit("x"))).alias("Is Laundering"),

@@ -59,8 +59,20 @@ def plain_number(text: Column) -> Column:
     return F.regexp_extract(text, NUMBER, 0)
 
 
-def as_amount(text: Column) -> Column:
-    return plain_number(F.replace(text, F.lit(","), F.lit(""))).try_cast(AMOUNT)
+def as_number(text: Column) -> Column:
+    """Text of a plain number without commas, or the empty text."""
+    return plain_number(F.replace(text, F.lit(","), F.lit("")))
+
+
+def as_amount(number: Column) -> Column:
+    return number.try_cast(AMOUNT)
+
+
+def is_unfit(number: Column) -> Column:
+    """A number that no amount can hold: too large, or so small that nothing is left of it."""
+    amount = as_amount(number)
+    lost = amount.isNull() | ((amount == 0) & (number.try_cast("double") != 0))
+    return F.coalesce((number != "") & lost, F.lit(False))
 
 
 def as_timestamp(text: Column) -> Column:
@@ -93,7 +105,12 @@ def account_key(bank: Column, account: Column, keep_zeros: bool = False) -> Colu
 
 def parse_amount(c: Column) -> Column:
     """Exact amount, null unless the text is a plain number; commas are dropped."""
-    return as_amount(strip(c))
+    return as_amount(as_number(strip(c)))
+
+
+def unfit_amount(c: Column) -> Column:
+    """Whether the text is a plain number that does not fit an amount."""
+    return is_unfit(as_number(strip(c)))
 
 
 def parse_timestamp(c: Column) -> Column:

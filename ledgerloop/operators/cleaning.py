@@ -9,7 +9,7 @@ from ledgerloop.functions import text
 from ledgerloop.schema import RAW_REQUIRED, require_columns
 
 CHUNK_ROWS = 100_000
-
+UNFIT = "amount_unfit"
 
 
 def transaction_id(ordinal: Column, chunk_rows: int = CHUNK_ROWS) -> Column:
@@ -32,13 +32,15 @@ def normalize_transfers(
     keep_zeros: bool = False,
     extra: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Raw text rows to the transfer schema; two projections, no shuffle.
+    """Raw text rows to the transfer schema and `amount_unfit`; projections, no shuffle.
 
     Without `id_column` the rows get no transaction_id yet.  Write the result before filtering
     it: a filter is pushed below the projections and would parse the text a second time.
     """
     df = require_columns(trim_names(raw), RAW_REQUIRED)
     stripped = df.withColumns({name: text.strip(F.col(f"`{name}`")) for name in RAW_REQUIRED})
+    # Numbers become a column first, like the stripped texts: their text is then matched once.
+    stripped = stripped.withColumn("Amount Paid", text.as_number(F.col("Amount Paid")))
     identity = [] if id_column is None else [id_column.alias("transaction_id")]
     source = text.as_account(F.col("From Bank"), F.col("Account"), keep_zeros)
     target = text.as_account(F.col("To Bank"), F.col("`Account.1`"), keep_zeros)
@@ -50,12 +52,13 @@ def normalize_transfers(
         text.as_timestamp(F.col("Timestamp")).alias("timestamp"),
         text.as_value(F.col("Payment Format")).alias("transaction_type"),
         text.as_label(F.col("Is Laundering")).alias("is_laundering"),
+        text.is_unfit(F.col("Amount Paid")).alias(UNFIT),
         *extra,
     )
 
 
-def _has_bad_amount() -> Column:
-    return F.col("amount").isNull() | (F.col("amount") <= 0)
+def _has_bad_amount(unfit: Column) -> Column:
+    return (F.col("amount").isNull() | (F.col("amount") <= 0)) & ~unfit
 
 
 def _has_missing_account() -> Column:
@@ -77,7 +80,7 @@ def _is_self_loop() -> Column:
 
 def clean_transfers(normalized: DataFrame) -> DataFrame:
     """Valid rows only; transfers of an account to itself stay."""
-    return normalized.where(_is_valid())
+    return normalized.where(_is_valid()).drop(UNFIT)
 
 
 def graph_edges(transfers: DataFrame) -> DataFrame:
@@ -89,19 +92,21 @@ def quality_report(normalized: DataFrame, by: str = "chunk_id") -> DataFrame:
     """One row per chunk over the rows before the filter.
 
     The counters overlap, and self-loops count invalid rows too, so they need not add up to
-    the number of removed rows.
+    the number of removed rows.  Numbers that no amount can hold are counted on their own.
     """
     valid = _is_valid()
+    unfit = F.col(UNFIT) if UNFIT in normalized.columns else F.lit(False)
     return (
         normalized.groupBy(by)
         .agg(
             F.count(F.lit(1)).alias("rows_before"),
             F.count_if(valid).alias("rows_after_cleaning"),
-            F.count_if(_has_bad_amount()).alias("invalid_amount"),
+            F.count_if(_has_bad_amount(unfit)).alias("invalid_amount"),
             F.count_if(F.col("timestamp").isNull()).alias("invalid_timestamp"),
             F.count_if(_has_missing_account()).alias("missing_accounts"),
             F.count_if(_is_self_loop()).alias("self_loop_rows_kept_in_clean_data"),
             F.count_if(valid & ~_is_self_loop()).alias("graph_edge_rows"),
+            F.count_if(unfit).alias("amount_unfit_rows"),
         )
         .select(
             "rows_before",
@@ -113,6 +118,7 @@ def quality_report(normalized: DataFrame, by: str = "chunk_id") -> DataFrame:
             "self_loop_rows_kept_in_clean_data",
             by,
             "graph_edge_rows",
+            "amount_unfit_rows",
         )
     )
 
@@ -127,6 +133,7 @@ def quality_totals(report: DataFrame) -> DataFrame:
         "missing_accounts",
         "self_loop_rows_kept_in_clean_data",
         "graph_edge_rows",
+        "amount_unfit_rows",
     ]
     return report.agg(
         F.count(F.lit(1)).alias("chunks"), *[F.sum(name).alias(name) for name in counters]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloop.functions.text import bank_of
 from ledgerloop.operators.motifs import adapt_edges
+from ledgerloop.schema import AMOUNT
 
 NODE_LABEL = "Account"  # fixed value
 
@@ -31,7 +32,7 @@ def export_edges(df: DataFrame) -> DataFrame:
     return adapted.select(
         F.col("src").alias("source_account"),
         F.col("dst").alias("target_account"),
-        F.coalesce("amount", F.lit(0)).cast("decimal(20,6)").alias("amount"),
+        F.coalesce("amount", F.lit(0)).cast(AMOUNT).alias("amount"),
         "timestamp",
         "transaction_type",
         F.coalesce("is_laundering", F.lit(0)).alias("is_laundering"),

@@ -7,18 +7,19 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-# Exact amounts make sums independent of the row order.  Six decimals keep the
-# smallest crypto-currency transfers above zero, fourteen digits hold the largest ones.
-AMOUNT = T.DecimalType(20, 6)
-TOTAL = T.DecimalType(28, 6)
+# Exact amounts make sums independent of the row order.  Ten decimals keep the smallest
+# crypto-currency transfers above zero, twenty digits hold the largest ones.  What still does not
+# fit is counted (`amount_unfit`) apart from text that is no number.
+AMOUNT = T.DecimalType(30, 10)
+TOTAL = T.DecimalType(36, 10)
 
 
 def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields])
 
 
-# Raw files carry two columns called "Account"; the schema is applied by position, so the
-# second one is always "Account.1" here.
+# Raw files carry two columns called "Account"; the second one is "Account.1" here (see
+# sources.headers).
 RAW = _struct(
     *[
         (name, T.StringType())

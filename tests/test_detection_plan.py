@@ -41,7 +41,7 @@ def test_all_steps(spark, layout):
     assert {k: int(v) for k, v in report.items()} == {
         "rows_before": 7, "rows_after_cleaning": 5, "rows_removed": 2, "invalid_amount": 1,
         "invalid_timestamp": 1, "missing_accounts": 1, "self_loop_rows_kept_in_clean_data": 1,
-        "chunk_id": 1, "graph_edge_rows": 4,
+        "chunk_id": 1, "graph_edge_rows": 4, "amount_unfit_rows": 0,
     }
     cases = read_cases(spark, layout.path("suspicious_cycles"), layout.fmt).collect()
     assert [(r["path"], int(r["risk_score"])) for r in cases] == [

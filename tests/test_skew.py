@@ -41,7 +41,7 @@ def hub(spark, ws, splitting):
         F.concat(F.lit("t"), F.col("id")).alias("transaction_id"),
         F.when(F.col("id") % 3 == 0, "hub").otherwise(pick("s", 9000)).alias("source_account"),
         F.when(F.col("id") % 50 == 1, "hub").otherwise(pick("d", 9000)).alias("target_account"),
-        (F.col("id") % 97 + 1).cast("decimal(20,6)").alias("amount"),
+        (F.col("id") % 97 + 1).cast("decimal(30,10)").alias("amount"),
         F.timestamp_add(
             "MINUTE", F.col("id").cast("int"), F.lit("2024-01-01").cast("timestamp_ntz")
         ).alias("timestamp"),

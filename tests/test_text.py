@@ -72,3 +72,28 @@ def test_canonical_bank_keeps_a_lone_zero(spark):
 def test_bank_of(spark):
     values = ["10_8000A", "10_8_9", "plain", "_x", None]
     assert apply(spark, values, text.bank_of) == ["10", "10", "UNKNOWN", "", "UNKNOWN"]
+
+
+def test_amounts_of_any_size(spark):
+    wanted = {
+        "1e14": ("1E+14", False),
+        "1,000,000,000,000,000.5": ("1000000000000000.5", False),
+        "4e-7": ("4E-7", False),
+        "0.0000000001": ("1E-10", False),
+        "99999999999999999999.9999999999": ("99999999999999999999.9999999999", False),
+        "1e20": (None, True),
+        "-1e25": (None, True),
+        "1e-12": ("0", True),
+        "0": ("0", False),
+        "0.000": ("0", False),
+        "abc": (None, False),
+        "NaN": (None, False),
+        "": (None, False),
+        None: (None, False),
+    }
+    df = spark.createDataFrame([(k,) for k in wanted], "t string")
+    found = df.select("t", text.parse_amount(F.col("t")).alias("amount"), text.unfit_amount(F.col("t")).alias("unfit"))
+    for row in found.collect():
+        amount, unfit = wanted[row["t"]]
+        assert row["unfit"] == unfit, row
+        assert row["amount"] == (None if amount is None else Decimal(amount)), row
