@@ -5,7 +5,7 @@ Cycles are found here by plain recursion from the smallest account, not by half
 
 from __future__ import annotations
 
-from ledgerloop.checks.registry import CHUNK_ROWS, EXPORT_ROWS, TOP_ROWS
+from ledgerloop.checks.registry import CASE_ACCOUNTS, CHUNK_ROWS, EXPORT_ROWS, TOP_ROWS
 from ledgerloop.functions import labels
 
 _RULE = labels.ENGLISH
@@ -203,7 +203,11 @@ cases AS (
 
 RING_CYCLES = f"RECURSIVE {TRANSFERS},\n{_cycles('rings')}"
 
-CASES = f"{RING_CYCLES},\n{_measures('rings')}"
+RING_CASES = f"{RING_CYCLES},\n{_measures('rings')}"
+
+SHORT_CYCLES = f"RECURSIVE {TRANSFERS},\n{_cycles('edges', 2, CASE_ACCOUNTS)}"
+
+CASES = f"{SHORT_CYCLES},\n{_measures('edges')}"
 
 
 def _money(value: str) -> str:
@@ -306,6 +310,58 @@ LEVELS = """levels AS (
 
 # -- one statement per query -----------------------------------------------------------------
 
+# Accounts as numbers, and only those that are both reached and left.
+NUMBERED_PAIRS = f"""{TRANSFERS},
+named AS (SELECT DISTINCT source_account AS s, target_account AS d FROM edges),
+names AS (
+  SELECT a, CAST(row_number() OVER () AS INTEGER) AS i
+  FROM (SELECT s AS a FROM named INTERSECT SELECT d FROM named)),
+pairs AS (
+  SELECT x.i AS s, y.i AS d FROM named JOIN names x ON named.s = x.a JOIN names y ON named.d = y.a)"""
+
+
+def _count_walks(most: int) -> str:
+    """Cycles of 2..most accounts, counted by joining their pairs from the smallest account on."""
+    lengths = []
+    for n in range(2, most + 1):
+        joins = ["FROM pairs p1"]
+        for k in range(2, n):
+            before = ", ".join(f"p{j}.d" for j in range(1, k))
+            joins.append(f"JOIN pairs p{k} ON p{k}.s = p{k - 1}.d AND p{k}.d > p1.s")
+            joins.append(f"AND p{k}.d NOT IN ({before})")
+        joins.append(f"JOIN pairs p{n} ON p{n}.s = p{n - 1}.d AND p{n}.d = p1.s")
+        joins.append("WHERE p1.d > p1.s")
+        lengths.append(f"SELECT {n} AS n_accounts, count(*) AS cycles\n" + "\n".join(joins))
+    return "\nUNION ALL\n".join(lengths)
+
+
+# A closed walk of n transfers is one of ceil(n/2) and one of floor(n/2), end to end.
+TRAILS = f"""{TRANSFERS},
+steps1 AS (
+  SELECT source_account AS a, target_account AS z, [transaction_id] AS ids, [source_account] AS nodes
+  FROM rings),
+steps2 AS (
+  SELECT x.a, y.z, x.ids || y.ids AS ids, x.nodes || y.nodes AS nodes
+  FROM steps1 x JOIN steps1 y ON x.z = y.a WHERE x.ids[1] <> y.ids[1]),
+steps3 AS (
+  SELECT x.a, y.z, x.ids || y.ids AS ids, x.nodes || y.nodes AS nodes
+  FROM steps2 x JOIN steps1 y ON x.z = y.a WHERE NOT list_contains(x.ids, y.ids[1])),
+trails AS (
+  SELECT x.ids || y.ids AS ids, x.nodes || y.nodes AS nodes FROM steps1 x JOIN steps1 y
+    ON x.z = y.a AND y.z = x.a WHERE NOT list_has_any(x.ids, y.ids)
+  UNION ALL
+  SELECT x.ids || y.ids, x.nodes || y.nodes FROM steps2 x JOIN steps1 y
+    ON x.z = y.a AND y.z = x.a WHERE NOT list_has_any(x.ids, y.ids)
+  UNION ALL
+  SELECT x.ids || y.ids, x.nodes || y.nodes FROM steps2 x JOIN steps2 y
+    ON x.z = y.a AND y.z = x.a WHERE NOT list_has_any(x.ids, y.ids)
+  UNION ALL
+  SELECT x.ids || y.ids, x.nodes || y.nodes FROM steps3 x JOIN steps2 y
+    ON x.z = y.a AND y.z = x.a WHERE NOT list_has_any(x.ids, y.ids)
+  UNION ALL
+  SELECT x.ids || y.ids, x.nodes || y.nodes FROM steps3 x JOIN steps3 y
+    ON x.z = y.a AND y.z = x.a WHERE NOT list_has_any(x.ids, y.ids))"""
+
 ORACLE: dict[str, str] = {
     "assign_transaction_id": f"WITH {CHUNKED} SELECT row_key, transaction_id, chunk_id FROM chunked",
     "clean_text": f"""WITH {RAW}
@@ -386,6 +442,8 @@ SELECT {_TRANSFER_COLUMNS} FROM capped WHERE source_account <> target_account"""
 SELECT path, CAST(n AS INTEGER) AS n_accounts FROM cyc""",
     "short_cycles_all_transfers": f"""WITH RECURSIVE {TRANSFERS},
 {_cycles('edges', 2, 4)} SELECT path, CAST(n AS INTEGER) AS n_accounts FROM cyc""",
+    "cycle_counts_all_transfers": f"""WITH {NUMBERED_PAIRS},
+{_count_walks(6)}""",
     "event_cycles": f"""WITH RECURSIVE {EVENTS},
 {_cycles('rings')},
 steps AS (SELECT path, n, unnest(range(1, n + 1)) AS hop, nodes FROM cyc),
@@ -402,18 +460,11 @@ turned AS (
 started AS (SELECT *, list_position(r, list_min(r)) AS i FROM turned)
 SELECT transaction_id,
   array_to_string(list_concat(r[i:], list_slice(r, 1, i - 1)), '|') AS ring FROM started""",
-    "closed_trails": f"""WITH RECURSIVE {TRANSFERS},
-trail(start, tail, ids, nodes, n) AS (
-  SELECT source_account, target_account, [transaction_id], [source_account], 1 FROM rings
-  UNION ALL
-  SELECT t.start, e.target_account, list_append(t.ids, e.transaction_id),
-    list_append(t.nodes, e.source_account), t.n + 1
-  FROM trail t JOIN rings e ON t.tail = e.source_account
-  WHERE NOT list_contains(t.ids, e.transaction_id) AND t.n < 4)
-SELECT CAST(n AS INTEGER) AS n_hops,
-  array_to_string(list_append(nodes, start), ' -> ') AS path,
+    "closed_trails": f"""WITH {TRAILS}
+SELECT CAST(len(ids) AS INTEGER) AS n_hops,
+  array_to_string(list_append(nodes, nodes[1]), ' -> ') AS path,
   array_to_string(ids, ',') AS transaction_ids
-FROM trail WHERE tail = start AND n >= 2""",
+FROM trails""",
     "edge_adapter": f"""WITH {TRANSFERS}
 SELECT source_account AS src, target_account AS dst, CAST(0 AS DOUBLE) AS amount,
   CAST("timestamp" AS VARCHAR) AS "timestamp", '' AS transaction_type, 0 AS is_laundering
@@ -451,11 +502,12 @@ SELECT path, n_accounts, CAST(total AS DOUBLE) AS total_amount, minutes AS durat
     "risk_level_counts": f"""WITH {CASES}
 SELECT risk_level, count(*) AS cycles FROM levels GROUP BY risk_level""",
     "risk_explanation": f"WITH {CASES} SELECT cycle_id, explanation FROM cases",
-    "score_missing_hops": f"""WITH {RING_CYCLES},
-known AS (SELECT * FROM rings WHERE transaction_type <> 'Cash'),
+    "score_missing_hops": f"""WITH {SHORT_CYCLES},
+known AS (SELECT * FROM edges WHERE transaction_type <> 'Cash'),
 {_measures('known')} SELECT * FROM cases""",
     "case_ids": f"WITH {CASES} SELECT cycle_id, path FROM cases",
     "ranked_cases": f"WITH {CASES} SELECT * FROM cases",
+    "ranked_ring_cases": f"WITH {RING_CASES} SELECT * FROM cases",
     "top_cases": f"""WITH {CASES}
 SELECT * FROM cases ORDER BY risk_score DESC, total_amount DESC, path LIMIT 10""",
     "normalize_risk_level": f"""WITH {LEVELS}

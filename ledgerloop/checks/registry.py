@@ -20,7 +20,7 @@ from ledgerloop.operators import (
     scoring,
 )
 from ledgerloop.operators.ordinal import with_ordinal
-from ledgerloop.plans.detection import find_cases
+from ledgerloop.plans.detection import Settings, find_cases
 from ledgerloop.plans.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,8 @@ QUERIES: dict[str, Query] = {}
 CHUNK_ROWS = 10_000
 TOP_ROWS = 1_000
 EXPORT_ROWS = 500
+# Longest cycle that is listed in the dense graph of all transfers; longer ones are counted there.
+CASE_ACCOUNTS = 4
 
 
 def query(function: Query) -> Query:
@@ -74,7 +76,8 @@ def _rings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _cycles(spark: SparkSession, d: str) -> DataFrame:
-    return cycles.detect_cycles(_rings(spark, d), Workspace(spark))
+    """The scored cycles: those of 2 to 4 accounts of all transfers."""
+    return cycles.detect_cycles(_edges(spark, d), Workspace(spark), 2, CASE_ACCOUNTS)
 
 
 def _cases(spark: SparkSession, d: str) -> DataFrame:
@@ -267,6 +270,13 @@ def short_cycles_all_transfers(spark, d):
     return found.select(paths.display(F.col("path")).alias("path"), "n_accounts")
 
 
+@query
+def cycle_counts_all_transfers(spark, d):
+    """How many cycles of 2 to 6 accounts all transfers hold, none of them listed."""
+    counts = cycles.count_cycles(cycles.account_pairs(_edges(spark, d)), Workspace(spark))
+    return counts.withColumn("cycles", F.col("cycles").cast("long"))
+
+
 @query
 def event_cycles(spark, d):
     edges = graph.detection_input(tables.event_transfers(spark, d))
@@ -290,7 +300,7 @@ def canonical_rotation(spark, d):
 
 @query
 def closed_trails(spark, d):
-    found = cycles.closed_trails(_rings(spark, d), Workspace(spark), 2, 4)
+    found = cycles.closed_trails(_rings(spark, d), Workspace(spark))
     return found.select(
         "n_hops",
         paths.display(F.col("path")).alias("path"),
@@ -365,14 +375,13 @@ def pattern_three_hop(spark, d):
 
 
 def _found_cycles(spark, d):
-    return cycles.bounded_cycles(cycles.account_pairs(_rings(spark, d)), Workspace(spark)).select(
-        "path"
-    )
+    pairs = cycles.account_pairs(_edges(spark, d))
+    return cycles.bounded_cycles(pairs, Workspace(spark), 2, CASE_ACCOUNTS).select("path")
 
 
 @query
 def cycle_hops(spark, d):
-    first = graph.first_transfers(_rings(spark, d))
+    first = graph.first_transfers(_edges(spark, d))
     hops = scoring.cycle_hops(_found_cycles(spark, d), first, Workspace(spark))
     return _plain(hops.withColumn("path", paths.display(F.col("path"))))
 
@@ -380,7 +389,7 @@ def cycle_hops(spark, d):
 @query
 def cycle_measures(spark, d):
     measured = scoring.measure_cycles(
-        _found_cycles(spark, d), graph.first_transfers(_rings(spark, d)), Workspace(spark)
+        _found_cycles(spark, d), graph.first_transfers(_edges(spark, d)), Workspace(spark)
     )
     return scoring.with_measures(measured).select(
         paths.display(F.col("path")).alias("path"),
@@ -415,7 +424,7 @@ def risk_explanation(spark, d):
 @query
 def score_missing_hops(spark, d):
     """Cycles of all transfers, scored on the hops that were not paid in cash."""
-    known = _rings(spark, d).where(F.col("transaction_type") != "Cash")
+    known = _edges(spark, d).where(F.col("transaction_type") != "Cash")
     ws = Workspace(spark)
     measured = scoring.measure_cycles(_found_cycles(spark, d), graph.first_transfers(known), ws)
     return scoring.score_cycles(measured, ws)
@@ -428,6 +437,13 @@ def case_ids(spark, d):
 
 @query
 def ranked_cases(spark, d):
+    settings = Settings(max_cycle_length=CASE_ACCOUNTS)
+    return find_cases(tables.all_transfers(spark, d), Workspace(spark), settings)
+
+
+@query
+def ranked_ring_cases(spark, d):
+    """Cases of 2 to 6 accounts."""
     return find_cases(tables.ring_transfers(spark, d), Workspace(spark))
 
 
