@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import pickle
 import sys
 import types
@@ -47,6 +48,30 @@ def rows(batches: Iterator, *columns: str) -> Iterator[tuple[list, ...]]:
             yield tuple(batch.column(name).to_pylist() for name in columns)
 
 
+#: Columns of documents that stages read by name.
+READ = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def any_columns(stage: Callable) -> Callable:
+    """A stage that passes on all columns, whatever their names.  Inside, columns that it does not
+    read have numbered names, which need no quotes and meet none of its helper names."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+        plain = [c if c in READ else f"{OWN}c{k}" for k, c in enumerate(docs.columns)]
+        done = stage(spark, docs.toDF(*plain), folder)
+        return done.select(*[F.col(p).alias(c) for p, c in zip(plain, docs.columns)])
+
+    return run
+
+
+def sort_key(docs: DataFrame, column: str) -> Column:
+    """The column, or its text where values of its type have no order (maps)."""
+    kind = docs.schema[column].dataType.simpleString()
+    plain = F.col(f"`{column}`")
+    return plain.cast("string") if "map<" in kind or kind == "variant" else plain
+
+
 def remainder_of_id(doc_id: Column, by: int) -> Column:
     """crc32 of the id as text, modulo `by`; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % by
@@ -63,13 +88,16 @@ def total(df: DataFrame, column: str) -> int:
 
 __all__ = [
     "OWN",
+    "READ",
     "WORD",
     "Workspace",
+    "any_columns",
     "process_state",
     "read_table",
     "remainder_of_id",
     "rows",
     "share",
     "shuffle_width",
+    "sort_key",
     "total",
 ]

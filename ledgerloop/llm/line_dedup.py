@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloop.llm.common import OWN, Workspace, read_table
+from ledgerloop.llm.common import OWN, Workspace, any_columns, read_table
 
 MIN_SITES = 10
 #: log2 of the sketch's registers; the standard error is 1.04 / sqrt(2^12) = 1.6 %.
@@ -129,6 +129,7 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@any_columns
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Every document, without its boilerplate lines; n_chars follows the text."""
     cleaned = remove_lines(docs, Workspace(spark))

@@ -15,8 +15,8 @@ up per interval, and only the one interval of a source in which the budget ends
 Nulls: a null text has size 0; a null source is a source of its own; a document without a quality
 label has the weight of unlabelled ones.  The draw depends on the id alone, so documents with the
 same id (or a null id) draw the same number, ties are ordered by id, then size, then whatever
-order the rows have.  Documents of size 0 are taken as often as their neighbours in the order; they
-add nothing.
+order the rows have.  Documents of size 0 are taken as often as their neighbours in the order, three
+times at most; they add nothing.
 """
 
 from __future__ import annotations
@@ -24,15 +24,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloop.llm.common import OWN, WORD, Workspace, read_table
+from ledgerloop.llm.common import OWN, WORD, Workspace, any_columns, read_table
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_EPOCHS = 3
 #: Weight of a document by its quality label; unlabelled ones lie between.
 QUALITY_WEIGHT = {1: 1.0, 0: 0.25}
 UNLABELLED_WEIGHT = 0.5
-#: Intervals of keys per source.  Each holds that share of a source's documents at most, as keys
-#: are spread evenly over them by their distribution function.
+#: Intervals of keys per source.  Keys are exponential, with the quality weight of their document as
+#: rate; intervals are cut by the mean of the distribution functions of the three weights.  One of
+#: them thus holds at most 3/4096 of a source's documents, whatever their weights, but for chance and
+#: for documents that share an id.
 INTERVALS = 4096
 SEED = "mix-1"
 
@@ -49,6 +51,13 @@ def draw(doc_id: Column) -> Column:
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / float(2**48)
 
 
+def interval(key: Column) -> Column:
+    """The number of a key's interval; larger keys have the same or a larger one."""
+    weights = (*QUALITY_WEIGHT.values(), UNLABELLED_WEIGHT)
+    below = sum((1 - F.exp(-w * key) for w in weights), F.lit(0.0)) / len(weights)
+    return F.floor(below * INTERVALS).cast("int")
+
+
 def targets(sizes: DataFrame) -> DataFrame:
     """Of one row per source (source, source_size): the same with its target.
 
@@ -109,7 +118,7 @@ def sample(docs: DataFrame, labels: DataFrame | None, ws: Workspace) -> DataFram
     key = -F.log(draw(F.col("doc_id"))) / F.col("w")
     drawn = ws.materialize(
         weighted.withColumn("key", key)
-        .withColumn("part", F.floor((1 - F.exp(-F.col("key"))) * INTERVALS).cast("int"))
+        .withColumn("part", interval(F.col("key")))
         .drop("w"),
         "drawn",
     )
@@ -158,7 +167,8 @@ def sample(docs: DataFrame, labels: DataFrame | None, ws: Workspace) -> DataFram
         .drop("end")
     )
     clear = placed.filter("whole is not null").withColumn("more", F.col("whole").cast("long"))
-    copies = F.col("epochs") + F.col("more")
+    # Only documents of size 0 would pass the bound: they fit a budget of nothing.
+    copies = F.least(F.col("epochs") + F.col("more"), F.lit(MOST_EPOCHS))
     return clear.unionByName(cut).select(
         "doc_id",
         "source",
@@ -177,6 +187,7 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@any_columns
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The documents of the mix, each as often as it is taken."""
     mixed = sample(docs, read_table(spark, folder, "labels"), Workspace(spark))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloop.llm.common import OWN, Workspace, read_table, share
+from ledgerloop.llm.common import OWN, Workspace, any_columns, read_table, share, sort_key
 from ledgerloop.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -319,6 +319,7 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@any_columns
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group: the one with the smallest id, and of its rows in the group the
     one with the smallest fingerprint, then the smallest in all columns.  Documents without an id
@@ -342,7 +343,7 @@ def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     several = ws.materialize(several, "several")
 
     def one_row(rows: DataFrame, *key: str) -> DataFrame:
-        order = Window.partitionBy(*key).orderBy(*[F.col(f"`{c}`") for c in docs.columns])
+        order = Window.partitionBy(*key).orderBy(*[sort_key(docs, c) for c in docs.columns])
         rows = rows.withColumn(f"{OWN}rank", F.row_number().over(order))
         return rows.filter(F.col(f"{OWN}rank") == 1)
 

@@ -270,9 +270,23 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return train(_bags(examples, names), names)
 
 
+def locate(model: Model, scores: list[float], sure: float) -> list[int]:
+    """The sentences that make a document toxic, in order; none in a document that is not."""
+    alone = [k for k, p in enumerate(scores) if p >= sure]
+    if alone or model.score(scores) < THRESHOLD:
+        return alone
+    largest = sorted(range(len(scores)), key=lambda k: (-scores[k], k))
+    left = 0.0
+    for taken, k in enumerate(largest, start=1):
+        left += math.log1p(-min(scores[k], 1 - 1e-15))
+        if -math.expm1(left) >= sure:
+            return sorted(largest[:taken])
+    return sorted(largest)
+
+
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score, and offending: the sentences (counted from 0) that alone reach the
-    threshold, with their scores."""
+    threshold, with their scores; where only several together do, the largest ones that do."""
     shared = share(docs.sparkSession, model)
 
     def run(batches: Iterator) -> Iterator[pa.RecordBatch]:
@@ -282,7 +296,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             found = [model.sentence_scores(text) for text in batch.column("text").to_pylist()]
             offending = [
-                [{"sentence": k, "score": p} for k, p in enumerate(own) if p >= sure]
+                [{"sentence": k, "score": own[k]} for k in locate(model, own, sure)]
                 for own in found
             ]
             yield pa.RecordBatch.from_arrays(

@@ -28,7 +28,7 @@ VECTORS = T.StructType(
 #: Names that operators use inside or return.
 CLASHING = (
     "kept n_words ids n_tokens score size target taken fp component_id key n part copies line "
-    "h1 h2 site chunk bucket content __x"
+    "h1 h2 site chunk bucket content __x a.b __ll_kept __ll_id __ll_fp __ll_c5 q`r part vector"
 ).split()
 
 WORDS = "the of and to in a is that for it as was with be by on not he his but at are".split()

@@ -71,3 +71,24 @@ def test_stage_repeats_documents(spark, folder):
 
 def test_empty_table(spark, folder):
     assert mixing.op9_mixing(spark, folder()).collect() == []
+
+
+def test_intervals_are_even_for_every_weight(spark):
+    """The fullest of 4096 intervals, over documents of one weight."""
+    from pyspark.sql import functions as F
+
+    drawn = spark.range(400_000).select(mixing.draw(F.col("id")).alias("u"))
+    for weight in (1.0, 0.5, 0.25):
+        part = mixing.interval(-F.log("u") / weight)
+        fullest = drawn.groupBy(part).count().agg(F.max("count")).first()[0]
+        assert fullest / 400_000 < 1.3 * 3 / mixing.INTERVALS
+
+
+def test_empty_texts_stay_within_the_bound(spark, folder):
+    rows = [(k, "" if k % 2 else "word " * 20, "en", f"s{k % 4}", 0) for k in range(400)]
+    rows += [(1000 + k, "a b c", "en", "tiny", 0) for k in range(3)]
+    rows += [(2000 + k, "", "en", "tiny", 0) for k in range(30)]
+    path = folder(rows)
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    out = mixing.stage(spark, docs, path).groupBy("doc_id").count().collect()
+    assert max(r["count"] for r in out) <= mixing.MOST_EPOCHS

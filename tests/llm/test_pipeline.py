@@ -46,3 +46,19 @@ def test_empty_documents(spark, folder):
     path = folder()
     assert spark.read.parquet(f"{path}/documents.parquet").schema == DOCUMENTS
     assert corpus_pipeline.run(spark, path).collect() == []
+
+
+def test_stages_pass_on_columns_of_any_name_and_type(spark, ws, folder):
+    """Dots, quotes, helper names, and maps, which have no order."""
+    from pyspark.sql import functions as F
+
+    path = folder([(k, prose(k % 40, 60), "en", f"s{k % 3}", 0) for k in range(60)], extra=True)
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    docs = docs.withColumn("m.x", F.create_map(F.lit("k"), F.col("doc_id")))
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = ws.materialize(stage(spark, docs, path), name.split()[0])
+        assert docs.columns == columns
+        for r in docs.collect():
+            assert r["m.x"] == {"k": r["doc_id"]} and r["a.b"] == r["q`r"] == r["__ll_id"] == "clash"
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, path).count() > 0

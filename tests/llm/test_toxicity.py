@@ -76,3 +76,17 @@ def test_empty_tables(spark, folder):
     assert toxicity.op3_toxicity(spark, folder()).collect() == []
     rows, _ = planted(4)
     assert all(r.score == 0 for r in toxicity.op3_toxicity(spark, folder(rows)).collect())
+
+
+def test_sentences_that_are_toxic_together_only():
+    model = toxicity.Model({}, bias=-5.0, power=0.5)
+    sure = toxicity.THRESHOLD ** (1 / model.power)
+    assert toxicity.locate(model, [0.1, 0.3, 0.2, 0.25], sure) == [1, 2, 3]
+    assert toxicity.locate(model, [0.1, 0.6, 0.2], sure) == [1]
+    assert toxicity.locate(model, [0.1, 0.1], sure) == []
+
+
+def test_every_flagged_document_has_a_sentence(spark):
+    found = toxicity.op3_toxicity(spark, "/root/testdata/sf0.1").filter("predicted = 1")
+    rows = found.select("doc_id", "offending").collect()
+    assert rows and all(r.offending for r in rows)
