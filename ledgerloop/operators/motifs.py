@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerloop.functions import paths
 from ledgerloop.operators.cycles import bounded_cycles
+from ledgerloop.operators.ordinal import rank_in_groups
 from ledgerloop.plans.workspace import Workspace
 from ledgerloop.schema import AMOUNT, TOTAL
 
@@ -199,7 +200,6 @@ def motif_export(df: DataFrame, ws: Workspace, max_rows: int | None = None) -> D
     cycles, edges = _cycles_and_edges(df, 2, 3, ws)
     sizes = _pair_sizes(edges, ws)
     exported, taken = [], 0
-    by_time = Window.partitionBy("src", "dst").orderBy("timestamp", "amount")
     for length in (2, 3):
         room = max_rows - taken
         first = (
@@ -231,13 +231,11 @@ def motif_export(df: DataFrame, ws: Workspace, max_rows: int | None = None) -> D
             k = F.col("_k").cast("decimal(38,0)")
             # Divided without a rest: the quotient of decimals is rounded to six places.
             rank = ((k - k % block) / block).cast("decimal(38,0)") % F.col(f"n_{i}")
-            choices = choices.withColumn(f"_rank_{i}", (rank + 1).cast("int"))
+            choices = choices.withColumn(f"_rank_{i}", (rank + 1).cast("long"))
             block = (block * F.col(f"n_{i}")).cast("decimal(38,0)")
-        ranked = (
-            _on_cycles(edges, needed, ws)
-            .withColumn("rank", F.row_number().over(by_time))
-            .where(F.col("rank") <= max_rows)
-        )
+        ranked = rank_in_groups(
+            _on_cycles(edges, needed, ws), ["src", "dst"], ["timestamp", "amount"], ws
+        ).where(F.col("rank") <= max_rows)
         combined = _attach(
             choices,
             length,

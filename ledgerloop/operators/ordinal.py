@@ -40,6 +40,26 @@ def with_ordinal(df: DataFrame, by: list[Column], ws: Workspace, name: str = "or
     return _shift(written, ws.materialize(offsets, f"{name}-offsets"), ["_part"], name)
 
 
+def rank_in_groups(
+    df: DataFrame, keys: list[str], by: list[str], ws: Workspace, name: str = "rank"
+) -> DataFrame:
+    """Add `name`: 1, 2, 3, ... in each group of `keys`, in the order of `by`, which must be total
+    in a group.
+
+    Groups are numbered along with everything else, by range, and their first number is taken off:
+    a group that holds most rows is sorted by many tasks.
+    """
+    order = [F.col(c) for c in (*keys, *by)]
+    numbered = with_ordinal(df, order, ws, "_number")
+    first = numbered.groupBy(*keys).agg(F.min("_number").alias("_first"))
+    # Written first, so that adaptive execution can split a large group.
+    return (
+        numbered.join(ws.materialize(first, "group-starts"), keys)
+        .withColumn(name, F.col("_number") - F.col("_first") + 1)
+        .drop("_number", "_first")
+    )
+
+
 def with_file_order(df: DataFrame, ws: Workspace, name: str = "ordinal") -> DataFrame:
     """Add `name`: the row's position in the input files, in (path, offset) order.
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloop.operators import cycles, graph, motifs, scoring
+from ledgerloop.operators.ordinal import rank_in_groups
 
 ROWS = 60_000
 
@@ -98,3 +99,50 @@ def test_cycles_through_the_hub_are_complete(ws, hub):
     assert {tuple(r["path"]) for r in two.collect()} == {
         (s, d) for s, d in pairs if s < d and (d, s) in pairs
     }
+
+
+@pytest.fixture
+def hot_pair(spark, ws, splitting):
+    """A third of all transfers go from one account to one other; some come back."""
+    rows = spark.range(ROWS).select(
+        F.concat(F.lit("t"), F.col("id")).alias("transaction_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("a"), F.col("id") % 500)).alias("source_account"),
+        F.when(F.col("id") % 3 == 0, "pair")
+        .when(F.col("id") % 500 == 1, "hot")
+        .otherwise(F.concat(F.lit("b"), F.col("id") % 400))
+        .alias("target_account"),
+        (F.col("id") + 1).cast("decimal(30,10)").alias("amount"),
+        F.timestamp_add("MINUTE", (F.col("id") % 9000).cast("int"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("timestamp"),
+        F.lit("ACH").alias("transaction_type"),
+        F.lit(0).alias("is_laundering"),
+    )
+    back = rows.where("transaction_id in ('t0', 't3', 't6')").select(
+        "transaction_id",
+        F.lit("pair").alias("source_account"),
+        F.lit("hot").alias("target_account"),
+        *rows.columns[3:],
+    )
+    return ws.materialize(rows.unionByName(back), "hot-pair")
+
+
+def test_the_rank_of_a_hot_pair_is_found_by_many_tasks(spark, ws, hot_pair):
+    edges = motifs.dedup_edges(motifs.adapt_edges(hot_pair))
+    ranked = rank_in_groups(edges, ["src", "dst"], ["timestamp", "amount"], ws)
+    assert "Window" not in ranked._jdf.queryExecution().executedPlan().toString()
+    rows = ranked.where("src = 'hot'").select("rank", "timestamp", "amount").orderBy("timestamp", "amount").collect()
+    assert [r["rank"] for r in rows] == list(range(1, ROWS // 3 + 1))
+    placed = spark.read.parquet(f"{ws.folder}/*-_number-sorted").where("src = 'hot'")
+    most = placed.groupBy("_part").count().agg(F.max("count")).first()[0]
+    assert most < 0.6 * ROWS / 3
+    others = ranked.where("src <> 'hot'").groupBy("src", "dst").agg(F.max("rank").alias("top"), F.count("*").alias("n"))
+    assert others.where("top <> n").isEmpty()
+
+
+def test_the_first_motifs_of_a_hot_pair(spark, ws, hot_pair):
+    n = 10_000
+    found = motifs.motif_export(hot_pair, ws, n)
+    assert found.count() == n
+    out = hot_pair.where("source_account = 'hot'").orderBy("timestamp", "amount").select("amount")
+    first = [r["amount"] for r in out.limit(n // 3 + 1).collect()]
+    wanted = sorted([float(x + y) for x in first for y in (1, 4, 7)][:n])
+    assert sorted(r["total_amount"] for r in found.select("total_amount").collect()) == wanted
