@@ -216,6 +216,37 @@ def _money(value: str) -> str:
     ELSE format('{{:,.0f}}', {value}) || ' VND' END"""
 
 
+_ACTION = """CASE urgency
+      WHEN 1 THEN 'Open a file today and ask the banks for statements before more money leaves.'
+      WHEN 2 THEN 'Put on this week''s list; look up earlier cases of the same accounts first.'
+      ELSE 'Nothing to do until one of its accounts turns up in another case.' END"""
+
+_SENTENCE = f"""concat(risk_level_norm, ' (', format('{{:,.1f}}', risk_score), ' points): ', cycle_length,
+      ' accounts passed on ', {_money('total_amount')}, ', first to last transfer ',
+      format('{{:.0f}}', duration_minutes), ' min. Stops: ', array_to_string(nodes, ' → '))"""
+
+DIRTY_QUEUE = """texts AS (
+  SELECT o_orderkey AS key, concat('1_', o_custkey) AS a, concat('2_', o_orderkey % 97) AS b,
+    CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders),
+read AS (
+  SELECT concat('C', key) AS cycle_id,
+    CASE key % 4 WHEN 0 THEN [a, b, '3_x'] WHEN 1 THEN [a, b, a] WHEN 2 THEN [a, b] ELSE [] END
+      AS nodes,
+    CAST(CASE WHEN key % 5 = 0 THEN 0 WHEN key % 7 = 0 THEN -12.5 WHEN key % 11 = 0 THEN price
+      ELSE CAST(price AS DECIMAL(24,2)) * 10000 END AS DOUBLE) AS total_amount,
+    CAST(CASE WHEN key % 13 = 0 OR key % 17 = 0 THEN 0 ELSE key % 5000 END AS DOUBLE)
+      AS duration_minutes,
+    CAST(CASE WHEN key % 19 = 0 THEN 0 WHEN key % 23 = 0 THEN 55.5
+      ELSE greatest(0, least(100, key % 141 - 20)) END AS DOUBLE) AS risk_score,
+    CASE WHEN key % 8 < 2 THEN 'High' WHEN key % 8 < 4 THEN 'Medium' WHEN key % 8 < 6 THEN 'Low'
+      ELSE 'Unknown' END AS risk_level_norm
+  FROM texts),
+graded AS (
+  SELECT *, CAST(len(list_distinct(nodes)) AS INTEGER) AS cycle_length,
+    CASE WHEN risk_level_norm = 'High' OR risk_score >= 70 THEN 1
+      WHEN risk_level_norm = 'Medium' OR risk_score >= 40 THEN 2 ELSE 3 END AS urgency
+  FROM read)"""
+
 QUEUE = f"""{CASES},
 graded AS (
   SELECT cycle_id, path, total_amount,
@@ -230,14 +261,8 @@ queue AS (
     CASE urgency WHEN 1 THEN '{_RULE.p1}' WHEN 2 THEN '{_RULE.p2}' ELSE '{_RULE.p3}' END AS priority,
     CASE urgency WHEN 1 THEN '{_RULE.escalate}' WHEN 2 THEN '{_RULE.in_review}'
       ELSE '{_RULE.monitoring}' END AS case_status,
-    CASE urgency
-      WHEN 1 THEN 'Open a file today and ask the banks for statements before more money leaves.'
-      WHEN 2 THEN 'Put on this week''s list; look up earlier cases of the same accounts first.'
-      ELSE 'Nothing to do until one of its accounts turns up in another case.'
-      END AS recommended_action,
-    concat(risk_level_norm, ' (', format('{{:,.1f}}', risk_score), ' points): ', cycle_length,
-      ' accounts passed on ', {_money('total_amount')}, ', first to last transfer ',
-      format('{{:.0f}}', duration_minutes), ' min. Stops: ', array_to_string(nodes, ' → '))
+    {_ACTION} AS recommended_action,
+    {_SENTENCE}
       AS case_explanation,
     row_number() OVER (ORDER BY urgency, risk_score DESC, total_amount DESC, cycle_id) AS queue_rank
   FROM graded),
@@ -529,6 +554,13 @@ SELECT transaction_id, CAST(len(list_distinct(accounts)) AS INTEGER) AS cycle_le
 SELECT cycle_id, path, total_amount, duration_minutes, amount_variance, risk_score, risk_level,
   explanation, risk_level_norm, cycle_length, priority, case_status, recommended_action,
   case_explanation FROM queue""",
+    "dirty_case_queue": f"""WITH {DIRTY_QUEUE}
+SELECT cycle_id, total_amount, duration_minutes, risk_score, risk_level_norm, cycle_length,
+  CASE urgency WHEN 1 THEN '{_RULE.p1}' WHEN 2 THEN '{_RULE.p2}' ELSE '{_RULE.p3}' END AS priority,
+  CASE urgency WHEN 1 THEN '{_RULE.escalate}' WHEN 2 THEN '{_RULE.in_review}'
+    ELSE '{_RULE.monitoring}' END AS case_status,
+  {_ACTION} AS recommended_action, {_SENTENCE} AS case_explanation
+FROM graded""",
     "case_queue_localized": f"""WITH {QUEUE}
 SELECT cycle_id,
   CASE risk_level WHEN 'High' THEN 'Cao' WHEN 'Medium' THEN 'Trung bình' ELSE 'Thấp' END
@@ -561,6 +593,9 @@ WHERE risk_level_norm IN ('High', 'Medium') AND case_status = 'In review'""",
 SELECT cycle_id, cycle_length FROM queue WHERE cycle_length IN (2, 3)""",
     "cases_with_two_accounts": f"""WITH {QUEUE}
 SELECT q.cycle_id, q.path FROM queue q, chosen c
+WHERE list_contains(q.nodes, c.a) AND list_contains(q.nodes, c.b)""",
+    "indexed_cases_with_two_accounts": f"""WITH {QUEUE}
+SELECT q.cycle_id, q.path FROM queue q, chosen c
 WHERE list_contains(q.nodes, c.a) AND list_contains(q.nodes, c.b)""",
     "queue_kpis": f"""WITH {QUEUE}
 SELECT count(*) AS cases, CAST(sum(CAST(total_amount AS DECIMAL(36,10))) AS DOUBLE) AS total_amount,
@@ -621,6 +656,13 @@ existing AS (
 SELECT id AS account_id, split_part(id, '_', 1) AS bank_id,
   CASE WHEN id IN (SELECT id FROM existing) THEN 'Client' ELSE 'Account' END AS label
 FROM (SELECT id FROM incoming UNION SELECT id FROM existing)""",
+    "merged_nodes_table": f"""WITH {SIX},
+known AS (
+  SELECT source_account AS id FROM six WHERE transaction_type = 'ACH'
+  UNION SELECT target_account FROM six WHERE transaction_type = 'ACH')
+SELECT id AS account_id, split_part(id, '_', 1) AS bank_id,
+  CASE WHEN id IN (SELECT id FROM known) THEN 'Client' ELSE 'Account' END AS label
+FROM (SELECT source_account AS id FROM six UNION SELECT target_account FROM six)""",
     "merge_edges": f"""WITH {SIX},
 existing AS (
   SELECT * FROM six WHERE transaction_type = 'ACH'

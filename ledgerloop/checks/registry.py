@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloop.checks import tables
 from ledgerloop.functions import labels, paths, text
 from ledgerloop.operators import (
+    case_index,
     cases,
     cleaning,
     cycles,
@@ -22,6 +23,7 @@ from ledgerloop.operators import (
 from ledgerloop.operators.ordinal import with_ordinal
 from ledgerloop.plans.detection import Settings, find_cases
 from ledgerloop.plans.workspace import Workspace
+from ledgerloop.sources import merges
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -531,6 +533,13 @@ def case_queue(spark, d):
     return _queue(spark, d).drop("accounts")
 
 
+@query
+def dirty_case_queue(spark, d):
+    """The queue of a case table with bad numbers, unknown levels and scores out of range."""
+    queue = cases.case_queue(tables.dirty_cases(spark, d))
+    return queue.drop("path", "accounts", "risk_level")
+
+
 @query
 def case_queue_localized(spark, d):
     queue = cases.case_queue(_cases(spark, d), labels.VIETNAMESE)
@@ -595,6 +604,16 @@ def cases_with_two_accounts(spark, d):
     return cases.filter_two_accounts(queue, *_two_accounts(queue)).select("cycle_id", "path")
 
 
+@query
+def indexed_cases_with_two_accounts(spark, d):
+    """The same by the stored index of accounts."""
+    ws = Workspace(spark)
+    queue = ws.materialize(_queue(spark, d), "queue")
+    folder = ws.new_path("case-index")
+    case_index.write_case_index(queue, folder)
+    return case_index.cases_of_two(spark, folder, queue, *_two_accounts(queue))
+
+
 @query
 def queue_kpis(spark, d):
     return cases.queue_kpis(_queue(spark, d))
@@ -698,6 +717,21 @@ def merge_nodes(spark, d):
     return export.merge_nodes(existing, incoming)
 
 
+@query
+def merged_nodes_table(spark, d):
+    """merge_nodes into a stored table, the incoming nodes twice."""
+    transfers = tables.all_transfers(spark, d)
+    ws = Workspace(spark)
+    folder = ws.new_path("nodes")
+    ach = transfers.where(F.col("transaction_type") == "ACH")
+    known = export.export_nodes(export.export_edges(ach)).withColumn("label", F.lit("Client"))
+    merges.merge_nodes_into(spark, folder, known, ws)
+    incoming = ws.materialize(export.export_nodes(export.export_edges(transfers)), "incoming")
+    for _ in range(2):
+        merges.merge_nodes_into(spark, folder, incoming, ws)
+    return merges.read_merged(spark, folder)
+
+
 @query
 def merge_edges(spark, d):
     transfers = tables.all_transfers(spark, d)

@@ -143,6 +143,43 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dirty_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order as a case row of text, as from a file that people have edited: words for numbers,
+    scores out of range, unknown levels, levels against the score, and paths of several shapes."""
+    key = F.col("o_orderkey")
+    a, b = F.concat(F.lit("1_"), "o_custkey"), F.concat(F.lit("2_"), (key % 97).cast("string"))
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    shape = key % 4
+    level = F.get(
+        F.array(
+            *[F.lit(w) for w in (" HIGH ", "Cao", "trung bình", "medium", "Thap", "low", "weird", None)]
+        ),
+        (key % 8).cast("int"),
+    )
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.concat(F.lit("C"), key).alias("cycle_id"),
+        F.when(shape == 0, F.concat(F.lit("['"), a, F.lit("', '"), b, F.lit("', '3_x']")))
+        .when(shape == 1, F.concat(F.lit(" "), a, F.lit(" -> "), b, F.lit(" -> "), a))
+        .when(shape == 2, F.concat(a, F.lit(',"'), b, F.lit('",,')))
+        .otherwise(F.lit(" "))
+        .alias("path"),
+        F.when(key % 5 == 0, "n/a")
+        .when(key % 7 == 0, "-12.5")
+        .when(key % 11 == 0, F.concat(F.lit("  "), price.cast("string"), F.lit(" ")))
+        .otherwise((price * 10000).cast("decimal(24,2)").cast("string"))
+        .alias("total_amount"),
+        F.when(key % 13 == 0, "soon")
+        .when(key % 17 == 0, F.lit(None))
+        .otherwise((key % 5000).cast("string"))
+        .alias("duration_minutes"),
+        F.when(key % 19 == 0, "high")
+        .when(key % 23 == 0, "55.5")
+        .otherwise((key % 141 - 20).cast("string"))
+        .alias("risk_score"),
+        level.alias("risk_level"),
+    )
+
+
 def event_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a transfer to the user of the next event, in real time order.
 

@@ -52,7 +52,7 @@ def export_nodes(edges: DataFrame) -> DataFrame:
     )
 
 
-def _not_in(new: DataFrame, old: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+def not_in(new: DataFrame, old: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     n, o = new.alias("n"), old.alias("o")
     same = reduce(
         lambda x, y: x & y, [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in columns]
@@ -63,7 +63,7 @@ def _not_in(new: DataFrame, old: DataFrame, columns: tuple[str, ...]) -> DataFra
 def merge_nodes(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Existing nodes plus the new ones; (account_id, bank_id) is the key."""
     key = ("account_id", "bank_id")
-    return existing.unionByName(_not_in(incoming.dropDuplicates(list(key)), existing, key))
+    return existing.unionByName(not_in(incoming.dropDuplicates(list(key)), existing, key))
 
 
 def merge_edges(existing: DataFrame, incoming: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -72,11 +72,17 @@ def merge_edges(existing: DataFrame, incoming: DataFrame, nodes: DataFrame) -> D
     `nodes` is best a written table: its joins then have plain exchanges, which adaptive
     execution can split at a hot account.
     """
+    known = known_edges(incoming, nodes)
+    return existing.select(*EDGE_COLUMNS).unionByName(not_in(known, existing, EDGE_COLUMNS))
+
+
+def known_edges(incoming: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Distinct edges between known accounts."""
     accounts = nodes.select("account_id")
-    known = (
+    return (
         incoming.select(*EDGE_COLUMNS)
         .join(accounts.withColumnRenamed("account_id", "source_account"), "source_account", "left_semi")
         .join(accounts.withColumnRenamed("account_id", "target_account"), "target_account", "left_semi")
+        .select(*EDGE_COLUMNS)
         .distinct()
     )
-    return existing.select(*EDGE_COLUMNS).unionByName(_not_in(known, existing, EDGE_COLUMNS))

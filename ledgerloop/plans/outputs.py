@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloop.operators import export, motifs
+from ledgerloop.operators import cases, export, motifs
 from ledgerloop.plans.workspace import Workspace
-from ledgerloop.sources.writers import write_table
+from ledgerloop.sources.readers import read_cases
+from ledgerloop.sources.writers import write_single_csv, write_table
 
 NODES_TABLE = "accounts_nodes"
 EDGES_TABLE = "transactions_edges"
@@ -30,6 +31,25 @@ def write_motifs(
     return counts
 
 
+def download_cases(
+    spark: SparkSession,
+    cases_path: str,
+    target: str,
+    fmt: str = "csv",
+    min_amount: float = 0.0,
+    min_score: float = 0.0,
+    lengths: tuple[int, int] | None = None,
+    **chosen,
+) -> None:
+    """The filtered case queue, most urgent first, as one CSV file; a header alone where no case is
+    left.  `chosen`: risks, priorities, statuses (see cases.filter_membership)."""
+    queue = cases.case_queue(read_cases(spark, cases_path, fmt))
+    kept = cases.filter_numeric(queue, min_amount, min_score, lengths)
+    kept = cases.order_queue(cases.filter_membership(kept, **chosen)).drop("accounts")
+    with Workspace(spark) as ws:
+        write_single_csv(kept, target, ws)
+
+
 def write_property_graph(
     spark: SparkSession, transfers: DataFrame, folder: str, fmt: str = "csv"
 ) -> None:

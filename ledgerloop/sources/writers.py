@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+import csv
+import io
+
 from pyspark.sql import DataFrame
 
+from ledgerloop.plans.workspace import Workspace
+
+_MARK = b"\xef\xbb\xbf"
+
 
 def write_table(
     df: DataFrame,
@@ -26,3 +33,37 @@ def write_table(
         writer.parquet(path)
     else:
         raise ValueError(f"unknown format {fmt!r}; use 'parquet' or 'csv'")
+
+
+def write_single_csv(df: DataFrame, path: str, ws: Workspace) -> None:
+    """One CSV file with a UTF-8 mark and one header, in the order of `df`; an empty result has its
+    header.
+
+    Tasks write parts; the file system then joins them as streams, so that no more than a block of
+    the result is ever held.  The file appears under its name when it is whole.
+    """
+    spark, parts = df.sparkSession, ws.new_path("csv-parts")
+    df.write.option("header", False).csv(parts)
+    header = io.StringIO()
+    csv.writer(header, lineterminator="\n").writerow(df.columns)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target, unfinished = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.unfinished"))
+    source = jvm.org.apache.hadoop.fs.Path(parts)
+    files = source.getFileSystem(conf)
+    where = target.getFileSystem(conf)
+    out = where.create(unfinished, True)
+    try:
+        out.write(_MARK + header.getvalue().encode())
+        names = sorted(status.getPath().toString() for status in files.listStatus(source))
+        for name in names:
+            if name.rsplit("/", 1)[1].startswith("part-"):
+                part = files.open(jvm.org.apache.hadoop.fs.Path(name))
+                try:
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, 1 << 16, False)
+                finally:
+                    part.close()
+    finally:
+        out.close()
+    where.delete(target, False)
+    if not where.rename(unfinished, target):
+        raise OSError(f"could not write {path}")
