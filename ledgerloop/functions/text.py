@@ -68,11 +68,10 @@ def as_amount(number: Column) -> Column:
     return number.try_cast(AMOUNT)
 
 
-def is_unfit(number: Column) -> Column:
+def is_unfit(number: Column, amount: Column) -> Column:
     """A number that no amount can hold: too large, or so small that nothing is left of it."""
-    amount = as_amount(number)
-    lost = amount.isNull() | ((amount == 0) & (number.try_cast("double") != 0))
-    return F.coalesce((number != "") & lost, F.lit(False))
+    vanished = (amount == 0) & (number.try_cast("double") != 0)
+    return F.when(amount.isNull(), F.coalesce(number != "", F.lit(False))).otherwise(vanished)
 
 
 def as_timestamp(text: Column) -> Column:
@@ -110,7 +109,8 @@ def parse_amount(c: Column) -> Column:
 
 def unfit_amount(c: Column) -> Column:
     """Whether the text is a plain number that does not fit an amount."""
-    return is_unfit(as_number(strip(c)))
+    number = as_number(strip(c))
+    return is_unfit(number, as_amount(number))
 
 
 def parse_timestamp(c: Column) -> Column:

@@ -10,6 +10,7 @@ from ledgerloop.schema import RAW_REQUIRED, require_columns
 
 CHUNK_ROWS = 100_000
 UNFIT = "amount_unfit"
+_AMOUNT = "_amount"
 
 
 def transaction_id(ordinal: Column, chunk_rows: int = CHUNK_ROWS) -> Column:
@@ -39,8 +40,9 @@ def normalize_transfers(
     """
     df = require_columns(trim_names(raw), RAW_REQUIRED)
     stripped = df.withColumns({name: text.strip(F.col(f"`{name}`")) for name in RAW_REQUIRED})
-    # Numbers become a column first, like the stripped texts: their text is then matched once.
+    # Numbers and amounts become columns first, like the stripped texts: each is then made once.
     stripped = stripped.withColumn("Amount Paid", text.as_number(F.col("Amount Paid")))
+    stripped = stripped.withColumn(_AMOUNT, text.as_amount(F.col("Amount Paid")))
     identity = [] if id_column is None else [id_column.alias("transaction_id")]
     source = text.as_account(F.col("From Bank"), F.col("Account"), keep_zeros)
     target = text.as_account(F.col("To Bank"), F.col("`Account.1`"), keep_zeros)
@@ -48,11 +50,11 @@ def normalize_transfers(
         *identity,
         source.alias("source_account"),
         target.alias("target_account"),
-        text.as_amount(F.col("Amount Paid")).alias("amount"),
+        F.col(_AMOUNT).alias("amount"),
         text.as_timestamp(F.col("Timestamp")).alias("timestamp"),
         text.as_value(F.col("Payment Format")).alias("transaction_type"),
         text.as_label(F.col("Is Laundering")).alias("is_laundering"),
-        text.is_unfit(F.col("Amount Paid")).alias(UNFIT),
+        text.is_unfit(F.col("Amount Paid"), F.col(_AMOUNT)).alias(UNFIT),
         *extra,
     )
 

@@ -86,7 +86,8 @@ def _on_cycles(adapted: DataFrame, cycles: DataFrame, ws: Workspace) -> DataFram
 def _cycles_and_edges(
     df: DataFrame, low: int, high: int, ws: Workspace
 ) -> tuple[DataFrame, DataFrame]:
-    adapted = adapt_edges(df)
+    # Written once: it is read for the pairs and again for the transfers on cycles.
+    adapted = ws.materialize(adapt_edges(df), "adapted")
     cycles = account_cycles(adapted, low, high, ws)
     edges = ws.materialize(dedup_edges(_on_cycles(adapted, cycles, ws)), "edges-on-cycles")
     return cycles, edges
@@ -257,7 +258,7 @@ def closed_pattern(
 
     `df` is a table of distinct edges.  `limit` keeps the first rows by path and transfers.
     """
-    adapted = adapt_edges(df)
+    adapted = ws.materialize(adapt_edges(df), "adapted")
     cycles = account_cycles(adapted, length, length, ws)
     edges = ws.materialize(_on_cycles(adapted, cycles, ws), "edges-on-cycles")
     rows = _attach(cycles, length, edges, ["amount", "timestamp"])
