@@ -90,12 +90,25 @@ def graph_edges(transfers: DataFrame) -> DataFrame:
     return transfers.where(F.col("source_account") != F.col("target_account"))
 
 
-def quality_report(normalized: DataFrame, by: str = "chunk_id") -> DataFrame:
+# 2^14 registers: estimates are off by less than 1 % as a rule.
+_SKETCH_BITS = 14
+
+
+def quality_report(
+    normalized: DataFrame, by: str = "chunk_id", with_accounts: bool = False
+) -> DataFrame:
     """One row per chunk over the rows before the filter.
 
     The counters overlap, and self-loops count invalid rows too, so they need not add up to
     the number of removed rows.  Numbers that no amount can hold are counted on their own.
+    `with_accounts` adds sketches of the accounts of valid rows, from which quality_totals estimates
+    how many there are without reading the rows again.
     """
+    sketches = {
+        f"{side}s_sketch": F.hll_sketch_agg(F.when(_is_valid(), F.col(side)), _SKETCH_BITS)
+        for side in ("source_account", "target_account")
+        if with_accounts
+    }
     valid = _is_valid()
     unfit = F.col(UNFIT) if UNFIT in normalized.columns else F.lit(False)
     return (
@@ -109,6 +122,7 @@ def quality_report(normalized: DataFrame, by: str = "chunk_id") -> DataFrame:
             F.count_if(_is_self_loop()).alias("self_loop_rows_kept_in_clean_data"),
             F.count_if(valid & ~_is_self_loop()).alias("graph_edge_rows"),
             F.count_if(unfit).alias("amount_unfit_rows"),
+            *[sketch.alias(name) for name, sketch in sketches.items()],
         )
         .select(
             "rows_before",
@@ -121,6 +135,7 @@ def quality_report(normalized: DataFrame, by: str = "chunk_id") -> DataFrame:
             by,
             "graph_edge_rows",
             "amount_unfit_rows",
+            *sketches,
         )
     )
 
@@ -137,6 +152,14 @@ def quality_totals(report: DataFrame) -> DataFrame:
         "graph_edge_rows",
         "amount_unfit_rows",
     ]
+    sketches = [name for name in report.columns if name.endswith("_sketch")]
     return report.agg(
-        F.count(F.lit(1)).alias("chunks"), *[F.sum(name).alias(name) for name in counters]
+        F.count(F.lit(1)).alias("chunks"),
+        *[F.sum(name).alias(name) for name in counters],
+        *[
+            F.hll_sketch_estimate(F.hll_union_agg(name)).alias(
+                f"about_{name.removesuffix('_sketch')}"
+            )
+            for name in sketches
+        ],
     )

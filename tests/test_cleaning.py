@@ -1,6 +1,7 @@
 from decimal import Decimal
 
 import pytest
+from given import DATA
 from pyspark.sql import functions as F
 
 from ledgerloop.checks import tables
@@ -101,3 +102,21 @@ def test_self_loops_count_before_the_filter(spark):
     df = spark.createDataFrame([("t", "a", "a", None, None, None, 0)], schema)
     (row,) = cleaning.quality_report(df.withColumn("chunk_id", F.lit(1))).collect()
     assert (row["self_loop_rows_kept_in_clean_data"], row["rows_after_cleaning"]) == (1, 0)
+
+
+def test_accounts_are_estimated_from_the_report(spark, ws):
+    """Sketches per chunk, united for the totals; the rows are read once."""
+    raw = ws.materialize(tables.raw_rows(spark, f"{DATA}/sf0.1"), "raw")
+    rows = cleaning.normalize_transfers(raw, F.lit("x"))
+    rows = rows.withColumn("chunk_id", F.spark_partition_id())
+    report = cleaning.quality_report(rows, with_accounts=True)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    (totals,) = cleaning.quality_totals(ws.materialize(report, "report")).collect()
+    assert totals["chunks"] > 1
+    clean = cleaning.clean_transfers(rows)
+    for side in ("source", "target"):
+        exact = clean.select(f"{side}_account").distinct().count()
+        assert abs(totals[f"about_{side}_accounts"] / exact - 1) < 0.02
+    plain = cleaning.quality_totals(cleaning.quality_report(rows))
+    assert totals.asDict().items() >= plain.first().asDict().items()
