@@ -14,6 +14,9 @@ only the best of each block go on.
 Vectors that are null, all zero, or hold null or non-finite components take no part, neither do
 those without an id and those whose length is not the commonest one (the smaller of equally common
 ones).  Rows that repeat an id are vectors of their own; all rows with the query's id are left out.
+
+Ties in distance go to the smaller vec_id.  An empty table gives an empty result.  Only vec_id and
+embedding are read.
 """
 
 from __future__ import annotations

@@ -16,6 +16,9 @@ of more than 40 bytes goes to the merge model of the tokenizers library.  The id
 the concatenation of those of its pieces.
 
 Texts that are null count as empty.  A text of any length is held once, its ids next to it.
+
+Empty texts have no ids.  Rows that repeat are encoded each on its own, there are no ties.  An empty table
+gives an empty result.  Other columns, whatever their names, are passed by or dropped, never read.
 """
 
 from __future__ import annotations

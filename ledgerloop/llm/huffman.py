@@ -18,6 +18,9 @@ side, one id of each per step.
 
 A null text has no ids but its end id.  Documents without an id come first; those that repeat an
 id stand next to each other in the order of their ids' bytes.
+
+Texts are read whole, whatever their length.  An empty table writes no file and gives an empty result.
+Only doc_id and text are read.
 """
 
 from __future__ import annotations

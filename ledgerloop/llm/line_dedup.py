@@ -12,6 +12,9 @@ removed.  Its spread is the number of distinct sources it appears in.
 Lines are known by two 64-bit hashes.  Documents without an id take no part and stay as they are;
 a null source is a site of its own; a null text stays null.  Rows that repeat an id are the same
 document.  Removing every line leaves an empty text.
+
+Texts of any length are read whole.  Of equal ids either may be the smallest, they are one document.
+An empty table gives an empty result.  Stages pass on other columns, whatever their names.
 """
 
 from __future__ import annotations

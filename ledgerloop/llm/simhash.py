@@ -19,6 +19,10 @@ Search works on distinct fingerprints:
 A shard reports one link per fingerprint that has any, to the smallest of its component there;
 the components of these links are those of all pairs.  So a group of near copies never becomes
 pairs.
+
+A null text counts as empty, and a text without words has the fingerprint zero.  Texts are read whole,
+whatever their length.  Rows that repeat have one fingerprint.  An empty table gives an empty result.
+Stages pass on other columns, whatever their names and types.
 """
 
 from __future__ import annotations

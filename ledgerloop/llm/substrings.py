@@ -23,6 +23,9 @@ and no list grows with the documents that share a passage, only with the chunks
 
 A null text has no words.  Documents without an id have no place in the order: they lose nothing
 and cause nothing.  Rows that repeat an id are the same document, none earlier than the other.
+
+Texts are read whole, whatever their length; one with fewer words than a window loses none.  An empty
+table gives an empty result.  Only doc_id and text are read.
 """
 
 from __future__ import annotations

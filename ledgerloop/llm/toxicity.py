@@ -12,6 +12,10 @@ falls on 0.7.
 
 Labels that are null, other than 0 and 1, or contradict each other are not used.  Without toxic or
 without clean examples every score is 0.  A null or empty text has no sentence and the score 0.
+
+Texts are read whole, whatever their length; words above 60 characters have no features.  Rows that
+repeat are scored alike.  Ties among features and among sentences go by name and by place.  An empty
+table gives an empty result.  Only doc_id, text and the labels' doc_id and toxic are read.
 """
 
 from __future__ import annotations
