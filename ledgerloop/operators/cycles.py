@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloop.functions import paths
 from ledgerloop.operators.graph import first_transfers
@@ -161,6 +162,11 @@ def _forward_step(paths_: DataFrame, arcs: DataFrame, measures: _Measures) -> Da
     )
 
 
+def _no_node(arcs: DataFrame) -> Column:
+    """An empty array of accounts."""
+    return F.array().cast(T.ArrayType(arcs.schema["src"].dataType))
+
+
 def _backward_start(arcs: DataFrame, measures: _Measures) -> DataFrame:
     return arcs.where(
         _after(F.col("src_degree"), F.col("src"), F.col("dst_degree"), F.col("dst"))
@@ -168,7 +174,7 @@ def _backward_start(arcs: DataFrame, measures: _Measures) -> DataFrame:
         F.col("dst").alias("root"),
         F.col("dst_degree").alias("root_degree"),
         F.col("src").alias("meet"),
-        F.array().cast("array<string>").alias("nodes"),
+        _no_node(arcs).alias("nodes"),
         F.lit(1).alias("hops"),
         *measures.start(),
     )
@@ -307,6 +313,24 @@ def detect_cycles(
     )
 
 
+def _numbered(pairs: DataFrame, ws: Workspace) -> DataFrame:
+    """The pairs with a number for each account, where names are not asked for again."""
+    ends = pairs.select(F.explode(F.array("src", "dst")).alias("name")).distinct()
+    numbers = ws.materialize(
+        ends.select("name", F.monotonically_increasing_id().alias("number")), "numbers"
+    )
+    src, dst = (
+        numbers.select(F.col("name").alias(end), F.col("number").alias(f"{end}_number"))
+        for end in ("src", "dst")
+    )
+    return (
+        pairs.select("src", "dst")
+        .join(src, "src")
+        .join(dst, "dst")
+        .select(F.col("src_number").alias("src"), F.col("dst_number").alias("dst"))
+    )
+
+
 def count_cycles(
     pairs: DataFrame, ws: Workspace, min_length: int = MIN_LENGTH, max_length: int = MAX_LENGTH
 ) -> DataFrame:
@@ -320,13 +344,13 @@ def count_cycles(
     if not 2 <= min_length <= max_length:
         raise ValueError("cycle lengths must satisfy 2 <= min_length <= max_length")
     none = _Measures(False)
-    arcs = ranked_core(pairs.select("src", "dst"), ws)
+    arcs = ranked_core(_numbered(pairs, ws), ws)
     forward_hops, backward_hops = _halves(min_length, max_length)
 
     def counted(levels: list[DataFrame], hops: int, name: str) -> DataFrame:
         # Forward paths hold both ends, backward ones only what lies between.
         between = F.slice("nodes", 2, hops - 1) if name == "forward" else F.col("nodes")
-        no_account = F.array().cast("array<string>")
+        no_account = _no_node(arcs)
         subsets = F.aggregate(
             F.array_sort(between) if hops > 1 else no_account,
             F.array(no_account),

@@ -10,6 +10,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -72,6 +73,25 @@ class Workspace:
         path = jvm.org.apache.hadoop.fs.Path(self.folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    @staticmethod
+    def sweep(spark: SparkSession, hours: float, base: str | None = None) -> int:
+        """Delete the folders of runs in which nothing was written for that long; returns how many.
+
+        For runs that ended without close(), such as queries whose result was read later."""
+        jvm = spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(f"{(base or _base_folder(spark)).rstrip('/')}/ledgerloop")
+        files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not files.exists(root):
+            return 0
+        oldest = time.time() * 1000 - hours * 3_600_000
+        swept = 0
+        for run in files.listStatus(root):
+            times = [s.getModificationTime() for s in files.listStatus(run.getPath())]
+            if max([run.getModificationTime(), *times]) < oldest:
+                files.delete(run.getPath(), True)
+                swept += 1
+        return swept
+
     def __enter__(self) -> Workspace:
         return self
 

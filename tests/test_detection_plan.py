@@ -106,3 +106,15 @@ def test_clusters_must_name_a_shared_folder():
         Workspace(Session())
     Session.conf.values["spark.master"] = "local[2]"
     assert os.path.isdir(Workspace(Session()).folder.split("/ledgerloop/")[0])
+
+
+def test_old_runs_are_swept(spark, tmp_path):
+    base = str(tmp_path)
+    old, new = Workspace(spark, base), Workspace(spark, base)
+    for ws in (old, new):
+        ws.materialize(spark.range(3), "numbers")
+    for folder, _, _ in os.walk(old.folder):
+        os.utime(folder, (1_000_000_000, 1_000_000_000))
+    assert Workspace.sweep(spark, 24, base) == 1
+    assert not os.path.exists(old.folder) and os.path.exists(new.folder)
+    assert Workspace.sweep(spark, 24, base) == 0 == Workspace.sweep(spark, 1, str(tmp_path / "none"))
