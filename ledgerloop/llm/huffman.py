@@ -1,8 +1,8 @@
 """Token ids in files of canonical, length-limited Huffman codes.
 
 The code is made from the counts of all ids.  Lengths are limited (package-merge), so that one
-table of 2^limit entries decodes any code in one step; codes of one length ascend with the id, so a
-file needs only the lengths.
+table of 2^limit entries decodes any code in one step; codes of one length ascend with the id, so the
+lengths alone give the code.  Every block carries them: a folder is read without anything else.
 
 A file is a Parquet file whose rows are blocks; it can lie in any store that Spark writes to.  A
 block holds whole documents in ascending order of their ids:
@@ -12,8 +12,11 @@ block holds whole documents in ascending order of their ids:
     doc_ids, n_tokens  the documents, and their numbers of ids, end id included
     payload            codes, first bit first; each document starts at a whole byte
     checkpoints        of every document, each 64 ids, the bit in the payload where they start
+    lengths            one byte per id of the vocabulary, its code's length, deflated; the same in all
+                       blocks, so that the dictionary of a Parquet file holds it once
 
-Blocks are independent.  All stretches between checkpoints of many blocks are decoded side by
+Files are cut by ranges of document ids, of about as many documents each; a block ends before the
+document that would make it longer than its bound.  Blocks are independent.  All stretches between checkpoints of many blocks are decoded side by
 side, one id of each per step.
 
 A null text has no ids but its end id.  Documents without an id come first; those that repeat an
@@ -98,6 +101,14 @@ class Code:
         self.symbol_at[: len(filled)] = filled
         self.length_at[: len(filled)] = self.lengths[filled]
 
+    def packed(self) -> bytes:
+        """The lengths as a block holds them."""
+        return zlib.compress(self.lengths.astype(np.uint8).tobytes(), 9)
+
+    @classmethod
+    def unpacked(cls, lengths: bytes) -> Code:
+        return cls(np.frombuffer(zlib.decompress(lengths), np.uint8).astype(np.int64))
+
     def encode(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[bytes, np.ndarray]:
         """Of documents of these sizes, one after the other: the payload, and the bit at which
         each id starts."""
@@ -198,26 +209,19 @@ def count_ids(tokens: DataFrame, size: int) -> np.ndarray:
 
 BLOCK_SCHEMA = (
     "part int, block int, first long, doc_ids array<long>, n_tokens array<long>, "
-    "payload binary, checkpoints array<long>"
+    "payload binary, checkpoints array<long>, lengths binary"
 )
 
 
 def write_files(tokens: DataFrame, code: Code, path: str, file_ids: int = FILE_IDS) -> None:
     """Writes the files below `path`, each with the next higher range of document ids."""
     files = max(1, -(-total(tokens, "n") // file_ids))
-    cuts = (
-        tokens.agg(
-            F.percentile_approx("key", F.array(*[F.lit(k / files) for k in range(1, files)]), 100_000)
-        ).first()[0]
-        if files > 1
-        else []
-    )
-    cuts = sorted(set(cuts or []))
     shared = share(tokens.sparkSession, code)
 
     def build(batches: Iterator) -> Iterator[pa.RecordBatch]:
         code = shared()
-        before, block = 0, 0
+        lengths = code.packed()
+        before, block, n_held = 0, 0, 0
         keys: list = []
         sizes: list[int] = []
         held: list[np.ndarray] = []
@@ -239,36 +243,38 @@ def write_files(tokens: DataFrame, code: Code, path: str, file_ids: int = FILE_I
                     pa.array([sizes], pa.list_(pa.int64())),
                     pa.array([payload], pa.binary()),
                     pa.array([at[marks]], pa.list_(pa.int64())),
+                    pa.array([lengths], pa.binary()),
                 ],
                 names=[
                     "part", "block", "first", "doc_ids", "n_tokens", "payload", "checkpoints",
+                    "lengths",
                 ],
             )
 
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("key", "n", "ids")]
             for key, n, ids in zip(*columns):
-                if held and sum(sizes) + n > BLOCK_IDS:
+                if held and n_held + n > BLOCK_IDS:
                     yield finished()
-                    before, block = before + sum(sizes), block + 1
+                    before, block, n_held = before + n_held, block + 1, 0
                     keys, sizes, held = [], [], []
                 keys.append(key)
                 sizes.append(n)
+                n_held += n
                 held.append(_numbers(ids, n))
         if held:
             yield finished()
 
-    below = F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("key"))
-    part = F.coalesce(F.size(below), F.lit(0)) if cuts else F.lit(0)
-    placed = tokens.withColumn("part", F.when(F.col("key").isNull(), 0).otherwise(part).cast("int"))
-    sorted_ = placed.repartitionById(len(cuts) + 1, F.col("part")).sortWithinPartitions("key", "ids")
-    blocks = sorted_.drop("part").mapInArrow(build, BLOCK_SCHEMA)
+    # Rows of one id, and those without an id, lie in one range; the number of ranges is kept.
+    ranges = tokens.repartitionByRange(files, "key").sortWithinPartitions("key", "ids")
+    blocks = ranges.mapInArrow(build, BLOCK_SCHEMA)
     blocks.write.option("compression", "none").parquet(path)
 
 
-def read_files(spark: SparkSession, path: str, code: Code, with_ids: bool = True) -> DataFrame:
+def read_files(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     """One row per document: doc_id, start (ids before it in all files), n_tokens, ids (bytes of
-    little-endian unsigned 32-bit integers; null if not asked for) and their crc32."""
+    little-endian unsigned 32-bit integers; null if not asked for) and their crc32.  The folder is
+    all that is read."""
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(path)
     sizes = blocks.select(
         "part", F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, x: a + x).alias("n")
@@ -277,13 +283,15 @@ def read_files(spark: SparkSession, path: str, code: Code, with_ids: bool = True
     files = sizes.groupBy("part").agg(F.sum("n").alias("n"))
     order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("part", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
-    shared = share(spark, code)
 
     def run(batches: Iterator) -> Iterator[pa.RecordBatch]:
-        code = shared()
+        packed, code = None, None
         for batch in batches:
             for k in range(batch.num_rows):
                 block = {c: batch.column(c)[k] for c in batch.schema.names}
+                lengths = block["lengths"].as_py()
+                if lengths != packed:
+                    packed, code = lengths, Code.unpacked(lengths)
                 n = np.array(block["n_tokens"].as_py(), dtype=np.int64)
                 marks = block["checkpoints"].values.to_numpy()
                 stretches = -(-n // CHECKPOINT)
@@ -321,4 +329,4 @@ def op6_huffman(spark: SparkSession, folder: str) -> DataFrame:
     code = Code(limited_lengths(counts))
     path = ws.new_path("huffman-files")
     write_files(tokens, code, path)
-    return read_files(spark, path, code, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return read_files(spark, path, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")

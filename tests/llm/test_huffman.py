@@ -1,6 +1,10 @@
+import os
+import subprocess
+import sys
 import zlib
 from collections import Counter
 from heapq import heapify, heappop, heappush
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -102,9 +106,59 @@ def test_many_files_are_in_order(spark, folder, ws, tmp_path):
     spans = sorted((r.part, r.block, r.doc_ids) for r in blocks.collect())
     assert len({p for p, *_ in spans}) > 5
     assert [d for *_, own in spans for d in own] == list(range(120))
-    found = huffman.read_files(spark, out, code).select("doc_id", "start", "n_tokens", "ids_crc32")
+    found = huffman.read_files(spark, out).select("doc_id", "start", "n_tokens", "ids_crc32")
     assert sorted(map(tuple, found.collect())) == expected(rows)
 
 
+def test_lengths_survive_packing():
+    code = huffman.Code(huffman.limited_lengths(np.array([5, 0, 1, 9, 0, 2])))
+    again = huffman.Code.unpacked(code.packed())
+    assert again.lengths.tolist() == code.lengths.tolist()
+    assert again.codes.tolist() == code.codes.tolist()
+
+
+READER = """
+import sys
+from pyspark.sql import SparkSession
+from ledgerloop.llm import huffman
+
+spark = (
+    SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+)
+rows = huffman.read_files(spark, sys.argv[1]).orderBy("start").collect()
+for r in rows:
+    print("ROW", r.doc_id, r.start, r.n_tokens, r.ids_crc32, bytes(r.ids).hex())
+"""
+
+
+def test_another_session_reads_the_folder_alone(spark, folder, ws, tmp_path):
+    rows = [(k, prose(k, 30), "en", "a", 0) for k in range(40)]
+    docs = spark.read.parquet(f"{folder(rows)}/documents.parquet")
+    tokens = huffman.tokenize(docs, bpe.vocabulary(), ws)
+    code = huffman.Code(huffman.limited_lengths(huffman.count_ids(tokens, 50257)))
+    out = str(tmp_path / "files")
+    huffman.write_files(tokens, code, out, file_ids=300)
+    # Another process that knows neither the code nor the vocabulary.
+    root = Path(huffman.__file__).parents[2]
+    env = {**os.environ, "PYTHONPATH": str(root)}
+    run = subprocess.run(
+        [sys.executable, "-c", READER, out], capture_output=True, text=True, env=env, timeout=300
+    )
+    assert run.returncode == 0, run.stderr
+    found = [line.split()[1:] for line in run.stdout.splitlines() if line.startswith("ROW ")]
+    assert [tuple(map(int, row[:4])) for row in found] == expected(rows)
+    library = Tokenizer.from_str(bpe.vocabulary())
+    for (_, text, *_), row in zip(rows, found):
+        ids = library.encode(text, add_special_tokens=False).ids + [huffman.END_ID]
+        assert bytes.fromhex(row[4]) == np.array(ids, "<u4").tobytes()
+
+
+def test_one_long_document_among_many_short_ones(spark, folder, monkeypatch):
+    monkeypatch.setattr(huffman, "BLOCK_IDS", 64)
+    rows = [(k, "a b", "en", "a", 0) for k in range(300)] + [(1000, prose(5, 900), "en", "a", 0)]
+    found = huffman.op6_huffman(spark, folder(rows)).collect()
+    assert sorted(map(tuple, found)) == expected(rows)
+
+
 def test_empty_table(spark, folder):
     assert huffman.op6_huffman(spark, folder()).collect() == []
