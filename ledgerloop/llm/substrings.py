@@ -1,7 +1,9 @@
 """Removes passages that an earlier document has, found with prefix-partitioned suffix trees.
 
-A window is `WINDOW` consecutive words of a document.  A word goes if a window over it also starts
-in a document with a smaller id; windows are judged on the input.
+A window is a number of consecutive words of a document (`WINDOW`, if no other is asked for, `ANCHOR` at
+least).  A word goes if a window over it also starts in a document with a smaller id; windows are judged
+on the input.  The operator gives what is left of each text and the spans of words that went: windows
+that overlap or touch are one span, so a repeat of any length is found whole.
 
 The suffixes of all documents, cut off after a window, are the material of a suffix tree; a repeated
 window is an inner node at that depth.  To keep the tree out of any one place:
@@ -34,6 +36,7 @@ import hashlib
 import pickle
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import partial
 from itertools import count
 
 import numpy as np
@@ -58,7 +61,7 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 _NO_ID = -(2**63)
 _QUESTIONS = "chunk long, bucket int, content binary"
 _ANSWERS = "chunk long, bucket int, content binary"
-_RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+_FOUND = "doc_id long, n_words long, kept string, start array<long>, stop array<long>"
 
 
 def _squeeze(value: object) -> bytes:
@@ -66,7 +69,7 @@ def _squeeze(value: object) -> bytes:
     return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(value, protocol=5))
 
 
-def _payload(ids: list, texts: list) -> tuple[bytes, dict]:
+def _payload(ids: list, texts: list, window: int = WINDOW) -> tuple[bytes, dict]:
     """Ids, words and passages of a chunk's documents."""
     words: list[bytes] = []
     sizes = []
@@ -75,27 +78,29 @@ def _payload(ids: list, texts: list) -> tuple[bytes, dict]:
         words += own
         sizes.append(len(own))
     n = np.array(sizes, dtype=np.int64)
-    lengths, offsets = _passages(words, n)
+    lengths, offsets = _passages(words, n, window)
     return (
         _squeeze((ids, b" ".join(words), n.astype(np.uint32), lengths, offsets)),
         {},
     )
 
 
-def _windows(n: np.ndarray) -> np.ndarray:
+def _windows(n: np.ndarray, window: int) -> np.ndarray:
     """The word at which each window starts, for documents of n words one after the other."""
-    each = np.maximum(n - WINDOW + 1, 0)
+    each = np.maximum(n - window + 1, 0)
     starts = np.cumsum(n) - n
     total = int(each.sum())
     return np.repeat(starts - (np.cumsum(each) - each), each) + np.arange(total)
 
 
-def _passages(words: list[bytes], n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _passages(
+    words: list[bytes], n: np.ndarray, window: int = WINDOW
+) -> tuple[np.ndarray, np.ndarray]:
     """Of each run of windows of one document with one anchor: how many windows, and how far
     behind the first window's start the anchor is."""
-    at = _windows(n)
+    at, narrow = _windows(n, window), np.min_scalar_type(window)
     if not len(at):
-        return np.zeros(0, np.uint8), np.zeros(0, np.uint8)
+        return np.zeros(0, narrow), np.zeros(0, narrow)
     numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
     word = np.array(list(map(numbers.__getitem__, words)), dtype=np.int64)
     digest = xxhash.xxh64_intdigest
@@ -104,7 +109,7 @@ def _passages(words: list[bytes], n: np.ndarray) -> tuple[np.ndarray, np.ndarray
     for k in range(1, ANCHOR):
         gram = (gram ^ gram >> np.uint64(29)) * _MIX + hashes[k : len(hashes) - ANCHOR + 1 + k]
     gram = (gram ^ gram >> np.uint64(32)) * _MIX
-    choices = WINDOW - ANCHOR + 1
+    choices = window - ANCHOR + 1
     least, place = gram[at], np.zeros(len(at), dtype=np.int64)
     for k in range(1, choices):
         other = gram[at + k]
@@ -115,20 +120,21 @@ def _passages(words: list[bytes], n: np.ndarray) -> tuple[np.ndarray, np.ndarray
     new = np.append(True, (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1))
     first = np.flatnonzero(new)
     lengths = np.diff(np.append(first, len(at)))
-    return lengths.astype(np.uint8), place[first].astype(np.uint8)
+    return lengths.astype(narrow), place[first].astype(narrow)
 
 
 class _Chunk:
     """A payload laid out for use: word positions, and the passages with their documents."""
 
-    def __init__(self, content: bytes, buckets: int):
+    def __init__(self, content: bytes, buckets: int, window: int):
+        self.window = window
         self.ids, self.data, n, lengths, offsets = unpack(content)
         self.n = n.astype(np.int64)
         size = np.array([len(w) for w in self.data.split(b" ")] if self.n.sum() else [], np.int64)
         self.end = np.cumsum(size + 1) - 1
         self.start = self.end - size
         self.length = lengths.astype(np.int64)
-        at = _windows(self.n)
+        at = _windows(self.n, window)
         self.first = at[np.cumsum(self.length) - self.length] if len(at) else at
         self.anchor = self.first + offsets
         owner = np.repeat(np.arange(len(self.n)), self.n)
@@ -180,12 +186,12 @@ class _Chunk:
         bucket = self.bucket[self.number[own]]
         data, digest = self.data, xxhash.xxh64_intdigest
         for k in np.flatnonzero(cut).tolist():
-            text = data[self.start[first[k]] : self.end[first[k] + WINDOW - 1]]
+            text = data[self.start[first[k]] : self.end[first[k] + self.window - 1]]
             bucket[k] = digest(text, 11) % self.buckets
         order = np.argsort(bucket, kind="stable")
         own, first, length, bucket = own[order], first[order], length[order], bucket[order]
         begin = self.start[first].tolist()
-        end = self.end[first + length + WINDOW - 2].tolist()
+        end = self.end[first + length + self.window - 2].tolist()
         # A window on its own is the same wherever its anchor is.
         offset = np.where(cut[order], 0, self.anchor[own] - first).tolist()
         numbers: defaultdict[tuple, int] = defaultdict(count().__next__)
@@ -215,13 +221,15 @@ def _repeated_anchors(
         yield chunk, bucket, pack((len(own[0]), *map(np.packbits, own)))
 
 
-def subtrees(suffixes: list[bytes], group: int = GROUP) -> Iterator[list[int]]:
+def subtrees(
+    suffixes: list[bytes], group: int = GROUP, window: int = WINDOW
+) -> Iterator[list[int]]:
     """Numbers of suffixes by common prefix, sorted.  Prefixes are one word long, and longer by one
     word at a time where more than `group` suffixes share them."""
     todo = [(0, list(range(len(suffixes))))]
     while todo:
         words, own = todo.pop()
-        if len(own) <= group or words == WINDOW:
+        if len(own) <= group or words == window:
             own.sort(key=suffixes.__getitem__)
             yield own
             continue
@@ -231,11 +239,13 @@ def subtrees(suffixes: list[bytes], group: int = GROUP) -> Iterator[list[int]]:
         todo += [(words + 1, part) for part in parts.values()]
 
 
-def smallest_documents(suffixes: list[bytes], docs: np.ndarray, group: int = GROUP) -> np.ndarray:
+def smallest_documents(
+    suffixes: list[bytes], docs: np.ndarray, group: int = GROUP, window: int = WINDOW
+) -> np.ndarray:
     """For each suffix the smallest document of those below its deep node, that is, that agree with
     it for the whole window."""
     least = np.empty(len(suffixes), dtype=np.int64)
-    for own in subtrees(suffixes, group):
+    for own in subtrees(suffixes, group, window):
         ordered = [suffixes[k] for k in own]
         starts = np.array([True, *map(bytes.__ne__, ordered, ordered[1:])][: len(own)])
         node = np.cumsum(starts) - 1
@@ -244,7 +254,9 @@ def smallest_documents(suffixes: list[bytes], docs: np.ndarray, group: int = GRO
     return least
 
 
-def _earlier_elsewhere(bucket: int, chunks: list[int], lists: list[bytes]) -> Iterator[tuple]:
+def _earlier_elsewhere(
+    bucket: int, chunks: list[int], lists: list[bytes], window: int
+) -> Iterator[tuple]:
     """For each window of each passage whether any chunk has it in an earlier document than the
     asking chunk does."""
     opened = [unpack(x) for x in lists]
@@ -254,13 +266,13 @@ def _earlier_elsewhere(bucket: int, chunks: list[int], lists: list[bytes]) -> It
     raw = np.frombuffer(data, dtype=np.uint8)
     stops = np.append(np.flatnonzero((raw == 0x20) | (raw == 0x0A)), len(raw))
     starts = np.append(0, stops[:-1] + 1)
-    size = windows + WINDOW - 1
+    size = windows + window - 1
     first = np.cumsum(size) - size
     at = np.repeat(first - (np.cumsum(windows) - windows), windows) + np.arange(windows.sum())
-    begin, end = starts[at].tolist(), stops[at + WINDOW - 1].tolist()
+    begin, end = starts[at].tolist(), stops[at + window - 1].tolist()
     suffixes = [data[a:b] for a, b in zip(begin, end)]
     own = np.repeat(least, windows)
-    earlier = smallest_documents(suffixes, own) < own
+    earlier = smallest_documents(suffixes, own, window=window) < own
     edges = np.cumsum([int(w.sum()) for _, w, _ in opened])[:-1]
     for chunk, bits in zip(chunks, np.split(earlier, edges)):
         yield chunk, bucket, pack((len(bits), np.packbits(bits)))
@@ -279,17 +291,20 @@ def _repeats_and_hot(answers: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return _bits(answers, 1), _bits(answers, 1, 2)
 
 
-def remove_repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
-    """One row per document with the columns of _RESULT."""
+def remove_repeats(docs: DataFrame, ws: Workspace, window: int = WINDOW) -> DataFrame:
+    """One row per document: doc_id, n_words, kept (the words that stay, joined by one space) and spans,
+    an array in order of (start, stop), from the first removed word of a run to the one behind it."""
+    if window < ANCHOR:
+        raise ValueError(f"a window has at least {ANCHOR} words")
     buckets, most = bucket_count(docs), HOT
-    payloads, _ = write_chunks(docs, ws, "passage-chunks", _payload)
+    payloads, _ = write_chunks(docs, ws, "passage-chunks", partial(_payload, window=window))
     names = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("content", pa.binary())])
 
     def ask_anchors(batches: Iterator) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("chunk", "content")]
             for chunk, content in zip(*columns):
-                asked = list(_Chunk(unpack(content), buckets).anchors())
+                asked = list(_Chunk(unpack(content), buckets, window).anchors())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([chunk] * len(asked), pa.int64()),
@@ -310,13 +325,13 @@ def remove_repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
     def ask_passages(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         rows = []
         if len(own) and len(answers):
-            chunk = _Chunk(unpack(own["content"].iloc[0]), buckets)
+            chunk = _Chunk(unpack(own["content"].iloc[0]), buckets, window)
             *_, distinct, least = chunk.candidates(*_repeats_and_hot(answers))
             edges = [k for k, d in enumerate(distinct) if not k or d[0] != distinct[k - 1][0]]
             for a, b in zip(edges, [*edges[1:], len(distinct)]):
                 part = distinct[a:b]
                 text = b"\n".join([t for _, t, _ in part])
-                windows = np.array([w for _, _, w in part], dtype=np.uint8)
+                windows = np.array([w for _, _, w in part], dtype=np.min_scalar_type(window))
                 rows.append((part[0][0], pack(_squeeze((text, windows, least[a:b])))))
         return pd.DataFrame(
             {
@@ -331,13 +346,16 @@ def remove_repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
             ask_passages, _QUESTIONS
         )
     )
-    second = per_bucket(asked, _earlier_elsewhere, names, _ANSWERS)
+    def earlier_elsewhere(bucket: int, chunks: list[int], lists: list[bytes]) -> Iterator[tuple]:
+        return _earlier_elsewhere(bucket, chunks, lists, window)
+
+    second = per_bucket(asked, earlier_elsewhere, names, _ANSWERS)
     second = ws.materialize(second.withColumn("kind", F.lit(2)), "earlier-passages")
 
     def finish(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(own):
             return pd.DataFrame()
-        chunk = _Chunk(unpack(own["content"].iloc[0]), buckets)
+        chunk = _Chunk(unpack(own["content"].iloc[0]), buckets, window)
         n = chunk.n
         edge = np.zeros(int(n.sum()) + 1, dtype=np.int64)
         if len(answers):
@@ -352,40 +370,53 @@ def remove_repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
             gone = late | earlier[np.repeat(begins[number], length) + step]
             start = (np.repeat(first, length) + step)[gone]
             np.add.at(edge, start, 1)
-            np.add.at(edge, start + WINDOW, -1)
+            np.add.at(edge, start + window, -1)
         removed = np.cumsum(edge[:-1]) > 0
         ends = np.cumsum(n)
-        lost = np.diff(np.append(0, np.cumsum(removed))[np.append(0, ends)])
-        digests = []
+        texts, starts, stops = [], [], []
         words = None
-        for k, (stop, size) in enumerate(zip(ends.tolist(), n.tolist())):
+        for end, size in zip(ends.tolist(), n.tolist()):
+            here = removed[end - size : end]
+            turns = np.flatnonzero(np.diff(here, prepend=False, append=False))
+            starts.append(turns[::2])
+            stops.append(turns[1::2])
             if not size:
                 kept = b""
-            elif not lost[k]:
-                kept = chunk.data[chunk.start[stop - size] : chunk.end[stop - 1]]
+            elif not len(turns):
+                kept = chunk.data[chunk.start[end - size] : chunk.end[end - 1]]
             else:
                 words = words or chunk.data.split(b" ")
-                stays = np.flatnonzero(~removed[stop - size : stop]) + (stop - size)
+                stays = np.flatnonzero(~here) + (end - size)
                 kept = b" ".join([words[w] for w in stays.tolist()])
-            digests.append(hashlib.sha256(kept).hexdigest())
+            texts.append(kept.decode())
         return pd.DataFrame(
             {
                 "doc_id": pd.array(chunk.ids, dtype="Int64"),
                 "n_words": n,
-                "n_removed": lost,
-                "kept_sha256": digests,
+                "kept": texts,
+                "start": starts,
+                "stop": stops,
             }
         )
 
     answers = first.unionByName(second)
-    return (
-        payloads.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(finish, _RESULT)
+    found = (
+        payloads.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(finish, _FOUND)
     )
+    return found.select("doc_id", "n_words", "kept", F.arrays_zip("start", "stop").alias("spans"))
 
 
 def op7_substrings(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
-    return remove_repeats(docs, Workspace(spark))
+    n_removed = F.aggregate(
+        "spans", F.lit(0).cast("long"), lambda n, span: n + span["stop"] - span["start"]
+    )
+    return remove_repeats(docs, Workspace(spark)).select(
+        "doc_id",
+        "n_words",
+        n_removed.alias("n_removed"),
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+    )
 
 
 ORACLE = f"""

@@ -106,5 +106,45 @@ def test_same_as_sql_where_all_anchors_are_hot(folder, same_as_sql, monkeypatch)
     assert found["n_removed"].sum() > 100
 
 
+def brute_force(rows, window):
+    """Kept words and removed spans of rows (doc_id, text); ids are unique."""
+    least: dict = {}
+    texts = {k: [w.decode() for w in (t or "").encode().split()] for k, t in rows}
+    for k in sorted(texts, reverse=True):
+        for p in range(len(texts[k]) - window + 1):
+            least[tuple(texts[k][p : p + window])] = k
+    found = {}
+    for k, words in texts.items():
+        gone = [False] * len(words)
+        for p in range(len(words) - window + 1):
+            if least[tuple(words[p : p + window])] < k:
+                gone[p : p + window] = [True] * window
+        edges = [p for p in range(len(words) + 1) if [False, *gone, False][p] != [*gone, False][p]]
+        spans = list(zip(edges[::2], edges[1::2]))
+        found[k] = (len(words), " ".join(w for w, g in zip(words, gone) if not g), spans)
+    return found
+
+
+@pytest.mark.parametrize("window", [5, 7, 20, 300])
+def test_kept_texts_and_spans_for_other_windows(spark, folder, ws, monkeypatch, window):
+    monkeypatch.setattr(chunks, "CHUNK_CHARS", 3_000)
+    rows = [(k, row[1], *row[2:]) for k, row in enumerate(overlapping(40))]
+    shared = prose(77, 400)
+    rows += [(1000 + k, f"own{k} {shared} été{k} \t\n", "en", "a", 0) for k in range(3)]
+    rows += [(2000, "", "en", "a", 0), (2001, None, "en", "a", 0)]
+    docs = spark.read.parquet(f"{folder(rows)}/documents.parquet")
+    found = substrings.remove_repeats(docs, ws, window).collect()
+    got = {r.doc_id: (r.n_words, r.kept, [tuple(s) for s in r.spans]) for r in found}
+    assert got == brute_force([r[:2] for r in rows], window)
+    # a repeat much longer than a window is one span
+    assert got[1001][2] == got[1002][2] == [(1, 401)]
+
+
+def test_a_window_holds_an_anchor(spark, folder, ws):
+    docs = spark.read.parquet(f"{folder()}/documents.parquet")
+    with pytest.raises(ValueError, match="at least 5 words"):
+        substrings.remove_repeats(docs, ws, 4)
+
+
 def test_empty_table(spark, folder):
     assert substrings.op7_substrings(spark, folder()).collect() == []
