@@ -16,8 +16,8 @@ block holds whole documents in ascending order of their ids:
                        blocks, so that the dictionary of a Parquet file holds it once
 
 Files are cut by ranges of document ids, of about as many documents each; a block ends before the
-document that would make it longer than its bound.  Blocks are independent.  All stretches between checkpoints of many blocks are decoded side by
-side, one id of each per step.
+document that would make it longer than its bound.  Blocks are independent.  All stretches between
+checkpoints of many blocks are decoded side by side, one id of each per step.
 
 A null text has no ids but its end id.  Documents without an id come first; those that repeat an
 id stand next to each other in the order of their ids' bytes.
