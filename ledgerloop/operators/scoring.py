@@ -140,43 +140,51 @@ def score_measured(measured: DataFrame, rules: Rules = Rules()) -> DataFrame:
     ).withColumn("risk_level", labels.risk_level(F.col("risk_score")))
 
 
-def explanation(df: DataFrame) -> Column:
+def finding(df: DataFrame) -> Column:
+    """What an explanation says after the case id."""
     return (
-        F.when(_found(df) == 0, F.concat("cycle_id", F.lit(": transfers missing")))
+        F.when(_found(df) == 0, F.lit(": transfers missing"))
         .when(
             F.size("reasons") > 0,
-            F.concat("cycle_id", F.lit(" / "), "risk_level", F.lit(" / "), F.concat_ws(", ", "reasons")),
+            F.concat(F.lit(" / "), "risk_level", F.lit(" / "), F.concat_ws(", ", "reasons")),
         )
-        .otherwise(F.concat("cycle_id", F.lit(": a ring, otherwise ordinary")))
+        .otherwise(F.lit(": a ring, otherwise ordinary"))
     )
 
 
 def with_case_ids(scored: DataFrame, ws: Workspace) -> DataFrame:
-    """C001, C002, ... by number of accounts and path, before any ranking."""
-    named = scored.withColumn("path_text", paths.display(F.col("path")))
-    numbered = with_ordinal(named, [F.col("n_accounts"), F.col("path_text")], ws, "case_number")
+    """C001, C002, ... by number of accounts and path, before any ranking; the path becomes text."""
+    named = scored.withColumn("path", paths.display(F.col("path")))
+    numbered = with_ordinal(named, [F.col("n_accounts"), F.col("path")], ws, "case_number")
     return numbered.withColumn(
         "cycle_id", F.format_string("C%03d", F.col("case_number") + 1)
     ).drop("case_number")
 
 
-def case_table(identified: DataFrame) -> DataFrame:
-    """The eight public columns of a case."""
-    return identified.select(
-        "cycle_id",
-        F.col("path_text").alias("path"),
+def score_cycles(measured: DataFrame, ws: Workspace, rules: Rules = Rules()) -> DataFrame:
+    """Measured cycles to unranked cases: the eight public columns."""
+    scored = score_measured(measured, rules)
+    # Numbering sorts and writes its rows: they hold what a case shows and no more.
+    shown = scored.select(
+        "path",
+        "n_accounts",
         F.coalesce(F.round("total", 2).cast("double"), F.lit(0.0)).alias("total_amount"),
         "duration_minutes",
         F.round("spread", 4).alias("amount_variance"),
         "risk_score",
         "risk_level",
-        explanation(identified).alias("explanation"),
+        finding(scored).alias("finding"),
+    )
+    return with_case_ids(shown, ws).select(
+        "cycle_id",
+        "path",
+        "total_amount",
+        "duration_minutes",
+        "amount_variance",
+        "risk_score",
+        "risk_level",
+        F.concat("cycle_id", "finding").alias("explanation"),
     )
-
-
-def score_cycles(measured: DataFrame, ws: Workspace, rules: Rules = Rules()) -> DataFrame:
-    """Measured cycles to unranked cases."""
-    return case_table(with_case_ids(score_measured(measured, rules), ws))
 
 
 def rank_cases(cases: DataFrame) -> DataFrame:
