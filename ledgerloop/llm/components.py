@@ -1,6 +1,6 @@
 """Connected components of an edge table, without any group in one task.
 
-Alternates two steps until nothing changes: each node links its larger neighbours to the smallest
+Alternates two steps until only stars are left: each node links its larger neighbours to the smallest
 node it sees, then its smaller neighbours and itself.  The smallest neighbour is a grouped minimum
 (combined before the shuffle); it meets the edges again in a join of two written tables, of which
 Spark can split a hot side.
@@ -24,6 +24,17 @@ def _star(edges: DataFrame, ws: Workspace, name: str) -> DataFrame:
     return ws.materialize(joined.select("u", "v", "m"), name)
 
 
+def _only_stars(links: DataFrame) -> bool:
+    """Whether every node has one link to a smaller node, and none to it, or none to a smaller one.
+
+    Steps keep what is connected together, so that the smaller ends are then the roots."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("up")).unionByName(
+        links.select(F.col("v").alias("node"), F.lit(0).alias("up"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.count(F.lit(1)).alias("n"))
+    return nodes.filter("up > 0 and n > 1").isEmpty()
+
+
 def components(edges: DataFrame, ws: Workspace) -> DataFrame:
     """Of (a, b) links of longs: (node, root) for every node that has a link, root the smallest
     node of its component.  Nulls must not occur; repeated and reversed links do no harm."""
@@ -31,7 +42,6 @@ def components(edges: DataFrame, ws: Workspace) -> DataFrame:
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     )
     now = ws.materialize(now.distinct(), "links")
-    before = None
     for _ in range(MAX_ROUNDS):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(ws.materialize(both, "both-ways"), ws, "large-star")
@@ -40,12 +50,8 @@ def components(edges: DataFrame, ws: Workspace) -> DataFrame:
         to_least = small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         self_links = small.filter("u != m").select("u", F.col("m").alias("v"))
         now = ws.materialize(to_least.unionByName(self_links).distinct(), "small-links")
-        state = now.agg(
-            F.count(F.lit(1)), F.sum((F.xxhash64("u", "v") % 1_000_003).cast("long"))
-        ).first()
-        if state == before:
+        if _only_stars(now):
             roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
             itself = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             return ws.materialize(roots.unionByName(itself), "roots")
-        before = state
     raise RuntimeError("components did not settle")
