@@ -6,14 +6,16 @@ used:
 
 * a space after a character that is no white space.  The vocabulary is searched once for a pair
   of a space after a byte that ends no white space; where there is none, the text falls into
-  fragments, one word with its leading space each, which are encoded on their own and
-  remembered.  (A byte that may end a white space character can also end a letter; there the
+  fragments, one word with its leading space each, which are encoded on their own, once for all
+  texts of a group.  (A byte that may end a white space character can also end a letter; there the
   pre-tokenizer, which starts a piece at the first space after a letter, makes the cut certain);
 * inside one piece of the pre-tokenizer, any pair of bytes that no token holds.
 
-The merge rules are then applied to all new pieces of a group of texts at once, as arrays; a piece
-of more than 40 bytes goes to the merge model of the tokenizers library.  The ids of a text are
-the concatenation of those of its pieces.
+The merge rules are then applied to all different fragments of a group of texts at once, as arrays;
+a piece of more than 40 bytes goes to the merge model of the tokenizers library.  Fragments of Latin
+letters, ASCII digits and signs are split at the changes between these three; the others are split
+by the pattern of the pre-tokenizer and remembered.  The ids of a text are the concatenation of
+those of its pieces.
 
 Texts that are null count as empty.  A text of any length is held once, its ids next to it.
 
@@ -26,7 +28,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +44,9 @@ PIECES = regex.compile(
 )
 
 #: Bytes of texts that are encoded together, one text at least.
-GROUP_BYTES = 4_000_000
-#: Fragments met lately whose ids a worker remembers, and as many met before; about 160 bytes each.
+GROUP_BYTES = 8_000_000
+#: Fragments split by the pattern lately whose ids a worker remembers, and as many split before;
+#: about 160 bytes each.
 REMEMBERED = 600_000
 
 _FRAGMENT = re.compile(r"\s*\S+|\s+")
@@ -52,6 +55,9 @@ _NO_KEY = np.uint64(2**64 - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of a piece up to which merges are applied to many pieces at once.
 _SHORT = 40
+#: Bits for a place in such a piece, and the rank of a pair without a rule.
+_PLACES = 6
+_NO_RULE = (1 << 31 - _PLACES) - 1
 #: Characters below this one are the same letters, digits and spaces in every Unicode version.
 _LATIN_END = "ɐ"
 
@@ -64,11 +70,28 @@ def byte_letters() -> list[str]:
     return [chr(b if b in own else next(others)) for b in range(256)]
 
 
+def _plain_kinds(openers: Iterable[str]) -> np.ndarray:
+    """Of each byte: 1 in Latin letters, 2 in ASCII digits, 3 in ASCII signs, 0 in all else, among it the
+    apostrophe and what tokens that are not merged open with."""
+    kinds = np.zeros(256, dtype=np.uint8)
+    kinds[33:127] = 3
+    kinds[ord("0") : ord("9") + 1] = 2
+    for a, z in ("AZ", "az"):
+        kinds[ord(a) : ord(z) + 1] = 1
+    # The letters from U+00C0 to U+017F: one of three first bytes, any second one.
+    kinds[0xC3:0xC6] = 1
+    kinds[0x80:0xC0] = 1
+    kinds[ord("'")] = 0
+    kinds[[first for opener in openers for first in opener.encode()[:1]]] = 0
+    return kinds
+
+
 class _Merges:
     """The merge rules as arrays, applied to many short runs of bytes at once.
 
-    In each round the best pair of every run is merged.  A rule that uses a merged token always
-    comes after the rule that makes it, so rounds give the order of the rules.
+    Runs of one size form a matrix, one run per column.  In each round the best pair of every run is
+    merged, so that all that go on lose one row.  A rule that uses a merged token always comes after
+    the rule that makes it, so rounds give the order of the rules.
     """
 
     _BITS = 18
@@ -77,56 +100,83 @@ class _Merges:
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in merges]
         left = np.array([vocabulary[a] for a, _ in pairs], dtype=np.uint64)
         right = np.array([vocabulary[b] for _, b in pairs], dtype=np.uint64)
-        self._made = np.array([vocabulary[a + b] for a, b in pairs], dtype=np.uint64)
-        self._of_byte = np.array([vocabulary.get(x, 0) for x in letters], dtype=np.uint64)
+        self._made = np.array([vocabulary[a + b] for a, b in pairs], dtype=np.uint32)
+        self._of_byte = np.array([vocabulary.get(x, 0) for x in letters], dtype=np.uint32)
         while len(pairs) > 1 << self._BITS - 1:
             self._BITS += 1
         size = 1 << self._BITS
         # Open addressing: a rule lies at its slot or, if that is taken, behind it.
         self._keys = np.full(size + 1, _NO_KEY)
-        self._ranks = np.zeros(size + 1, dtype=np.int64)
+        self._ranks = np.full(size + 1, _NO_RULE, dtype=np.int32)
         keys = left << np.uint64(32) | right
         for rank, (key, slot) in enumerate(zip(keys.tolist(), self._slots(keys).tolist())):
             while self._keys[slot] != _NO_KEY:
                 slot = (slot + 1) % size
             self._keys[slot], self._ranks[slot] = key, rank
+        of_byte = self._of_byte
+        self._of_bytes = self._rank(np.repeat(of_byte, 256), np.tile(of_byte, 256))
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
         return (keys * _ODD >> np.uint64(64 - self._BITS)).astype(np.int64)
 
-    def _find(self, keys: np.ndarray) -> np.ndarray:
-        """The slots of keys, or of an empty slot for keys without a rule."""
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The ranks of the rules for pairs of ids."""
+        keys = left.astype(np.uint64) << np.uint64(32) | right
         at = self._slots(keys)
-        open_ = np.flatnonzero((self._keys[at] != keys) & (self._keys[at] != _NO_KEY))
+        there = self._keys[at]
+        open_ = np.flatnonzero((there != keys) & (there != _NO_KEY))
         while len(open_):
             at[open_] = (at[open_] + 1) % (1 << self._BITS)
             there = self._keys[at[open_]]
             open_ = open_[(there != keys[open_]) & (there != _NO_KEY)]
-        return at
-
-    def apply(self, data: np.ndarray, run: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Of bytes and the run (below n) that each belongs to: ids and their runs."""
-        ids = self._of_byte[data]
-        done, where = [ids[:0]], [run[:0]]
-        while len(ids):
-            spot = np.flatnonzero(run[1:] == run[:-1])
-            at = self._find(ids[spot] << np.uint64(32) | ids[spot + 1])
-            known = self._keys[at] != _NO_KEY
-            spot, ranks = spot[known], self._ranks[at[known]]
-            starts = np.flatnonzero(np.diff(run[spot], prepend=-1))
-            best = np.minimum.reduceat(ranks << 32 | spot, starts) if len(spot) else spot
-            rank, spot = best >> 32, best & 0xFFFFFFFF
-            going = np.zeros(n, dtype=bool)
-            going[run[spot]] = True
-            ids[spot] = self._made[rank]
-            stay = np.ones(len(ids), dtype=bool)
-            stay[spot + 1] = False
-            over = ~going[run]
-            done.append(ids[over])
-            where.append(run[over])
-            stay &= ~over
-            ids, run = ids[stay], run[stay]
-        return np.concatenate(done), np.concatenate(where)
+        return self._ranks[at]
+
+    def apply(
+        self, data: np.ndarray, begin: np.ndarray, size: np.ndarray, out: np.ndarray
+    ) -> np.ndarray:
+        """Of runs of bytes, up to _SHORT each: writes the ids of a run to `out` from the place where
+        the run begins, and returns their numbers."""
+        count = np.zeros(len(begin), dtype=np.int64)
+        order = np.argsort(size, kind="stable")
+        sizes, first = np.unique(size[order], return_index=True)
+        for width, runs in zip(sizes.tolist(), np.split(order, first[1:])):
+            at = begin[runs]
+            own = data[at + np.arange(width)[:, None]]
+            ids = self._of_byte[own]
+            pair = own[:-1].astype(np.int32) << 8 | own[1:]
+            # Rank and place of each pair: the least is the first of the best.
+            spots = np.arange(width - 1, dtype=np.int32)[:, None]
+            pairs = self._of_bytes[pair] << _PLACES | spots
+            while len(runs):
+                least = np.minimum.reduce(pairs, axis=0, initial=_NO_RULE << _PLACES)
+                over = least >> _PLACES == _NO_RULE
+                if over.any():
+                    out[at[over] + np.arange(width)[:, None]] = ids[:, over]
+                    count[runs[over]] = width
+                    on = ~over
+                    runs, at, least = runs[on], at[on], least[on]
+                    ids, pairs = ids[:, on], pairs[:, on]
+                if len(runs):
+                    ids, pairs = self._merged(ids, pairs, least)
+                    width -= 1
+        return count
+
+    def _merged(self, ids: np.ndarray, pairs: np.ndarray, least: np.ndarray):
+        """The matrices after the least pair of each column is merged."""
+        spot = least & (1 << _PLACES) - 1
+        later = np.arange(len(ids) - 1, dtype=np.int32)[:, None] > spot
+        ids = np.where(later, ids[1:], ids[:-1])
+        made = self._made[least >> _PLACES]
+        column = np.arange(len(spot))
+        ids[spot, column] = made
+        pairs = np.where(later[:-1], pairs[1:] - 1, pairs[:-1])
+        has = np.flatnonzero(spot > 0)
+        before = spot[has] - 1
+        pairs[before, has] = self._rank(ids[before, has], made[has]) << _PLACES | before
+        has = np.flatnonzero(spot < len(ids) - 1)
+        here = spot[has]
+        pairs[here, has] = self._rank(made[has], ids[here + 1, has]) << _PLACES | here
+        return ids, pairs
 
 
 class Codec:
@@ -165,6 +215,7 @@ class Codec:
         self._cut_at_spaces = not np.delete(self.joined[:, 32], blanks).any() and not any(
             c.isspace() for token in added for c in token
         )
+        self._kinds = _plain_kinds(token[:1] for token in added)
         self._most = remembered
         #: Ids of pieces with the space before them: those met lately, and those met before.
         self._after_space: dict[str, bytes] = {}
@@ -224,28 +275,66 @@ class Codec:
         data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
         starts = np.zeros(len(data), dtype=bool)
         starts[np.cumsum([0, *map(len, pieces[:-1])])] = True
-        starts[1:] |= ~self.joined[data[:-1], data[1:]]  # the forced boundaries
-        run = np.cumsum(starts) - 1
-        begin = np.append(np.flatnonzero(starts), len(data))
-        n = len(begin) - 1
-        long = np.flatnonzero(np.diff(begin) > _SHORT)
-        if len(long):
-            short = ~np.isin(run, long)
-            ids, where = self._merges.apply(data[short], run[short], n)
-            for k in long.tolist():
-                letters = bytes(data[begin[k] : begin[k + 1]]).decode("latin-1")
-                tokens = self._model.tokenize(letters.translate(self._to_letters))
-                more = np.array([token.id for token in tokens], dtype=ids.dtype)
-                ids = np.append(ids, more)
-                where = np.append(where, np.full(len(more), k))
-        else:
-            ids, where = self._merges.apply(data, run, n)
-        order = np.argsort(where, kind="stable")
-        packed = ids[order].astype("<u4").tobytes()
-        first_run = np.searchsorted(begin, ends)
-        at = (4 * np.searchsorted(where[order], first_run)).tolist()
+        ids, at = self._ids_between(data, starts, ends)
+        packed = ids.tobytes()
+        at = (4 * at).tolist()
         return [packed[a:b] for a, b in zip(at, at[1:])]
 
+    def _ids_between(
+        self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Of bytes, with the places where pieces start: all ids, and how many of them lie before
+        each of these bytes, which are ends of pieces."""
+        starts[1:] |= ~self.joined[data[:-1], data[1:]]  # the forced boundaries
+        begin = np.flatnonzero(starts)
+        size = np.diff(begin, append=len(data))
+        ids = np.zeros(len(data), dtype="<u4")  # of each run, from where it begins
+        count = np.zeros(len(begin), dtype=np.int64)
+        short = size <= _SHORT
+        count[short] = self._merges.apply(data, begin[short], size[short], ids)
+        for k in np.flatnonzero(~short).tolist():
+            letters = bytes(data[begin[k] : begin[k] + size[k]]).decode("latin-1")
+            tokens = self._model.tokenize(letters.translate(self._to_letters))
+            ids[begin[k] : begin[k] + len(tokens)] = [token.id for token in tokens]
+            count[k] = len(tokens)
+        used = np.arange(len(data)) < np.repeat(begin + count, size)
+        before = np.append(0, np.cumsum(count))
+        return ids[used], before[np.searchsorted(begin, ends)]
+
+    def _plain_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which words are of plain bytes alone; the ids of these with the space before them, one
+        after the other, and their numbers.
+
+        Such a word has no white space, contraction or unmerged token, so that a piece starts
+        wherever the kind of its bytes changes."""
+        _, offsets, data = words.buffers()
+        edges = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
+        if edges[-1] == edges[0]:
+            return np.zeros(len(words), dtype=bool), np.zeros(0, dtype="<u4"), edges[:0]
+        data = np.frombuffer(data, np.uint8)[edges[0] : edges[-1]]
+        edges = edges - edges[0]
+        kinds = self._kinds[data]
+        # Two signs stand among the letters.
+        sign = (data[1:] == 0x97) | (data[1:] == 0xB7)
+        kinds[1:][sign & (data[:-1] == 0xC3)] = 0
+        size = np.diff(edges)
+        before = np.append(0, np.cumsum(kinds == 0, dtype=np.int64))
+        plain = (before[edges[1:]] == before[edges[:-1]]) & (size > 0)
+        size = size[plain]
+        if not len(size):
+            return plain, np.zeros(0, dtype="<u4"), size
+        if len(size) < len(plain):
+            own = np.repeat(plain, np.diff(edges))
+            data, kinds = data[own], kinds[own]
+        first = np.cumsum(size) - size
+        spaced = np.insert(data, first, 32)
+        kinds = np.insert(kinds, first, kinds[first])
+        first = first + np.arange(len(first))
+        starts = np.append(True, kinds[1:] != kinds[:-1])
+        starts[first] = True
+        ids, at = self._ids_between(spaced, starts, np.append(first, len(spaced)))
+        return plain, ids, np.diff(at)
+
     def _learn(self, new: list[str]) -> None:
         """Remembers the ids of pieces with a space before them.  No ids: white space ends the piece,
         so that the cut behind it is uncertain."""
@@ -290,29 +379,36 @@ class Codec:
         offsets = split.offsets.to_numpy()
         coded = split.flatten().dictionary_encode()
         index = np.array(coded.indices, dtype=np.int32)
-        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        words = coded.dictionary
+        plain, plain_ids, plain_length = self._plain_words(words)
+        other = words.filter(pa.array(~plain)).to_pylist()
         known = self._after_space
-        ids = list(map(known.get, words))
-        new = [w for w, x in zip(words, ids) if x is None]
+        ids = list(map(known.get, other))
+        new = [w for w, x in zip(other, ids) if x is None]
         if new:
             self._learn(new)
-            ids = list(map(known.__getitem__, words))
+            ids = list(map(known.__getitem__, other))
             if len(known) > self._most:
                 self._older, self._after_space = known, {}
         # The first piece of a text has no space before it: an entry of its own.
         first = offsets[:-1] - offsets[0]
-        openers = list(dict.fromkeys([words[k] for k in index[first].tolist()]))
-        number = {w: len(words) + k for k, w in enumerate(openers)}
-        starting = [words[k] for k in index[first].tolist()]
-        length = np.array(list(map(len, ids)), dtype=np.int32) // 4
+        openers, opener = np.unique(index[first], return_inverse=True)
+        opening = words.take(pa.array(openers)).to_pylist()
+        empty = np.array([w == "" for w in opening], dtype=bool)[opener]
+        opening = self.fragment_ids(opening)
+        # Plain words come first, then the others, then those that open a text.
+        place = np.empty(len(words), dtype=np.int32)
+        place[plain] = np.arange(len(plain_length), dtype=np.int32)
+        place[~plain] = np.arange(len(plain_length), len(words), dtype=np.int32)
+        index = place[index]
+        more = np.array(list(map(len, ids + opening)), dtype=np.int32) // 4
+        length = np.append(plain_length.astype(np.int32), more)
         doubtful = length[index] == 0
-        doubtful[first] &= np.array([w != "" for w in starting], dtype=bool)
+        doubtful[first] &= ~empty
         in_text = np.add.reduceat(doubtful.astype(np.int32), first)
-        index[first] = [number[w] for w in starting]
-        opening = self.fragment_ids(openers)
-        length = np.append(length, np.array(list(map(len, opening)), dtype=np.int32) // 4)
+        index[first] = len(words) + opener
         begin = np.cumsum(length, dtype=np.int32) - length
-        flat = np.frombuffer(b"".join(ids + opening), dtype="<u4")
+        flat = np.append(plain_ids, np.frombuffer(b"".join(ids + opening), dtype="<u4"))
         n = length[index]
         ends = np.cumsum(n, dtype=np.int32)
         at = np.repeat(begin[index] - (ends - n), n) + np.arange(ends[-1], dtype=np.int32)

@@ -13,6 +13,7 @@ from ledgerloop.llm import bpe
 PARTS = (
     ["a", "the", "The", " ", "  ", "\n", "\t", "'s", "'", "!", "12", "é", "ß", "漢", "😀"]
     + ["<|endoftext|>", "　", "\xa0", "\x1c", "\x85", "zx", "qj", "\r\n", "don't", "Ā", "x" * 70]
+    + ["×", "÷", "Ñandú", "ſ", "ŉ", "ƀ", "ª", "²", "½", "·", "x" * 39, "é" * 20, "ab12;)", "\x00"]
 )
 
 
@@ -46,11 +47,26 @@ def test_words_are_remembered_and_forgotten(both):
     definition = bpe.vocabulary()
     tiny = bpe.Codec(definition, remembered=5)
     rnd = random.Random(4)
-    texts = [" ".join(f"w{rnd.randrange(99)}." for _ in range(30)) for _ in range(20)]
+    texts = [" ".join(f"w{rnd.randrange(99)}'s" for _ in range(30)) for _ in range(20)]
     assert tiny.encode_many(texts) == both[0].encode_many(texts)
     assert [tiny.encode(t) for t in texts] == both[0].encode_many(texts)
 
 
+@settings(max_examples=60, deadline=None)
+@given(texts=st.lists(st.lists(st.sampled_from(PARTS), max_size=9).map("".join), max_size=9))
+def test_texts_of_one_group_keep_their_ids(both, texts):
+    codec, library = both
+    texts = [*texts, None, *texts, "", " ".join(texts)]
+    wanted = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in codec.encode_many(texts)] == wanted
+
+
+def test_every_two_byte_letter_and_sign(both):
+    every = [chr(c) for c in range(0x21, 0x250)]
+    for text in (" ".join(every), " ".join(f"a{c}1{c}b" for c in every), "".join(every)):
+        check(both, text)
+
+
 def test_forced_boundaries_are_pairs_no_token_has(both):
     codec, library = both
     tokens = [codec.decode(np.array([k], "<u4").tobytes()) for k in (1000, 20000)]
