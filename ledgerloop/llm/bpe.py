@@ -44,10 +44,10 @@ PIECES = regex.compile(
 )
 
 #: Bytes of texts that are encoded together, one text at least.
-GROUP_BYTES = 8_000_000
+GROUP_BYTES = 4_000_000
 #: Fragments split by the pattern lately whose ids a worker remembers, and as many split before;
 #: about 160 bytes each.
-REMEMBERED = 600_000
+REMEMBERED = 100_000
 
 _FRAGMENT = re.compile(r"\s*\S+|\s+")
 _SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
