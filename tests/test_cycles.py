@@ -175,3 +175,20 @@ def test_counting_lists_no_cycle(spark, ws):
     plan = cycles.count_cycles(pairs_frame(spark, complete(5)), ws, 6, 6)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "nodes" not in text and text.count("Join") == 1
+
+
+@pytest.mark.parametrize("hash_bits", [40, 2])
+def test_narrowed_edges_are_those_on_closed_walks(spark, ws, monkeypatch, hash_bits):
+    """A large part without a closed walk stays out of the search; accounts that share a hash
+    change no result."""
+    monkeypatch.setattr(cycles, "NARROW_ROWS", 1)
+    monkeypatch.setattr(cycles, "HASH_BITS", hash_bits)
+    ring = [(f"r{i}", f"r{(i + 1) % 6}") for i in range(6)]
+    long_ring = [(f"q{i}", f"q{(i + 1) % 40}") for i in range(40)]
+    bushes = [(f"r{i}", f"q{7 * i}") for i in range(5)] + [("m", "r0"), ("r0", "m"), ("r3", "r0")]
+    pairs = ring + long_ring + bushes
+    kept = cycles._narrowed(pairs_frame(spark, pairs), "src", "dst", ws, 6, repeated=False)
+    on_walks = set(ring) | {("m", "r0"), ("r0", "m"), ("r3", "r0")}
+    rows = {(r["src"], r["dst"]) for r in kept.collect()}
+    assert rows == on_walks if hash_bits == 40 else rows >= on_walks
+    assert found(cycles.bounded_cycles(pairs_frame(spark, pairs), ws)) == simple_cycles(pairs, 2, 6)
