@@ -66,8 +66,12 @@ def normalized_rows(raw: DataFrame, ws: Workspace, cfg: Settings) -> DataFrame:
 
 def find_cases(edges: DataFrame, ws: Workspace, cfg: Settings = Settings()) -> DataFrame:
     """Transfers to ranked cases."""
+    chosen = graph.detection_input(edges, cfg.max_rows)
+    if cfg.max_rows:
+        # Read more than once below: rows that tie at the cap must be the same ones each time.
+        chosen = ws.materialize(chosen, "capped")
     detected = cycles.detect_cycles(
-        graph.detection_input(edges, cfg.max_rows),
+        chosen,
         ws,
         cfg.min_cycle_length,
         cfg.max_cycle_length,
