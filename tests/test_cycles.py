@@ -192,3 +192,18 @@ def test_narrowed_edges_are_those_on_closed_walks(spark, ws, monkeypatch, hash_b
     rows = {(r["src"], r["dst"]) for r in kept.collect()}
     assert rows == on_walks if hash_bits == 40 else rows >= on_walks
     assert found(cycles.bounded_cycles(pairs_frame(spark, pairs), ws)) == simple_cycles(pairs, 2, 6)
+
+
+def test_narrowed_searches_against_brute_force(spark, ws, make_transfers, monkeypatch):
+    monkeypatch.setattr(cycles, "NARROW_ROWS", 1)
+    for seed, hash_bits in ((1, 40), (2, 3)):
+        monkeypatch.setattr(cycles, "HASH_BITS", hash_bits)
+        pairs = random_pairs(seed, 14, 34)
+        for high in (5, 6, 7):
+            listed = cycles.bounded_cycles(pairs_frame(spark, pairs), ws, 2, high)
+            assert found(listed) == simple_cycles(pairs, 2, high)
+        rows = random_pairs(seed, 6, 14)
+        edges = [(f"t{i:04d}", s, d) for i, (s, d) in enumerate(rows)]
+        trails = cycles.closed_trails(make_transfers(rows), ws, 2, 6).collect()
+        got = [(tuple(r["transaction_ids"]), tuple(r["path"])) for r in trails]
+        assert len(got) == len(set(got)) and set(got) == closed_trails(edges, 2, 6)
