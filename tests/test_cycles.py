@@ -207,3 +207,10 @@ def test_narrowed_searches_against_brute_force(spark, ws, make_transfers, monkey
         trails = cycles.closed_trails(make_transfers(rows), ws, 2, 6).collect()
         got = [(tuple(r["transaction_ids"]), tuple(r["path"])) for r in trails]
         assert len(got) == len(set(got)) and set(got) == closed_trails(edges, 2, 6)
+
+
+def test_counts_hold_sets_as_numbers(spark, ws):
+    """No array is grouped by: sets of accounts in between are columns of numbers."""
+    cycles.count_cycles(pairs_frame(spark, complete(5)), ws, 5, 6)
+    kinds = dict(spark.read.parquet(f"{ws.folder}/*forward-counts-3").dtypes)
+    assert set(kinds.values()) <= {"bigint", "int"} and "shared_1" in kinds
