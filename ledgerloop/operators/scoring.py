@@ -35,10 +35,10 @@ class Rules:
 def cycle_hops(cycles: DataFrame, first: DataFrame, ws: Workspace) -> DataFrame:
     """One row per hop of each cycle with its representative transfer, null where there is none.
 
-    `first` has one row per pair.  It is written before the join, so that a hop shared by
-    many cycles can be split.
+    `first` has one row per pair.  Only pairs on a cycle are looked up in it: where these are few,
+    Spark drops all other transfers before it looks for the first of each pair.  They are written
+    before the join, so that a hop shared by many cycles can be split.
     """
-    known = ws.materialize(first, "first-transfers")
     steps = cycles.select(
         "path", F.posexplode(paths.hops(F.col("path"))).alias("position", "hop")
     ).select(
@@ -47,6 +47,9 @@ def cycle_hops(cycles: DataFrame, first: DataFrame, ws: Workspace) -> DataFrame:
         F.col("hop.source").alias("src"),
         F.col("hop.target").alias("dst"),
     )
+    steps = ws.materialize(steps, "cycle-steps")
+    wanted = ws.materialize(steps.select("src", "dst").distinct(), "cycle-pairs")
+    known = ws.materialize(first.join(wanted, ["src", "dst"], "left_semi"), "first-transfers")
     return steps.join(known, ["src", "dst"], "left").select(
         "path", "hop", "src", "dst", "transaction_id", "timestamp", "amount"
     )

@@ -16,6 +16,15 @@ def one_case(ws, df):
     return row
 
 
+def test_only_pairs_on_a_cycle_are_looked_up(spark, ws, make_transfers):
+    """All other first transfers stay out of the table that hops are joined with."""
+    edges = make_transfers([*LOOP, *[(f"x{i}", f"y{i}", 5, i) for i in range(20)]])
+    found = cycles.bounded_cycles(cycles.account_pairs(edges), ws).select("path")
+    hops = scoring.cycle_hops(found, graph.first_transfers(edges), ws)
+    assert hops.count() == 3 and hops.where("transaction_id is null").isEmpty()
+    assert spark.read.parquet(f"{ws.folder}/*first-transfers").count() == 3
+
+
 def test_demo_loop(ws, make_transfers):
     row = one_case(ws, make_transfers(LOOP))
     assert row["path"] == "DEMO_ACC_A -> DEMO_ACC_B -> DEMO_ACC_C -> DEMO_ACC_A"
