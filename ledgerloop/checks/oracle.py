@@ -210,6 +210,12 @@ SHORT_CYCLES = f"RECURSIVE {TRANSFERS},\n{_cycles('edges', 2, CASE_ACCOUNTS)}"
 CASES = f"{SHORT_CYCLES},\n{_measures('edges')}"
 
 
+def _both(columns: str, table: str) -> str:
+    """From the cycles of 2 to 4 accounts of all transfers, and of 2 to 6 of the ring transfers."""
+    return f"""SELECT * FROM (WITH {CASES} SELECT {columns} FROM {table})
+UNION ALL SELECT * FROM (WITH {RING_CASES} SELECT {columns} FROM {table})"""
+
+
 def _money(value: str) -> str:
     return f"""CASE WHEN abs({value}) >= 1e9 THEN format('{{:,.2f}}', {value} / 1e9) || ' billion VND'
     WHEN abs({value}) >= 1e6 THEN format('{{:,.2f}}', {value} / 1e6) || ' million VND'
@@ -523,9 +529,9 @@ SELECT path, CAST(hop AS INTEGER) AS hop, src, dst, transaction_id, {_PLAIN} FRO
     "cycle_measures": f"""WITH {CASES}
 SELECT path, n_accounts, CAST(total AS DOUBLE) AS total_amount, minutes AS duration_minutes,
   round(spread, 4) AS amount_variance FROM spreads""",
-    "risk_score": f"WITH {CASES} SELECT path, risk_score, risk_level FROM levels",
-    "risk_level_counts": f"""WITH {CASES}
-SELECT risk_level, count(*) AS cycles FROM levels GROUP BY risk_level""",
+    "risk_score": _both("path, risk_score, risk_level", "levels"),
+    "risk_level_counts": f"""SELECT risk_level, count(*) AS cycles
+FROM ({_both("risk_level", "levels")}) GROUP BY risk_level""",
     "risk_explanation": f"WITH {CASES} SELECT cycle_id, explanation FROM cases",
     "score_missing_hops": f"""WITH {SHORT_CYCLES},
 known AS (SELECT * FROM edges WHERE transaction_type <> 'Cash'),
@@ -533,8 +539,7 @@ known AS (SELECT * FROM edges WHERE transaction_type <> 'Cash'),
     "case_ids": f"WITH {CASES} SELECT cycle_id, path FROM cases",
     "ranked_cases": f"WITH {CASES} SELECT * FROM cases",
     "ranked_ring_cases": f"WITH {RING_CASES} SELECT * FROM cases",
-    "top_cases": f"""WITH {CASES}
-SELECT * FROM cases ORDER BY risk_score DESC, total_amount DESC, path LIMIT 10""",
+    "top_cases": f"""SELECT * FROM ({_both("*", "cases")}) ORDER BY risk_score DESC, total_amount DESC, path LIMIT 10""",
     "normalize_risk_level": f"""WITH {LEVELS}
 SELECT o_orderkey,
   CASE word WHEN '1-URGENT' THEN 'High' WHEN '2-HIGH' THEN 'High' WHEN '3-MEDIUM' THEN 'Medium'

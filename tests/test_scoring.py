@@ -1,6 +1,6 @@
 import pytest
 
-from ledgerloop.checks import tables
+from ledgerloop.checks import registry, tables
 from ledgerloop.operators import cycles, graph, scoring
 from ledgerloop.plans.detection import find_cases
 
@@ -25,6 +25,13 @@ def test_only_pairs_on_a_cycle_are_looked_up(spark, ws, make_transfers):
     assert spark.read.parquet(f"{ws.folder}/*first-transfers").count() == 3
 
 
+def test_scores_of_queries_cover_rings_of_five_and_six(spark):
+    """Cycles of up to six accounts are scored, not only those of up to four."""
+    rows = registry.risk_score(spark, "/root/testdata/sf0.001").select("path").collect()
+    lengths = {r["path"].count(" -> ") for r in rows}
+    assert {2, 3, 4, 5, 6} <= lengths
+
+
 def test_demo_loop(ws, make_transfers):
     row = one_case(ws, make_transfers(LOOP))
     assert row["path"] == "DEMO_ACC_A -> DEMO_ACC_B -> DEMO_ACC_C -> DEMO_ACC_A"
