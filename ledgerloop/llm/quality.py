@@ -1,11 +1,14 @@
 """Quality rules judged by an isolation forest.
 
 Each text gives counts (the rules) and ratios of them.  Random splits isolate an unusual document
-after few steps, so its path through the trees is short.  The trees are grown on a bounded sample
-of documents labelled as good; when no label exists, on a bounded sample of all documents.  The
-score is 2^(-mean path / expected path) as usual.  The threshold on it is the one that separates the
-labelled good from the labelled bad documents best, good documents that would go counting
-`GOOD_WEIGHT` times; without labels of both kinds the forest rejects nothing.
+after few steps, so its path through the trees is short.  As the method has it, each tree is grown on
+TREE_ROWS rows; every tree draws its own from all documents labelled as good, or from all documents
+when no label exists.  The score is 2^(-mean path / expected path) as usual.  The threshold on it is
+the one that separates the labelled good from the labelled bad documents best, good documents that
+would go counting `GOOD_WEIGHT` times; without labels of both kinds the forest rejects nothing.
+All labelled documents are counted for it, by BINS steps of the score.  Each half of the trees draws
+from one half of the good documents, which the threshold sees with the score of the other trees: no
+row is judged by its own tree.
 
 Two plain rules come first: too few words, or too many words in repeated windows.
 
@@ -23,15 +26,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloop.llm.common import OWN, any_columns, read_table, share
+from ledgerloop.llm.common import OWN, Workspace, any_columns, read_table, share
 
-#: Bounds of the labelled sample: documents of each label that the forest and the threshold see.
-SAMPLE = 4_000
+#: Steps of the score between which the threshold is chosen.
+BINS = 1 << 16
 TREES = 100
+HALF = TREES // 2
+#: Splits also fall beside the rows of a node, by this share of their range: rows beyond all that
+#: trees have drawn are then isolated before the outermost that they have.
+BESIDE = 0.5
 TREE_ROWS = 256
 #: A good document lost weighs as much as this many bad documents kept.
 GOOD_WEIGHT = 10.0
@@ -121,36 +128,46 @@ class Forest:
 
     @classmethod
     def grow(cls, rows: np.ndarray, seed: int = SEED) -> Forest:
+        """Trees that each draw from the same rows."""
         rng = np.random.default_rng(seed)
         take = min(TREE_ROWS, len(rows))
-        depth = max(1, math.ceil(math.log2(max(take, 2))))
+        return cls.of_draws(
+            [rows[rng.choice(len(rows), take, replace=False)] for _ in range(TREES)], seed
+        )
+
+    @classmethod
+    def of_draws(cls, draws: list[np.ndarray], seed: int = SEED) -> Forest:
+        """One tree per draw."""
+        rng = np.random.default_rng(seed)
         nodes: list[list[float]] = []
 
-        def node(own: np.ndarray, level: int) -> int:
+        def node(own: np.ndarray, level: int, depth: int) -> int:
             k = len(nodes)
             nodes.append([-1, 0.0, 0, 0, level + expected_path(len(own))])
+            if level == depth or len(own) < 2:
+                return k
             low, high = own.min(axis=0), own.max(axis=0)
             wide = np.flatnonzero(high > low)
-            if level < depth and len(own) > 1 and len(wide):
+            if len(wide):
                 feature = int(rng.choice(wide))
-                value = float(rng.uniform(low[feature], high[feature]))
+                beside = BESIDE * (high[feature] - low[feature])
+                value = float(rng.uniform(low[feature] - beside, high[feature] + beside))
                 below = own[:, feature] <= value
-                if 0 < below.sum() < len(own):
-                    a, b = node(own[below], level + 1), node(own[~below], level + 1)
-                    nodes[k][:4] = [feature, value, a, b]
+                a, b = (node(own[side], level + 1, depth) for side in (below, ~below))
+                nodes[k][:4] = [feature, value, a, b]
             return k
 
-        roots = [
-            node(rows[rng.choice(len(rows), take, replace=False)], 0) for _ in range(TREES)
-        ]
+        roots = [node(own, 0, max(1, math.ceil(math.log2(max(len(own), 2))))) for own in draws]
+        expected = float(np.mean([expected_path(len(own)) for own in draws]))
         f, v, a, b, p = map(np.array, zip(*nodes))
         whole = [x.astype(np.int64) for x in (f, a, b)]
-        return cls(whole[0], v, whole[1], whole[2], p, np.array(roots), expected_path(take))
+        return cls(whole[0], v, whole[1], whole[2], p, np.array(roots), expected)
 
-    def scores(self, rows: np.ndarray) -> np.ndarray:
+    def scores(self, rows: np.ndarray, trees: slice = slice(None)) -> np.ndarray:
         """Near 1: isolated at once; 0.5 and below: ordinary."""
         paths = np.zeros(len(rows))
-        for root in self.roots:
+        roots = self.roots[trees]
+        for root in roots:
             at = np.full(len(rows), root)
             inner = np.flatnonzero(self.feature[at] >= 0)
             while len(inner):
@@ -159,18 +176,18 @@ class Forest:
                 at[inner] = np.where(go_left, self.left[here], self.right[here])
                 inner = inner[self.feature[at[inner]] >= 0]
             paths += self.path[at]
-        return 2.0 ** -(paths / len(self.roots) / max(self.expected, 1e-9))
+        return 2.0 ** -(paths / len(roots) / max(self.expected, 1e-9))
 
 
-def threshold_between(good: np.ndarray, bad: np.ndarray) -> float:
-    """The score above which to reject; a good row lost costs GOOD_WEIGHT times a bad one kept,
-    each as a share of its kind.  Infinite without rows of both kinds."""
-    if not len(good) or not len(bad):
+def threshold_between(bins: np.ndarray, good: np.ndarray, bad: np.ndarray) -> float:
+    """The score above which to reject, from the numbers of good and bad rows in ascending bins of
+    the score; a good row lost costs GOOD_WEIGHT times a bad one kept, each as a share of its kind.
+    Infinite without rows of both kinds."""
+    if not good.sum() or not bad.sum():
         return math.inf
-    every = np.unique(np.concatenate([good, bad]))
-    cuts = np.append((every[:-1] + every[1:]) / 2, np.inf)
-    lost = 1 - np.searchsorted(np.sort(good), cuts, side="right") / len(good)
-    kept = np.searchsorted(np.sort(bad), cuts, side="right") / len(bad)
+    cuts = np.append((bins[:-1] + 1 + bins[1:]) / 2 / BINS, np.inf)
+    lost = 1 - np.cumsum(good) / good.sum()
+    kept = np.cumsum(bad) / bad.sum()
     cost = GOOD_WEIGHT * lost + kept
     return float(cuts[int(np.argmin(cost))])
 
@@ -179,63 +196,96 @@ def _base_failed(counts: list[int]) -> bool:
     return counts[0] < MIN_WORDS or 100 * counts[4] > MAX_REPEATED_PERCENT * counts[0]
 
 
+RATIO_ROWS = "key long, ratios array<double>"
+
+
 def _ratio_rows(batches: Iterator) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [statistics(text) for text in batch.column("text").to_pylist()]
         keep = [k for k, (counts, _) in enumerate(found) if not _base_failed(counts)]
+        ratios = pa.array([found[k][1] for k in keep], pa.list_(pa.float64()))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("good").take(keep), pa.array([found[k][1] for k in keep])],
-            schema=pa.schema([("good", pa.int32()), ("ratios", pa.list_(pa.float64()))]),
+            [batch.column("key").take(keep), ratios], names=["key", "ratios"]
         )
 
 
-def _first_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:
-    """n rows in the order of a hash of their key: a sample that is the same in each run."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(SEED)), F.col(key)).limit(n)
+def _draws(rows: DataFrame, trees: range = range(TREES)) -> list[np.ndarray]:
+    """For each tree the TREE_ROWS of all `rows` that a hash of key and tree puts first."""
+    trees_of_row = F.sequence(F.lit(trees.start), F.lit(trees.stop - 1))
+    hashed = rows.select(F.explode(trees_of_row).alias("tree"), "key", "ratios").withColumn(
+        "drawn", F.xxhash64("key", "tree", F.lit(SEED))
+    )
+    first = Window.partitionBy("tree").orderBy("drawn", "key", "ratios")
+    chosen = hashed.withColumn("place", F.row_number().over(first)).where(
+        F.col("place") <= TREE_ROWS
+    )
+    draws: dict[int, list] = {tree: [] for tree in trees}
+    for row in chosen.orderBy("tree", "place").select("tree", "ratios").collect():
+        draws[row.tree].append(row.ratios)
+    return [np.array(own) for own in draws.values() if own]
 
 
-def fit(docs: DataFrame, labels: DataFrame | None) -> Forest | None:
-    """The forest and its threshold from at most SAMPLE documents of each label; None where there
-    is nothing to learn from.  Labels that are null or contradict each other are not used."""
-    text = docs.select(
-        F.col("doc_id").alias("key"), F.col("text"), F.lit(None).cast("int").alias("good")
+def _counted_scores(rows: DataFrame, forest: Forest) -> tuple[np.ndarray, ...]:
+    """Bins of the score in order, and the good and bad rows in each.  `side` tells which trees judge
+    a row: those of the first half, of the second, or all."""
+    shared = share(rows.sparkSession, forest)
+
+    def run(batches: Iterator) -> Iterator[pa.RecordBatch]:
+        model = shared()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ratios = np.array(batch.column("ratios").to_pylist())
+            side = batch.column("side").to_numpy()
+            score = np.zeros(len(ratios))
+            for k, trees in enumerate((slice(HALF), slice(HALF, None), slice(None))):
+                score[side == k] = model.scores(ratios[side == k], trees)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("good"), pa.array((score * BINS).astype(np.int64))],
+                names=["good", "bin"],
+            )
+
+    counted = (
+        rows.select("good", "ratios", "side")
+        .mapInArrow(run, "good int, bin long")
+        .groupBy("bin")
+        .agg(F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad"))
+        .collect()
     )
-    found: list = []
+    found = np.array(sorted(tuple(r) for r in counted), dtype=np.int64).reshape(-1, 3)
+    return found[:, 0], found[:, 1], found[:, 2]
+
+
+def fit(docs: DataFrame, labels: DataFrame | None) -> Forest | None:
+    """The forest and its threshold from all labelled documents; None where there is nothing to
+    learn from.  Labels that are null or contradict each other are not used."""
+    ws = Workspace(docs.sparkSession)
+    # Labels are joined to ratios, so that no text is shuffled.
+    text = docs.select(F.col("doc_id").cast("long").alias("key"), "text")
+    ratios = text.mapInArrow(_ratio_rows, RATIO_ROWS)
     if labels is not None:
         known = (
             labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
-            .groupBy(F.col("doc_id").alias("key"))
-            .agg(F.min("quality").alias("good"), F.max("quality").alias("most"))
+            .groupBy(F.col("doc_id").cast("long").alias("key"))
+            .agg(F.min("quality").cast("int").alias("good"), F.max("quality").alias("most"))
             .filter("good = most")
             .select("key", "good")
         )
-        for label in (1, 0):
-            chosen = _first_by_hash(known.filter(F.col("good") == label), "key", SAMPLE)
-            own = text.drop("good").join(F.broadcast(chosen), "key").select("text", "good")
-            found += own.mapInArrow(_ratio_rows, "good int, ratios array<double>").collect()
-    good = np.array([r.ratios for r in found if r.good == 1])
-    bad = np.array([r.ratios for r in found if r.good == 0])
-    if not len(good):
-        chosen = _first_by_hash(text.select("key", "text"), "key", SAMPLE).withColumn(
-            "good", F.lit(None).cast("int")
-        )
-        every = chosen.select("text", "good").mapInArrow(
-            _ratio_rows, "good int, ratios array<double>"
-        )
-        rows = np.array(sorted(r.ratios for r in every.collect()))
-        return Forest.grow(rows) if len(rows) else None
-    good, bad = np.array(sorted(good.tolist())), np.array(sorted(bad.tolist()))
-    half = len(good) // 2
-    if half:
-        # Trees from one half, the threshold from the other: no row is judged by its own tree.
-        shuffled = good[np.random.default_rng(SEED).permutation(len(good))]
-        grown, judged = shuffled[:half], shuffled[half:]
-    else:
-        grown = judged = good
-    forest = Forest.grow(grown)
-    if len(bad):
-        forest.threshold = threshold_between(forest.scores(judged), forest.scores(bad))
-    return forest
+        rows = ws.materialize(ratios.join(known, "key"), "labelled-ratios")
+        good, bad = rows.filter("good = 1"), rows.filter("good = 0")
+        half = F.pmod(F.xxhash64("key", F.lit(SEED)), F.lit(2)).cast("int")
+        one = _draws(good.filter(half == 0), range(HALF))
+        two = _draws(good.filter(half == 1), range(HALF, TREES))
+        draws, side = one + two, 1 - half
+        if not one or not two:
+            draws, side = _draws(good), F.lit(2)
+        if draws:
+            forest = Forest.of_draws(draws)
+            judged = good.withColumn("side", side).unionByName(bad.withColumn("side", F.lit(2)))
+            forest.threshold = threshold_between(*_counted_scores(judged, forest))
+            return forest
+    draws = _draws(ws.materialize(ratios, "all-ratios"))
+    return Forest.of_draws(draws) if draws else None
 
 
 def judge(docs: DataFrame, forest: Forest | None) -> DataFrame:

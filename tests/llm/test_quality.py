@@ -91,3 +91,32 @@ def test_an_outlier_has_a_short_path():
 
 def test_empty_tables(spark, folder):
     assert quality.op10_quality_rules(spark, folder()).collect() == []
+
+
+def test_all_labelled_documents_set_the_threshold(spark, monkeypatch):
+    """Far more labelled documents than any bound that was: every one is counted."""
+    counted = []
+    plain = quality.threshold_between
+
+    def seen(bins, good, bad):
+        counted.append((int(good.sum()), int(bad.sum())))
+        return plain(bins, good, bad)
+
+    monkeypatch.setattr(quality, "threshold_between", seen)
+    rows = [(k, prose(k % 40, 25 + k % 5)) for k in range(11_000)]
+    rows += [(20_000 + k, junk(k % 40)) for k in range(5_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(
+        [(k, int(k < 20_000)) for k, _ in rows], "doc_id long, quality int"
+    )
+    quality.fit(docs, labels)
+    (good, bad), = counted
+    assert (good, bad) == (11_000, 5_000)
+
+
+def test_each_tree_draws_from_all_rows(spark):
+    rows = spark.range(20_000).selectExpr("id key", "array(double(id)) ratios")
+    draws = quality._draws(rows)
+    assert [len(own) for own in draws] == [quality.TREE_ROWS] * quality.TREES
+    drawn = {value for own in draws for value in own[:, 0].tolist()}
+    assert len(drawn) > 12_000
