@@ -1,4 +1,6 @@
+import os
 import random
+from collections import defaultdict
 from itertools import permutations
 
 import pytest
@@ -214,3 +216,62 @@ def test_counts_hold_sets_as_numbers(spark, ws):
     cycles.count_cycles(pairs_frame(spark, complete(5)), ws, 5, 6)
     kinds = dict(spark.read.parquet(f"{ws.folder}/*forward-counts-3").dtypes)
     assert set(kinds.values()) <= {"bigint", "int"} and "shared_1" in kinds
+
+
+@pytest.fixture
+def written(monkeypatch):
+    """By name what all workspaces wrote: columns and rows."""
+    tables = defaultdict(list)
+    plain = cycles.Workspace.materialize
+
+    def materialize(own, df, name):
+        table = plain(own, df, name)
+        tables[name].append((table.dtypes, [tuple(r) for r in table.collect()]))
+        return table
+
+    monkeypatch.setattr(cycles.Workspace, "materialize", materialize)
+    return tables
+
+
+def test_short_searches_leave_out_one_way_accounts(ws, make_transfers, written):
+    """The first transfers are found, and written, for those accounts alone that may lie on a cycle."""
+    ring = [("a", "b"), ("b", "a"), ("b", "c"), ("c", "a")]
+    rows = ring + [(f"x{k}", "a") for k in range(30)] + [("c", f"y{k}") for k in range(5)]
+    assert found(cycles.detect_cycles(make_transfers(rows), ws, 2, 4)) == simple_cycles(rows, 2, 4)
+    ((_, pairs),) = written["pairs"]
+    assert {pair[:2] for pair in pairs} == set(ring)
+
+
+def test_short_searches_keep_all_where_few_are_one_way(ws, make_transfers, written):
+    rows = [*complete(4), ("x", "n0"), ("n1", "y")]
+    assert found(cycles.detect_cycles(make_transfers(rows), ws, 2, 4)) == simple_cycles(rows, 2, 4)
+    ((_, pairs),) = written["pairs"]
+    assert len(pairs) == len(rows)
+
+
+def test_short_search_of_nothing(ws, make_transfers):
+    assert found(cycles.detect_cycles(make_transfers([]), ws, 2, 4)) == set()
+
+
+def test_transfers_are_narrowed_once(ws, make_transfers, monkeypatch, written):
+    """A second time would read and aggregate all transfers again."""
+    monkeypatch.setattr(cycles, "NARROW_ROWS", 1)
+    rows = random_pairs(3, 12, 30)
+    assert found(cycles.detect_cycles(make_transfers(rows), ws)) == simple_cycles(rows, 2, 6)
+    # A pair is one number, and what is looked up in the transfers half of one.
+    assert [kinds for kinds, _ in written["hashed-pairs"]] == [[("pair", "bigint")]]
+    assert [kinds for kinds, _ in written["closing-pairs"]] == [[("closing", "int")]]
+    # What only the narrowing reads is gone.
+    left = [name for _, _, names in os.walk(ws.folder.removeprefix("file:")) for name in names]
+    kept = sum(len(os.listdir(f"{ws.folder}/{d}")) for d in os.listdir(ws.folder) if "-" in d)
+    assert left and len(left) == kept
+
+
+def test_a_round_that_removes_little_is_not_begun(spark, ws, written):
+    """One account loses its only edge in each round of a chain before a large ring."""
+    ring = [(f"r{i:03d}", f"r{(i + 1) % 100:03d}") for i in range(100)]
+    chain = [(f"c{i}", f"c{i + 1}") for i in range(4)] + [("c4", "r000")]
+    bush = [("r001", f"b{i}") for i in range(40)]
+    arcs = cycles.ranked_core(pairs_frame(spark, ring + chain + bush), ws)
+    assert arcs.count() == len(ring) + len(chain) - 1
+    assert len(written["arcs"]) == 1

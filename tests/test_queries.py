@@ -7,6 +7,7 @@ import pytest
 from given import DATA
 
 import __spark_entry__ as entry_points
+from ledgerloop.checks import tables
 from ledgerloop.checks.oracle import ORACLE
 from ledgerloop.checks.registry import QUERIES
 
@@ -59,6 +60,21 @@ def test_query(spark, duck, name):
     assert got == rows_of(answer.columns, answer.fetchall())
 
 
+@pytest.mark.parametrize("name", ["risk_score", "risk_level_counts", "top_cases"])
+def test_both_kinds_of_transfers_share_their_lines(spark, monkeypatch, name):
+    """Lines and orders are joined once, however often the transfers are read."""
+    joined = []
+    plain = tables.transfer_lines
+
+    def transfer_lines(*args):
+        joined.append(args)
+        return plain(*args)
+
+    monkeypatch.setattr(tables, "transfer_lines", transfer_lines)
+    QUERIES[name](spark, SCALES["small"])
+    assert len(joined) == 1
+
+
 def test_flagship(spark):
     df = entry_points.entry(spark)
     assert df.count() == 1052
